@@ -173,7 +173,7 @@ def run_scd2_close(spark, sf_dir):
     return scd2_close(target, closing, ["user_id"])
 
 
-def _apply_sql(keys: str, watched: list[str], props: str = "props") -> str:
+def _apply_sql(keys: str, watched: list[str], props: str = "b.props") -> str:
     """Next state: closed rows stay; per key the current row and the later
     batch rows form a line, of which the changing rows remain."""
     on = " AND ".join(f"b.{k} = c.{k}" for k in keys.split(", "))
