@@ -235,8 +235,10 @@ SELECT CAST(o_orderkey AS INTEGER) AS sales_order_id, 1 AS revision_number,
        CAST(NULL AS INTEGER) AS territory_id, CAST(NULL AS INTEGER) AS bill_to_address_id,
        CAST(NULL AS INTEGER) AS ship_to_address_id, CAST(NULL AS INTEGER) AS ship_method_id,
        CAST(NULL AS INTEGER) AS credit_card_id, CAST(NULL AS VARCHAR) AS credit_card_approval_code,
-       CAST(NULL AS INTEGER) AS currency_rate_id, o_totalprice AS sub_total,
-       CAST(NULL AS DOUBLE) AS tax_amt, CAST(NULL AS DOUBLE) AS freight, o_totalprice AS total_due,
+       CAST(NULL AS INTEGER) AS currency_rate_id,
+       CAST(CAST(o_totalprice AS DECIMAL(19,4)) AS DOUBLE) AS sub_total,
+       CAST(NULL AS DOUBLE) AS tax_amt, CAST(NULL AS DOUBLE) AS freight,
+       CAST(CAST(o_totalprice AS DECIMAL(19,4)) AS DOUBLE) AS total_due,
        CAST(NULL AS VARCHAR) AS comment, CAST(o_orderkey AS VARCHAR) AS rowguid,
        strftime(modified, '%Y-%m-%d') AS modified_date, loaded AS _ingestion_timestamp, is_current,
        CASE WHEN is_current THEN TIMESTAMP '9999-12-31' ELSE o_orderdate + INTERVAL 1 YEAR END AS end_date
