@@ -18,9 +18,10 @@ def spark():
     session = build_session(
         "tests",
         "local[8]",
-        shuffle_partitions=8,
+        shuffle_partitions=3,
         **{
             "spark.ui.enabled": "false",
+            "spark.default.parallelism": "2",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-"),

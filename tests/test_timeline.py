@@ -60,8 +60,7 @@ def test_previous_values_are_read_from_one_row(spark):
     assert rows(got) == [(1, None, None), (2, "a", 7), (3, None, 8)]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("hot_rows", [20, 60])
+@pytest.mark.parametrize("seed, hot_rows", [(1, 20), (2, 60)])
 def test_hot_keys_give_the_same_rows(spark, seed, hot_rows):
     df = spark.createDataFrame(history(seed), SCHEMA).repartition(4)
     ops = [

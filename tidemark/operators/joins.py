@@ -34,19 +34,15 @@ class DimSpec:
 def star_join(fact: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
     """Join the dimensions one after the other; a later one may use columns
     that an earlier one added."""
-    for spec in dims:
+    helpers = []
+    for n, spec in enumerate(dims):
         dim = current(spec.dim) if spec.current_only else spec.dim
-        keyed = dim.select(
-            *[F.col(d).alias(f"_on_{i}") for i, d in enumerate(spec.on.values())],
-            *[F.col(d).alias(name) for name, d in spec.add.items()],
-        )
-        test = None
-        for i, f in enumerate(spec.on):
-            one = fact[f] == keyed[f"_on_{i}"]
-            test = one if test is None else test & one
+        names = {f"_on_{n}_{i}": d for i, d in enumerate(spec.on.values())}
+        keyed = dim.select(*[F.col(d).alias(name) for name, d in [*names.items(), *spec.add.items()]])
+        test = [F.col(f) == F.col(name) for f, name in zip(spec.on, names)]
         fact = fact.join(keyed, test, "inner" if spec.required else "left")
-        fact = fact.drop(*[f"_on_{i}" for i in range(len(spec.on))])
-    return fact
+        helpers += names
+    return fact.drop(*helpers)
 
 
 def left_current(

@@ -15,6 +15,11 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Small inputs keep all cores busy; large ones are merged to the size above.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    # Planned sizes are those of compressed files; in memory they grow.
+    "spark.sql.autoBroadcastJoinThreshold": "4m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot key even where that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

@@ -9,6 +9,7 @@ of a slowly changing entity (a user).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -58,7 +59,9 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+@lru_cache(maxsize=256)
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A driver table; its schema is read once per session."""
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

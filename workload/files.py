@@ -10,7 +10,7 @@ from tidemark.operators.conform import ColSpec, conform
 from tidemark.operators.layout import cluster_write, write_partitioned
 from tidemark.plans.raw import RAW_COLUMNS, read_raw
 from tidemark.plans.silver import empty_silver, load_silver
-from tidemark.session import work_path
+from tidemark.session import stage, work_path
 from tidemark.sources.delimited import CONTROL_A, read_delimited, write_delimited
 from tidemark.sources.jdbc import extract
 from tidemark.sources.snapshots import append, read_snapshot, replace, snapshot_log
@@ -251,7 +251,7 @@ def run_silver_order_header(spark, sf_dir):
     first = _as_raw(spark, _raw_header(versions[1], 0), table)
     second = _as_raw(spark, _raw_header(versions[2], 1), table)
     state = load_silver(empty_silver(spark, table), first, table, FIRST_LOAD)
-    return load_silver(state, second, table, SECOND_LOAD)
+    return load_silver(stage(state, "target"), second, table, SECOND_LOAD)
 
 
 @query(
@@ -286,4 +286,4 @@ def run_silver_order_detail(spark, sf_dir):
     raw = lines.select(*[values.get(n, F.lit(None)).cast("string").alias(n) for n in names])
     early = raw.filter(F.col("ModifiedDate") < "1998-01-01")
     state = load_silver(empty_silver(spark, table), _as_raw(spark, early, table), table, FIRST_LOAD)
-    return load_silver(state, _as_raw(spark, raw, table), table, SECOND_LOAD)
+    return load_silver(stage(state, "target"), _as_raw(spark, raw, table), table, SECOND_LOAD)

@@ -12,6 +12,7 @@ from tidemark.operators.scd2 import (
     scd2_close,
 )
 from tidemark.operators.timeline import compress_versions, prev_values, rank_versions, with_latest
+from tidemark.session import stage
 from workload.base import FIRST_LOAD, SECOND_LOAD, query, read
 
 # The target knows the events before TARGET_END; the batch starts earlier, so
@@ -33,7 +34,8 @@ def _batch(spark, sf_dir) -> DataFrame:
 
 
 def _target(spark, sf_dir, monitored=WATCHED, keys=("user_id",)) -> DataFrame:
-    """History of the events before TARGET_END, loaded into an empty table."""
+    """History of the events before TARGET_END, loaded into an empty table and
+    stored, as the target of a load is."""
     events = _events(spark, sf_dir)
     empty = events.limit(0).withColumns(
         {
@@ -43,7 +45,8 @@ def _target(spark, sf_dir, monitored=WATCHED, keys=("user_id",)) -> DataFrame:
         }
     )
     first = events.filter(F.col("ts") < _ts(TARGET_END))
-    return scd2_apply(empty, first, keys, monitored, "ts", ties=["event_id"], as_of=FIRST_LOAD)
+    state = scd2_apply(empty, first, keys, monitored, "ts", ties=["event_id"], as_of=FIRST_LOAD)
+    return stage(state, "target")
 
 
 @query(

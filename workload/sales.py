@@ -8,7 +8,7 @@ from tidemark.operators.changes import post_images, table_changes
 from tidemark.operators.upsert import restrict_to_keys
 from tidemark.plans.fact import FACT_COLUMNS, changed_orders, fact_load, fact_sales
 from tidemark.plans.monthly import SERVING_SCHEMA, agg_monthly_sales
-from tidemark.session import work_path
+from tidemark.session import stage, work_path
 from tidemark.sources.export import as_serving, export_parquet, read_export
 from workload.base import (
     FIRST_LOAD,
@@ -144,7 +144,7 @@ WHERE NOT EXISTS (SELECT 1 FROM second_load s WHERE s.SalesOrderNumber = f.Sales
 )
 def run_fact_sales_merge(spark, sf_dir):
     """First load of version 1, then a merge of the orders that version 2 changed."""
-    lines = unique_lines(read(spark, sf_dir, "lineitem"))
+    lines = stage(unique_lines(read(spark, sf_dir, "lineitem")), "lines")
     customer, dims = read(spark, sf_dir, "customer"), gold_dims(spark, sf_dir)
     versions = order_versions(spark, sf_dir)
     headers = {v: header_of(orders, lines, customer) for v, orders in versions.items()}
@@ -157,7 +157,7 @@ def run_fact_sales_merge(spark, sf_dir):
         "ingestion_timestamp", F.lit(FIRST_LOAD).cast("timestamp")
     )
     fresh = fact_sales(headers[2], detail_of(lines), changes, **dims)
-    return fact_load(target, fresh, as_of=SECOND_LOAD)
+    return fact_load(stage(target, "target"), fresh, as_of=SECOND_LOAD)
 
 
 @query(
