@@ -20,3 +20,8 @@ def fiscal_parts(c: Column, start_month: int = 7) -> dict[str, Column]:
         "fiscal_quarter": F.ceil(month / 3).cast("int"),
         "fiscal_month": month.cast("int"),
     }
+
+
+def month_key(day_key: Column) -> Column:
+    """yyyyMM of a yyyyMMdd key: a partition column with far fewer values."""
+    return (day_key / 100).cast("int")
