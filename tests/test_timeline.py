@@ -81,6 +81,15 @@ def test_copies_of_one_version_are_all_ranked(spark):
     assert sum(r.next_version_date is None for r in got) == 1
 
 
+def test_null_may_be_the_hot_key(spark):
+    data = [(None, i, i, "a", 0) for i in range(50)] + [(2, 1, 99, "b", 0)]
+    df = spark.createDataFrame(data, SCHEMA)
+    got = rank_versions(df, ["k"], "at", ["id"], hot_rows=10)
+    assert sorted(r.rn for r in got.collect() if r.k is None) == list(range(1, 51))
+    newest = with_latest(df, ["k"], "at", ["id"], hot_rows=10)
+    assert {(r.k, r.id) for r in newest.collect()} == {(None, 49), (2, 99)} and newest.count() == 51
+
+
 def test_hot_probe(spark):
     df = spark.createDataFrame(history(3), SCHEMA)
     assert hot_keys(df, ["k"]) is None  # far too small to bother

@@ -7,11 +7,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 # A key with more rows than this is spread over several tasks.
-HOT_ROWS = 5_000_000
+HOT_ROWS = 1_000_000
 # Below this planned size no single key can overload a task, so no probe runs.
 PROBE_BYTES = 256 * 1024 * 1024
 # The threshold rises with the input so that never more keys than this are hot.
-MAX_HOT_KEYS = 10_000
+MAX_HOT_KEYS = 100_000
 
 
 def planned_bytes(df: DataFrame) -> int | None:
@@ -43,6 +43,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows: int | None = None) -> Dat
     return df.sparkSession.createDataFrame(hot.collect(), hot.schema)
 
 
+def match_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on ``keys`` with NULL equal to NULL; the keys come from ``left``."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    test = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(renamed, test, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def by_heat(
     df: DataFrame,
     keys: Sequence[str],
@@ -57,6 +64,6 @@ def by_heat(
     if hot is None:
         return plan(df, False)
     hot = F.broadcast(hot)
-    normal = plan(df.join(hot, list(keys), "left_anti"), False)
-    heavy = plan(df.join(hot, list(keys), "left_semi"), True)
+    normal = plan(match_keys(df, hot, keys, "left_anti"), False)
+    heavy = plan(match_keys(df, hot, keys, "left_semi"), True)
     return normal.unionByName(heavy)

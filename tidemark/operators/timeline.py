@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.operators.skew import by_heat, hot_keys
+from tidemark.operators.skew import by_heat, hot_keys, match_keys
 from tidemark.session import stage
 
 _SLOT, _FROM = "_slot", "_from"
@@ -94,7 +94,7 @@ def _neighbours_heavy(df, keys, order, prev, following, rank, rank_newest):
     cols["_pos"] = position
     cols["_left"] = F.count(F.lit(1)).over(Window.partitionBy(*keys, _SLOT)) - position
     ranked = placed.withColumns(cols)
-    joined = ranked.join(F.broadcast(border), [*keys, _SLOT])
+    joined = match_keys(ranked, F.broadcast(border), [*keys, _SLOT], "inner")
     out = [F.col(c) for c in df.columns]
     out += [F.coalesce(name, f"_in_{name}").alias(name) for name in [*prev, *following]]
     if rank:
@@ -117,7 +117,7 @@ def per_key(
         whole = Window.partitionBy(*keys)
         return df.withColumns({name: agg.over(whole) for name, agg in aggs.items()})
     totals = df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in aggs.items()])
-    return df.join(F.broadcast(totals), list(keys), "left")
+    return match_keys(df, F.broadcast(totals), keys, "left")
 
 
 def rank_versions(

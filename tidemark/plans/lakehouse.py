@@ -20,11 +20,11 @@ from tidemark.plans.gold import empty_gold
 from tidemark.plans.monthly import SERVING_SCHEMA, agg_monthly_sales
 from tidemark.plans.product import load_dim_product, load_dim_product_history, product_enriched
 from tidemark.plans.raw import RAW_COLUMNS, read_raw
-from tidemark.plans.silver import HISTORIES, ORDER, empty_silver, load_silver
+from tidemark.plans.silver import HISTORIES, INSERT_ONLY, ORDER, empty_silver, load_silver, unseen_rows
 from tidemark.session import stage
 from tidemark.sources.export import as_serving, export_parquet
 from tidemark.sources.lookup import education, occupation
-from tidemark.sources.snapshots import latest_version, read_snapshot, replace
+from tidemark.sources.snapshots import append, latest_version, read_snapshot, replace
 from tidemark.streaming.incremental import pull_changes
 
 
@@ -55,9 +55,13 @@ class Lakehouse:
         """Load the raw text below ``raw_root``, one folder per table."""
         for table in tables:
             raw = read_raw(self.spark, table, f"{raw_root}/{table}")
-            state = load_silver(self.silver(table), raw, table, self.as_of)
-            cluster_by = HISTORIES[table].cluster_by if table in HISTORIES else ()
-            self._store(f"silver/{table}", state, cluster_by=cluster_by, files=self.files)
+            target, path = self.silver(table), self.path(f"silver/{table}")
+            if table in INSERT_ONLY:
+                # Only the new rows are written.
+                append(unseen_rows(target, raw, table, self.as_of), path)
+            else:
+                state = load_silver(target, raw, table, self.as_of)
+                replace(state, path, cluster_by=HISTORIES[table].cluster_by, files=self.files)
 
     def load_dimensions(self) -> None:
         s, g, at = self.silver, self.gold, self.as_of

@@ -12,7 +12,7 @@ from tidemark.functions.money import MONEY
 from tidemark.operators.conform import ColSpec, conform, with_load_ts
 from tidemark.operators.scd2 import LOAD_COL, scd2_apply
 from tidemark.operators.timeline import latest_per_key
-from tidemark.operators.upsert import insert_if_absent
+from tidemark.operators.upsert import new_keys
 from tidemark.plans.raw import RAW_COLUMNS
 
 ORDER = "modified_date"
@@ -175,6 +175,14 @@ def clean(raw: DataFrame, table: str) -> DataFrame:
     return latest_per_key(rows, [*keys, ORDER], ["_at", "rowguid"]).drop("_at")
 
 
+def unseen_rows(
+    target: DataFrame, raw: DataFrame, table: str, as_of: datetime | str | None = None
+) -> DataFrame:
+    """What a raw batch adds to an insert-only table."""
+    batch = with_load_ts(clean(raw, table), as_of=as_of)
+    return new_keys(batch, target, INSERT_ONLY[table])
+
+
 def load_silver(
     target: DataFrame,
     raw: DataFrame,
@@ -184,10 +192,9 @@ def load_silver(
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Next state of a cleaned table after a raw batch."""
-    batch = clean(raw, table)
     if table in INSERT_ONLY:
-        return insert_if_absent(target, with_load_ts(batch, as_of=as_of), INSERT_ONLY[table])
-    h = HISTORIES[table]
+        return target.unionByName(unseen_rows(target, raw, table, as_of))
+    batch, h = clean(raw, table), HISTORIES[table]
     return scd2_apply(
         target,
         batch,
