@@ -29,11 +29,27 @@ FIRST_LOAD = "2024-01-15 00:00:00"
 SECOND_LOAD = "2024-02-01 00:00:00"
 
 
-def query(name: str, sql: str | None = None):
-    """Register a query and the SQL that gives the same rows."""
+def query(name: str, sql: str | None = None, end_date: bool = False, optional: str = ""):
+    """Register a query and the SQL that gives the same rows.
+
+    ``end_date`` marks results with such a column. It is compared as text,
+    because the end of time does not fit the timestamps of pandas. ``optional``
+    names whole-number columns that may be NULL; they are compared as doubles,
+    the form both engines hand out for them.
+    """
+    doubles = optional.split()
+    swaps = [f"CAST({c} AS DOUBLE) AS {c}" for c in doubles]
+    if end_date:
+        swaps.append("strftime(end_date, '%Y-%m-%d %H:%M:%S.%f') AS end_date")
+    if sql is not None and swaps:
+        sql = f"SELECT * REPLACE ({', '.join(swaps)}) FROM ({sql})"
 
     def add(run):
-        QUERIES[name] = lambda spark, sf_dir: comparable(run(spark, sf_dir))
+        def checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+            found = run(spark, sf_dir)
+            return comparable(found.withColumns({c: F.col(c).cast("double") for c in doubles}))
+
+        QUERIES[name] = checked
         if sql is not None:
             SQL[name] = sql
         return run
@@ -43,11 +59,13 @@ def query(name: str, sql: str | None = None):
 
 def comparable(df: DataFrame) -> DataFrame:
     """Types that both engines hand out alike: decimals and floats as doubles,
-    dates as text, timestamps without a zone."""
+    dates and end dates as text, timestamps without a zone."""
     out = []
     for f in df.schema:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.DecimalType, T.FloatType)):
+        if f.name == "end_date":
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        elif isinstance(f.dataType, (T.DecimalType, T.FloatType)):
             c = c.cast("double")
         elif isinstance(f.dataType, T.DateType):
             c = c.cast("string")

@@ -376,6 +376,7 @@ WHERE {test}
     _PRODUCT_SQL.format(
         number="ProductNumber", cost="p_retailprice", since="2000-01-01", more="", stamp=SECOND_LOAD, test="true"
     ),
+    optional="SafetyStockLevel ReorderPoint",
 )
 def run_dim_product_current(spark, sf_dir):
     empty = spark.createDataFrame([], _PRODUCT_SCHEMA.format(number="ProductNumber", more=""))
@@ -394,6 +395,7 @@ def run_dim_product_current(spark, sf_dir):
         stamp=SECOND_LOAD,
         test="p_size > 25",
     ),
+    optional="SafetyStockLevel ReorderPoint",
 )
 def run_dim_product_history(spark, sf_dir):
     more = ", valid_to timestamp, closed_timestamp timestamp, year_valid_to int"
@@ -451,7 +453,11 @@ _SURVEY_SQL = f"""
 """
 
 
-@query("survey_xml", f"SELECT c_custkey, {_SURVEY_SQL} FROM customer")
+# Whole numbers that a survey may leave open.
+_COUNTS = "TotalChildren NumberChildrenAtHome NumberCarsOwned"
+
+
+@query("survey_xml", f"SELECT c_custkey, {_SURVEY_SQL} FROM customer", optional=_COUNTS)
 def run_survey_xml(spark, sf_dir):
     found = survey_fields(_with_survey(read(spark, sf_dir, "customer")), "demographics", SURVEY)
     return found.select("c_custkey", *SURVEY)
@@ -627,6 +633,7 @@ _SINCE = (
         "CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') "
         f"THEN TIMESTAMP '{SECOND_LOAD}' ELSE TIMESTAMP '{FIRST_LOAD}' END AS ingestion_timestamp"
     ),
+    optional=_COUNTS,
 )
 def run_dim_customer_current(spark, sf_dir):
     return _dim_customer(spark, sf_dir)[0]
@@ -641,6 +648,7 @@ def run_dim_customer_current(spark, sf_dir):
         "2023 AS year_valid_to"
     )
     + " WHERE c_mktsegment = 'BUILDING'",
+    optional=_COUNTS,
 )
 def run_dim_customer_history(spark, sf_dir):
     return _dim_customer(spark, sf_dir)[1]

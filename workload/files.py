@@ -52,6 +52,7 @@ SELECT CAST(c_custkey AS INTEGER) AS customer_id,
        TRY_CAST(c_mktsegment AS INTEGER) AS no_number
 FROM customer
 """,
+    optional="small_id no_number",
 )
 def run_conform_customer(spark, sf_dir):
     """Negative balances lose their sign; what does not fit its type is NULL."""
@@ -244,6 +245,9 @@ SELECT CAST(o_orderkey AS INTEGER) AS sales_order_id, 1 AS revision_number,
        CASE WHEN is_current THEN TIMESTAMP '9999-12-31' ELSE o_orderdate + INTERVAL 1 YEAR END AS end_date
 FROM rows
 """,
+    end_date=True,
+    optional="sales_person_id territory_id bill_to_address_id ship_to_address_id ship_method_id "
+    "credit_card_id currency_rate_id",
 )
 def run_silver_order_header(spark, sf_dir):
     """Two raw text files loaded one after the other into the order header history."""

@@ -169,6 +169,7 @@ SELECT t.* REPLACE (
 )
 FROM ({_TARGET_SQL}) t LEFT JOIN ({_CLOSING_SQL}) c ON t.user_id = c.user_id
 """,
+    end_date=True,
 )
 def run_scd2_close(spark, sf_dir):
     target = _target(spark, sf_dir)
@@ -207,7 +208,7 @@ SELECT * FROM old WHERE NOT is_current
 """
 
 
-@query("scd2_apply_events", _apply_sql("user_id", WATCHED))
+@query("scd2_apply_events", _apply_sql("user_id", WATCHED), end_date=True)
 def run_scd2_apply(spark, sf_dir):
     return scd2_apply(
         _target(spark, sf_dir), _batch(spark, sf_dir), ["user_id"], WATCHED, "ts",
@@ -215,7 +216,7 @@ def run_scd2_apply(spark, sf_dir):
     )
 
 
-@query("scd2_composite_events", _apply_sql("user_id, event_type", ["value"]))
+@query("scd2_composite_events", _apply_sql("user_id, event_type", ["value"]), end_date=True)
 def run_scd2_composite(spark, sf_dir):
     keys = ["user_id", "event_type"]
     return scd2_apply(
@@ -231,6 +232,7 @@ def run_scd2_composite(spark, sf_dir):
         ["event_type"],
         "FIRST_VALUE(b.props) OVER (PARTITION BY b.user_id ORDER BY b.ts DESC, b.event_id DESC)",
     ),
+    end_date=True,
 )
 def run_scd2_latest_attr(spark, sf_dir):
     return scd2_apply(
@@ -251,6 +253,7 @@ WHERE NOT EXISTS (SELECT 1 FROM ({_OLD_SQL}) o
                   WHERE o.user_id = b.user_id AND o.event_type = b.event_type AND o.value = b.value)
 WINDOW w AS (PARTITION BY user_id, event_type, value ORDER BY ts, event_id)
 """,
+    end_date=True,
 )
 def run_scd2_insert_only(spark, sf_dir):
     keys = ["user_id", "event_type", "value"]
@@ -260,6 +263,6 @@ def run_scd2_insert_only(spark, sf_dir):
     )
 
 
-@query("current_rows", f"SELECT * FROM ({_TARGET_SQL}) WHERE is_current")
+@query("current_rows", f"SELECT * FROM ({_TARGET_SQL}) WHERE is_current", end_date=True)
 def run_current_rows(spark, sf_dir):
     return current(_target(spark, sf_dir))
