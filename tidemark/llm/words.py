@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # Bytes of text looked at together; each takes some 50 bytes of scratch memory.
 SLICE_BYTES = 2_000_000
@@ -60,13 +61,9 @@ def buffers(texts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(table, column: str = "text") -> Iterator:
-    """Runs of whole rows of about ``SLICE_BYTES``, a longer text alone."""
-    size = np.cumsum(table.column(column).cast(pa.large_binary()).fill_null(b"").combine_chunks().value_lengths().to_numpy()) \
-        if isinstance(table, pa.Table) and table.num_rows else None
-    if size is None:
-        if table.num_rows:
-            yield from slices(pa.Table.from_batches([table]), column)
-        return
+    """Runs of whole rows of about ``SLICE_BYTES``; a longer text comes alone."""
+    length = pc.fill_null(pc.binary_length(table.column(column)), 0)
+    size = np.cumsum(np.asarray(length, np.int64))
     at = 0
     while at < table.num_rows:
         base = size[at - 1] if at else 0
