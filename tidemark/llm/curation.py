@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm.decontaminate import contaminated_words
 from tidemark.llm.exact import exact_duplicates
 from tidemark.llm.mixing import mix_sources
+from tidemark.llm.near import near_duplicates
 from tidemark.llm.registry import query, read
 
 
@@ -61,3 +62,8 @@ def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", "n_items",
         F.sha2(F.array_join("item_list", ","), 256).alias("items_sha256"), "contaminated",
     )
+
+
+@query("op8_near_dedup")
+def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"), width=4)
