@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.llm.language_model import score_language_model
 from tidemark.llm.licences import licence_scan
 from tidemark.llm.nbsvm import fit, labelled_texts, score_texts
 from tidemark.llm.registry import query, read
@@ -26,3 +27,9 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_licence_scan")
 def licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_scan(read(spark, sf_dir, "documents"))
+
+
+@query("op2_language_model")
+def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train = "crc32(cast(cast(doc_id as string) as binary)) % 10 <> 0"
+    return score_language_model(read(spark, sf_dir, "documents"), train)
