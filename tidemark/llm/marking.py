@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.llm.crf import extract_main_text
 from tidemark.llm.language_model import score_language_model
 from tidemark.llm.licences import licence_scan
 from tidemark.llm.nbsvm import fit, labelled_texts, score_texts
@@ -33,3 +34,8 @@ def licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = "crc32(cast(cast(doc_id as string) as binary)) % 10 <> 0"
     return score_language_model(read(spark, sf_dir, "documents"), train)
+
+
+@query("op5_main_text")
+def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(read(spark, sf_dir, "pages"))
