@@ -125,10 +125,11 @@ def contaminated_words(
     body = F.col(f"`{text}`")
     rows = docs.select(
         F.col(f"`{key}`").alias("_own"), F.xxhash64(body).alias("_h"), body.alias("_text"),
-        *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carried)],
+        *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carried) if c != text],
     )
     same = F.col("_own").eqNullSafe(F.col("_key")) & (F.col("_h") == F.col("_hash"))
-    carried_cols = [f"_c{i}" for i in range(len(carried))]
+    # The text is shuffled once, also where it is asked for.
+    carried_cols = [F.col("_text" if c == text else f"_c{i}").alias(f"_c{i}") for i, c in enumerate(carried)]
     told = rows.join(by_doc, same, "left").select(
         "_own", *carried_cols, "cands", words_of(F.coalesce("_text", F.lit(""))).alias("_words"),
     )
@@ -139,7 +140,7 @@ def contaminated_words(
         F.coalesce("cands", F.array().cast(by_doc.schema["cands"].dataType)),
         lambda c: F.slice(F.col("_words"), c["start"] + 1, F.size(c["words"])) == c["words"],
     )
-    told = told.select("_own", *carried_cols, "_n", exact.alias("hits"))
+    told = told.select("_own", *[f"_c{i}" for i in range(len(carried))], "_n", exact.alias("hits"))
     spans = F.array_sort(
         F.transform("hits", lambda c: F.struct(
             c["start"].cast("long").alias("start"), F.size(c["words"]).cast("long").alias("length")))
