@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.elias_fano import Trie
-from tidemark.llm.parts import BLOB, answer, ask, blob_table, pack, part_count, unpack
+from tidemark.llm.parts import BLOB, answer, ask, blob_table, pack, part_count, steps, summed, unpack
 from tidemark.llm.words import BLANK_SEPARATED, Words, _STEP, mix, slices
 from tidemark.session import stage
 
@@ -103,10 +103,10 @@ def score_language_model(
         every = np.concatenate([t.words, [_BEGIN]])
         count = np.append(np.bincount(t.word_of[t.train], minlength=len(t.words)), np.asarray(table.column("train")).sum())
         for s, own in _dealt(_shard(every, shards), shards):
-            yield s, pack(every[own], count[own].astype(np.uint32))
+            yield s, pack(steps(every[own]), count[own].astype(np.uint32))
 
     def tell_words(shard, parts, blobs):
-        told = [unpack(b) for b in blobs]
+        told = [(summed(w), c) for w, c in map(unpack, blobs)]
         words, back = np.unique(np.concatenate([w for w, _ in told]), return_inverse=True)
         total = np.bincount(back, np.concatenate([c for _, c in told])).astype(np.int64)
         token = words != _BEGIN
@@ -148,7 +148,7 @@ def score_language_model(
             new = np.append(True, v[own][1:] != v[own][:-1])
             run = np.diff(np.append(np.flatnonzero(new), len(own)))
             name, first, back = np.unique(w[own], return_index=True, return_inverse=True)
-            yield s, pack(v[own][new], run.astype(np.uint32), c_v[own][new], name, c_w[own][first], back.astype(np.uint32), count[own].astype(np.uint32))
+            yield s, pack(steps(v[own][new]), run.astype(np.uint32), c_v[own][new], steps(name), c_w[own][first], back.astype(np.uint32), count[own].astype(np.uint32))
 
     def sent(table: pa.Table, told: pa.Table) -> pa.Table:
         if not table.num_rows:
@@ -161,6 +161,7 @@ def score_language_model(
         v, w, c, c_v, c_w = [], [], [], [], []
         for b in blobs:
             head, run, hv, name, hw, back, count = unpack(b)
+            head, name = summed(head), summed(name)
             v.append(np.repeat(head, run)), w.append(name[back]), c.append(count)
             c_v.append(np.repeat(hv, run)), c_w.append(hw[back])
         size = [len(x) for x in v]
