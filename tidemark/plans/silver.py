@@ -6,11 +6,11 @@ import re
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.money import MONEY
 from tidemark.operators.conform import ColSpec, conform, with_load_ts
-from tidemark.operators.scd2 import LOAD_COL, scd2_apply
+from tidemark.operators.scd2 import LOAD_COL, scd2_apply, undated
 from tidemark.operators.timeline import latest_per_key
 from tidemark.operators.upsert import new_keys
 from tidemark.plans.raw import RAW_COLUMNS
@@ -43,81 +43,125 @@ class History:
 
     keys: tuple[str, ...]
     monitored: tuple[str, ...] = ()
-    newest_only: bool = False
     normalise: tuple[str, ...] = ()
     latest_cols: tuple[str, ...] = ()
     cluster_by: tuple[str, ...] = ()
 
 
-def _words(text: str) -> tuple[str, ...]:
-    return tuple(text.split())
-
-
-def _history(keys: str, monitored: str = "", cluster_by: str = "", **more) -> History:
-    return History(_words(keys), _words(monitored), cluster_by=_words(cluster_by or keys), **more)
-
-
-# Fixed values. ``newest_only`` tables compare just the newest row of a batch
-# when they look for keys to close.
+# Key, watched columns and cluster columns of each history table.
 HISTORIES = {
-    "sales_customer": _history(
-        "customer_id", "territory_id store_id person_id account_number", "customer_id territory_id"
-    ),
-    "sales_salesorderheader": _history(
-        "sales_order_id", "sub_total status_code total_due", "customer_id order_date"
-    ),
-    "person_person": _history(
-        "business_entity_id",
-        "first_name last_name middle_name title email_promotion person_type",
-        "last_name first_name",
-    ),
-    "person_address": _history(
-        "address_id",
-        "address_line1 address_line2 city postal_code state_province_id",
-        "city state_province_id",
-    ),
-    "person_stateprovince": _history(
-        "state_province_id",
-        "name country_region_code territory_id is_only_state_province_flag",
-        "country_region_code",
-    ),
-    "person_countryregion": _history("country_region_code", "name"),
-    "production_product": _history(
-        "product_id",
-        "name list_price standard_cost product_line class product_subcategory_id",
-        "product_subcategory_id product_id",
-        newest_only=True,
-    ),
-    "production_productcategory": _history("product_category_id", "name"),
-    "production_productsubcategory": _history(
-        "product_subcategory_id", "name product_category_id", "product_category_id"
-    ),
-    "person_emailaddress": _history("business_entity_id email_address_id", "email_address"),
-    "person_personphone": _history("business_entity_id phone_number_type_id", "phone_number"),
-    "person_businessentityaddress": _history(
-        "business_entity_id address_type_id", "address_id", newest_only=True
-    ),
-    "production_productdescription": _history("product_description_id", "description"),
-    "production_productmodel": _history(
-        "product_model_id",
-        "name catalog_description",
+    "sales_customer": History(
+        keys=("customer_id",),
+        monitored=("territory_id", "store_id", "person_id", "account_number"),
+        cluster_by=("customer_id", "territory_id"),
+    ),
+    "sales_salesorderheader": History(
+        keys=("sales_order_id",),
+        monitored=("sub_total", "status_code", "total_due"),
+        cluster_by=("customer_id", "order_date"),
+    ),
+    "person_person": History(
+        keys=("business_entity_id",),
+        monitored=("first_name", "last_name", "middle_name", "title", "email_promotion", "person_type"),
+        cluster_by=("last_name", "first_name"),
+    ),
+    "person_address": History(
+        keys=("address_id",),
+        monitored=("address_line1", "address_line2", "city", "postal_code", "state_province_id"),
+        cluster_by=("city", "state_province_id"),
+    ),
+    "person_stateprovince": History(
+        keys=("state_province_id",),
+        monitored=("name", "country_region_code", "territory_id", "is_only_state_province_flag"),
+        cluster_by=("country_region_code",),
+    ),
+    "person_countryregion": History(
+        keys=("country_region_code",),
+        monitored=("name",),
+        cluster_by=("country_region_code",),
+    ),
+    "production_product": History(
+        keys=("product_id",),
+        monitored=("name", "list_price", "standard_cost", "product_line", "class", "product_subcategory_id"),
+        cluster_by=("product_subcategory_id", "product_id"),
+    ),
+    "production_productcategory": History(
+        keys=("product_category_id",),
+        monitored=("name",),
+        cluster_by=("product_category_id",),
+    ),
+    "production_productsubcategory": History(
+        keys=("product_subcategory_id",),
+        monitored=("name", "product_category_id"),
+        cluster_by=("product_category_id",),
+    ),
+    "person_emailaddress": History(
+        keys=("business_entity_id", "email_address_id"),
+        monitored=("email_address",),
+        cluster_by=("business_entity_id", "email_address_id"),
+    ),
+    "person_personphone": History(
+        keys=("business_entity_id", "phone_number_type_id"),
+        monitored=("phone_number",),
+        cluster_by=("business_entity_id", "phone_number_type_id"),
+    ),
+    "person_businessentityaddress": History(
+        keys=("business_entity_id", "address_type_id"),
+        monitored=("address_id",),
+        cluster_by=("business_entity_id", "address_type_id"),
+    ),
+    "production_productdescription": History(
+        keys=("product_description_id",),
+        monitored=("description",),
+        cluster_by=("product_description_id",),
+    ),
+    "production_productmodel": History(
+        keys=("product_model_id",),
+        monitored=("name", "catalog_description"),
         normalise=("catalog_description",),
         latest_cols=("instructions",),
+        cluster_by=("product_model_id",),
+    ),
+    "production_unitmeasure": History(
+        keys=("unit_measure_code",),
+        monitored=("name",),
+        cluster_by=("unit_measure_code",),
     ),
-    "production_unitmeasure": _history("unit_measure_code", "name"),
-    "sales_salesreason": _history("sales_reason_id", "name reason_type", newest_only=True),
-    "sales_salesterritory": _history(
-        "territory_id", "name country_region_code territory_group", "country_region_code territory_id"
+    "sales_salesreason": History(
+        keys=("sales_reason_id",),
+        monitored=("name", "reason_type"),
+        cluster_by=("sales_reason_id",),
     ),
-    "sales_specialoffer": _history(
-        "special_offer_id",
-        "description discount_pct type category start_date end_date_offer min_qty max_qty",
-        "special_offer_id start_date",
+    "sales_salesterritory": History(
+        keys=("territory_id",),
+        monitored=("name", "country_region_code", "territory_group"),
+        cluster_by=("country_region_code", "territory_id"),
     ),
-    "production_productphoto": _history("product_photo_id"),
-    "production_productproductphoto": _history("product_id product_photo_id"),
-    "production_productmodelproductdescriptionculture": _history(
-        "product_model_id product_description_id culture_id"
+    "sales_specialoffer": History(
+        keys=("special_offer_id",),
+        monitored=(
+            "description",
+            "discount_pct",
+            "type",
+            "category",
+            "start_date",
+            "end_date_offer",
+            "min_qty",
+            "max_qty",
+        ),
+        cluster_by=("special_offer_id", "start_date"),
+    ),
+    "production_productphoto": History(
+        keys=("product_photo_id",),
+        cluster_by=("product_photo_id",),
+    ),
+    "production_productproductphoto": History(
+        keys=("product_id", "product_photo_id"),
+        cluster_by=("product_id", "product_photo_id"),
+    ),
+    "production_productmodelproductdescriptionculture": History(
+        keys=("product_model_id", "product_description_id", "culture_id"),
+        cluster_by=("product_model_id", "product_description_id", "culture_id"),
     ),
 }
 
@@ -183,6 +227,11 @@ def unseen_rows(
     return new_keys(batch, target, INSERT_ONLY[table])
 
 
+def rejected_rows(raw: DataFrame, table: str, as_of: datetime | str | None = None) -> DataFrame:
+    """Rows of a history table that have a key but no readable date."""
+    return with_load_ts(undated(clean(raw, table), HISTORIES[table].keys, ORDER), as_of=as_of)
+
+
 def load_silver(
     target: DataFrame,
     raw: DataFrame,
@@ -191,13 +240,14 @@ def load_silver(
     null_safe: bool = True,
     hot_rows: int | None = None,
 ) -> DataFrame:
-    """Next state of a cleaned table after a raw batch."""
+    """Next state of a cleaned table after a raw batch. Rows without a date are
+    left to :func:`rejected_rows`."""
     if table in INSERT_ONLY:
         return target.unionByName(unseen_rows(target, raw, table, as_of))
     batch, h = clean(raw, table), HISTORIES[table]
     return scd2_apply(
         target,
-        batch,
+        batch.filter(F.col(ORDER).isNotNull()),
         h.keys,
         h.monitored,
         ORDER,
