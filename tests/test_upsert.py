@@ -170,3 +170,43 @@ def test_follow_files(spark):
     assert run() == 2
     assert run() == 2
     assert rows(read_snapshot(spark, path)) == [(1, "a", "x"), (2, "B", "y"), (3, "c", "z")]
+
+
+def test_merge_checks_its_source_with_an_empty_target(spark):
+    source = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
+    with pytest.raises(Exception, match="more than one row for a key"):
+        merge_upsert(source.limit(0), source, ["k"]).collect()
+
+
+def test_insert_one_per_key(spark):
+    source = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
+    assert rows(insert_if_absent(source.limit(0), source, ["k"], one_per_key=True)) == [(1, "b"), (2, "c")]
+
+
+def test_a_failed_commit_does_not_block_the_table(spark, monkeypatch):
+    from tidemark.sources import snapshots
+
+    path, df = work_path(spark, "crash"), spark.range(3)
+    replace(df, path)
+    with monkeypatch.context() as m:
+        m.setattr(snapshots, "_commit", lambda *a: 1 / 0)  # data written, log file lost
+        with pytest.raises(ZeroDivisionError):
+            replace(df, path)
+    assert latest_version(spark, path) == 1
+    assert append(df, path) == 2 and read_snapshot(spark, path).count() == 6
+
+
+def test_the_second_of_two_writers_is_refused(spark, monkeypatch):
+    from tidemark.sources import snapshots
+
+    path, df = work_path(spark, "race"), spark.range(3)
+    replace(df, path)
+    stale = snapshots._entry(spark, path)
+    append(df, path)
+    with monkeypatch.context() as m:
+        m.setattr(snapshots, "_entry", lambda *a: stale)  # read before the other writer's commit
+        with pytest.raises(ValueError, match="another writer"):
+            append(df, path)
+    assert read_snapshot(spark, path).count() == 6
+    with pytest.raises(ValueError):
+        replace(df, path, cluster_by=["id"], files=2, partition_by=["id"])

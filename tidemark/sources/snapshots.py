@@ -1,18 +1,21 @@
 """Versions of a table as parquet folders plus a log.
 
-Rows live in ``path/data/<folder>`` and ``path/log`` holds one row per version
-with the folders that make it up. A version is written to a new folder and
-becomes visible with its log row, so a plan never overwrites what it reads and
-a failed run leaves nothing behind that a reader would see. An append writes
-only the new rows.
+Rows live in ``path/data/<folder>`` and ``path/log`` holds one file per version
+with the folders that make it up. A version is written to a folder of its own
+name and becomes visible with its log file, so a plan never overwrites what it
+reads, and what a failed run leaves behind hinders neither readers nor later
+writers. Of two writers of the same version the second one's log file is
+refused. An append writes only the new rows.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
@@ -27,11 +30,12 @@ LOG_SCHEMA = (
 def snapshot_log(spark: SparkSession, path: str) -> DataFrame:
     """One row per version: number, time, rows, note, folders and schema."""
     try:
-        return spark.read.schema(LOG_SCHEMA).parquet(f"{path}/log")
+        log = spark.read.schema(LOG_SCHEMA).json(f"{path}/log", pathGlobFilter="v=*.json")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], LOG_SCHEMA)
+    return log
 
 
 def _entry(spark: SparkSession, path: str, version: int | None = None) -> Row | None:
@@ -41,6 +45,28 @@ def _entry(spark: SparkSession, path: str, version: int | None = None) -> Row |
     return log.orderBy(F.desc("version")).first()
 
 
+def _commit(spark: SparkSession, path: str, version: int, entry: tuple) -> None:
+    """Put the log file of a version in place, unless another writer did."""
+    temporary = f"{path}/log/_new-{uuid.uuid4().hex}"
+    spark.createDataFrame([entry], LOG_SCHEMA).coalesce(1).write.json(temporary)
+    fs = spark._jvm.org.apache.hadoop.fs
+    to_path = lambda p: fs.Path(p)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    files = to_path(path).getFileSystem(conf)
+    part = next(s.getPath() for s in files.globStatus(to_path(f"{temporary}/part-*.json")))
+    context = fs.FileContext.getFileContext(files.getUri(), conf)
+    none = spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 0)
+    try:
+        # Without the overwrite option a rename onto a file fails.
+        context.rename(part, to_path(f"{path}/log/v={version}.json"), none)
+    except Py4JJavaError as e:
+        if "AlreadyExists" not in str(e.java_exception):
+            raise
+        raise ValueError(f"another writer has stored version {version} of {path}") from None
+    finally:
+        files.delete(to_path(temporary), True)
+
+
 def latest_version(spark: SparkSession, path: str) -> int | None:
     entry = _entry(spark, path)
     return None if entry is None else entry.version
@@ -59,9 +85,11 @@ def write_snapshot(
     """Write the next version of the table and return its number.
 
     With ``keep`` the version also holds the rows of the version before it.
-    The rows are counted while they are written. Two writers that pick the same
-    number write the same folder; the second one fails.
+    The rows are counted while they are written. Give either ``cluster_by`` with
+    ``files`` or ``partition_by``.
     """
+    if cluster_by and partition_by:
+        raise ValueError("a table is clustered or partitioned, not both")
     spark = df.sparkSession
     last = _entry(spark, path)
     version = 1 if last is None else last.version + 1
@@ -77,14 +105,13 @@ def write_snapshot(
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    folder = f"data/v={version}"
+    folder = f"data/{version}-{uuid.uuid4().hex}"
     writer.parquet(f"{path}/{folder}")
     folders, rows = [folder], seen.get["rows"]
     if keep and last is not None:
         folders, rows = [*last.folders, folder], last.rows + rows
     when = as_of or datetime.now(timezone.utc)
-    entry = [(version, when, rows, note, folders, schema.json())]
-    spark.createDataFrame(entry, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{path}/log")
+    _commit(spark, path, version, (version, when, rows, note, folders, schema.json()))
     return version
 
 
