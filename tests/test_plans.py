@@ -299,3 +299,22 @@ def test_counts_and_probe(spark):
 
 def test_shared_dir_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
+def test_cluster_reads_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(5000).selectExpr("id", "id % 70 AS g").mapInArrow(count, "id long, g long")
+    assert cluster(df, ["id", "g"], 4).count() == 5000 and seen.value == 5000
+
+
+def test_cluster_tells_texts_with_a_common_start_apart(spark):
+    df = spark.range(20_000).selectExpr("concat('Customer#0000', lpad(id, 9, '0')) AS a", "hash(id) AS b")
+    spread = cluster(df, ["a", "b"], 64).groupBy(F.spark_partition_id()).agg(F.min("a"), F.max("a")).collect()
+    width = [int(r[2][-9:]) - int(r[1][-9:]) for r in spread]
+    assert sorted(width)[len(width) // 2] < 20_000 / 4

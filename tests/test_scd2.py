@@ -206,3 +206,14 @@ def test_windows_share_one_shuffle(spark):
     windows = [i for i in range(len(plan)) if plan.startswith("Window [", i)]
     first, last = windows[0], windows[-1]
     assert "Exchange" not in plan[first:last] and plan[first:last].count("Sort [") <= 1
+
+
+def test_undated_rows_fail_and_can_be_taken_out(spark):
+    from tidemark.operators.scd2 import undated
+
+    batch = spark.createDataFrame([(1, "a", 1), (1, "b", None), (None, "c", None)], "k int, v string, at int")
+    state = "k int, v string, at int, _ingestion_timestamp timestamp, is_current boolean, end_date int"
+    empty = spark.createDataFrame([], state)
+    with pytest.raises(Exception, match="no at"):
+        scd2_apply(empty, batch, ["k"], ["v"], "at").collect()
+    assert rows(undated(batch, ["k"], "at").select("k", "v")) == [(1, "b")]

@@ -6,49 +6,73 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-_BITS = 4
+from tidemark.session import stage
+
+# Ranges of a column, at most: more files than this many cells gain nothing.
+MOST_BITS = 10
+
+
+def _borders(df: DataFrame, name: str, ranges: int) -> list:
+    """Values that cut a column into ``ranges`` parts of about equal row counts.
+
+    Numbers and times use approximate percentiles, text the least value of each
+    part of a range partitioning by the whole value.
+    """
+    if not isinstance(df.schema[name].dataType, (T.StringType, T.BinaryType)):
+        cuts = [i / ranges for i in range(1, ranges)]
+        found = df.agg(F.percentile_approx(_as_number(df, name), cuts)).first()[0]
+        return sorted(set(found or []))
+    parts = df.select(name).filter(F.col(name).isNotNull()).repartitionByRange(ranges, name)
+    least = parts.groupBy(F.spark_partition_id().alias("_at")).agg(F.min(name).alias("_least"))
+    return sorted({r["_least"] for r in least.collect()})[1:]
 
 
 def _as_number(df: DataFrame, name: str) -> Column:
-    """An order-preserving number for a column (text: its first six bytes)."""
     kind, c = df.schema[name].dataType, F.col(name)
-    if isinstance(kind, T.StringType):
-        prefix = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0")
-        return F.conv(prefix, 16, 10).cast("double")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return F.unix_micros(c.cast("timestamp")).cast("double")
     return c.cast("double")
 
 
-def z_key(df: DataFrame, cols: Sequence[str]) -> Column:
+def _reached(value: Column, text: bool):
+    """A border of text is the least value beyond it, of numbers the greatest before it."""
+    return lambda border: (border <= value) if text else (border < value)
+
+
+def z_key(df: DataFrame, cols: Sequence[str], files: int) -> Column:
     """One number per row that is near for rows near in all of ``cols``.
 
-    Each column is cut into 16 ranges of about equal row counts and the bits of
-    the range numbers are interleaved. One aggregation reads the borders of
-    all columns; only 15 numbers per column reach the driver.
+    Each column is cut into ranges of about equal row counts and the bits of the
+    range numbers are interleaved. The ranges follow from the number of files:
+    at least two cells for each. Only the borders reach the driver.
     """
-    cuts = [i / 2**_BITS for i in range(1, 2**_BITS)]
-    borders = df.agg(
-        *[F.percentile_approx(_as_number(df, c), cuts).alias(f"b{i}") for i, c in enumerate(cols)]
-    ).first()
+    bits = min(MOST_BITS, max(2, -(-(2 * files - 1).bit_length() // len(cols))))
     key = F.lit(0).cast("long")
     for i, c in enumerate(cols):
-        at = sum((F.when(_as_number(df, c) > b, 1).otherwise(0) for b in borders[i] or []), F.lit(0))
-        for bit in range(_BITS):
-            one = at.bitwiseAND(F.lit(1 << bit)).cast("long")
-            key = key + F.shiftleft(one, bit * len(cols) + i - bit)
+        borders = _borders(df, c, 2**bits)
+        text = isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))
+        value = F.col(c) if text else _as_number(df, c)
+        listed = F.array(*[F.lit(b) for b in borders]) if borders else F.array().cast("array<double>")
+        below = F.size(F.filter(listed, _reached(value, text)))
+        at = F.coalesce(F.when(value.isNotNull(), below), F.lit(0))
+        for bit in range(bits):
+            one = F.shiftright(at, bit).bitwiseAND(F.lit(1)).cast("long")
+            key = key + F.shiftleft(one, bit * len(cols) + i)
     return key
 
 
 def cluster(df: DataFrame, cols: Sequence[str], files: int) -> DataFrame:
     """Rows with near values of ``cols`` in the same of ``files`` partitions.
 
-    The row hash and the source partition follow the key, so that a value held
-    by very many rows, even exact copies, is spread over several files.
+    The borders, the sample of the range partitioning and the write each read the rows, so these
+    are staged first and computed once. The row hash and the place in the copy
+    follow the key, so that a value held by very many rows, even exact copies,
+    is spread over several files.
     """
-    key = z_key(df, cols) if len(cols) > 1 else F.col(cols[0])
+    df = stage(df, "cluster")
+    key = z_key(df, cols, files) if len(cols) > 1 else F.col(cols[0])
     salted = df.withColumns(
-        {"_z": key, "_h": F.xxhash64(*df.columns), "_from": F.spark_partition_id()}
+        {"_z": key, "_h": F.xxhash64(*df.columns), "_from": F.monotonically_increasing_id()}
     )
     return (
         salted.repartitionByRange(files, "_z", "_h", "_from")

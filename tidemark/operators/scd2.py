@@ -17,6 +17,7 @@ from tidemark.functions.text import norm_xml
 from tidemark.operators.skew import by_heat, hot_keys
 from tidemark.operators.timeline import differs, latest_per_key, neighbours, per_key
 from tidemark.operators.upsert import new_keys
+from tidemark.session import stage
 
 END_OF_TIME = "9999-12-31"
 LOAD_COL = "_ingestion_timestamp"
@@ -120,13 +121,16 @@ def scd2_apply(
       by the other columns stays.
     * ``latest_cols`` take the newest batch value on every inserted row.
     * With nothing watched only new keys are added.
+    * A row without a date has no place in the order and fails the load; take
+      such rows out before with :func:`undated`.
 
     Keys absent from the batch and closed rows are passed through untouched.
     """
     keys = list(keys)
     state = [load_col, "is_current", "end_date"]
     data = [c for c in target.columns if c not in state]
-    batch = batch.select(*data).na.drop(subset=keys)
+    # Stored once: the probe, the target's filters and the history all read it.
+    batch = stage(_dated(batch.select(*data).na.drop(subset=keys), order), "batch")
     # The remaining columns complete the order, so equal dates never tie.
     ties = [*ties, *[c for c in data if c not in {*keys, order, *ties}]]
     if not monitored:
@@ -168,6 +172,17 @@ def scd2_apply(
     return kept.unionByName(fresh).select(*target.columns)
 
 
+def undated(batch: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """Rows with a key that cannot be placed in its history."""
+    return batch.na.drop(subset=list(keys)).filter(F.col(order).isNull())
+
+
+def _dated(batch: DataFrame, order: str) -> DataFrame:
+    message = F.lit(f"a batch row has no {order}; see undated()")
+    failed = F.raise_error(message).cast("boolean")
+    return batch.filter(F.when(F.col(order).isNull(), failed).otherwise(True))
+
+
 def _spread_latest(batch, keys, order, ties, latest_cols, hot):
     def plan(rows: DataFrame, heavy: bool) -> DataFrame:
         newest = F.max_by(F.struct(*latest_cols), F.struct(order, *ties))
@@ -213,7 +228,7 @@ def _history(rows, keys, order, ties, monitored, watched, null_safe, heavy):
         .otherwise(F.lit(True))
     )
     rows = rows.filter(
-        (kind == _CURRENT) | ((kind == _BATCH) & F.coalesce(late_enough, F.lit(False)))
+        (kind == _CURRENT) | ((kind == _BATCH) & late_enough)
     )
 
     # A known key keeps only rows that change a watched column.

@@ -6,41 +6,23 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-# A key with more rows than this is spread over several tasks.
-HOT_ROWS = 1_000_000
-# Below this planned size no single key can overload a task, so no probe runs.
-PROBE_BYTES = 256 * 1024 * 1024
-# The threshold rises with the input so that never more keys than this are hot.
-MAX_HOT_KEYS = 100_000
-
+from tidemark.session import stage
 
-def planned_bytes(df: DataFrame) -> int | None:
-    """Size Catalyst expects ``df`` to have; None where it cannot be asked."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
+# A key with more rows than this is spread over several tasks. Lower it for
+# tables whose rows are wide; it does not move with the input.
+HOT_ROWS = 1_000_000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], rows: int | None = None) -> DataFrame | None:
     """Keys with more than ``rows`` rows, or None when there are none.
 
-    The counts are combined before the shuffle, so the probe itself has no hot
-    task. At most ``MAX_HOT_KEYS`` keys can pass: each holds more than
-    total / MAX_HOT_KEYS rows. Only those keys reach the driver.
+    One job at every size: the counts are combined before the shuffle, so the
+    probe itself has no hot task, and the few keys that pass are written to the
+    shared folder. There are fewer than (rows of ``df``) / ``rows`` of them.
     """
-    if rows is None:
-        size = planned_bytes(df)
-        if size is not None and size < PROBE_BYTES:
-            return None
-        rows = HOT_ROWS
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total, largest = counts.agg(F.sum("_n"), F.max("_n")).first()
-    if not largest or largest <= rows:
-        return None
-    floor = max(rows, total // MAX_HOT_KEYS)
-    hot = counts.filter(F.col("_n") > floor).select(*keys)
-    return df.sparkSession.createDataFrame(hot.collect(), hot.schema)
+    hot = stage(counts.filter(F.col("_n") > (HOT_ROWS if rows is None else rows)).select(*keys), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def match_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -58,12 +40,12 @@ def by_heat(
 ) -> DataFrame:
     """Run ``plan(rows, heavy)`` on the normal keys and on the hot keys.
 
-    ``hot`` comes from :func:`hot_keys` and so has a proven size bound, which is
-    what allows the broadcast.
+    ``hot`` comes from :func:`hot_keys`. It is stored, so Spark knows its size
+    and broadcasts it where that is safe; a larger one is a join that splits
+    skewed keys.
     """
     if hot is None:
         return plan(df, False)
-    hot = F.broadcast(hot)
     normal = plan(match_keys(df, hot, keys, "left_anti"), False)
     heavy = plan(match_keys(df, hot, keys, "left_semi"), True)
     return normal.unionByName(heavy)

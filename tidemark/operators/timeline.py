@@ -94,7 +94,8 @@ def _neighbours_heavy(df, keys, order, prev, following, rank, rank_newest):
     cols["_pos"] = position
     cols["_left"] = F.count(F.lit(1)).over(Window.partitionBy(*keys, _SLOT)) - position
     ranked = placed.withColumns(cols)
-    joined = match_keys(ranked, F.broadcast(border), [*keys, _SLOT], "inner")
+    # Rows are few, but may be wide: Spark decides by their size.
+    joined = match_keys(ranked, border, [*keys, _SLOT], "inner")
     out = [F.col(c) for c in df.columns]
     out += [F.coalesce(name, f"_in_{name}").alias(name) for name in [*prev, *following]]
     if rank:
@@ -111,13 +112,13 @@ def per_key(
     """Attach aggregates of the whole key to each of its rows.
 
     For hot keys they are aggregated first (with a map-side part) and joined
-    back; there is one row per hot key, which is bounded.
+    back by a join that Spark splits where a key is skewed.
     """
     if not heavy:
         whole = Window.partitionBy(*keys)
         return df.withColumns({name: agg.over(whole) for name, agg in aggs.items()})
     totals = df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in aggs.items()])
-    return match_keys(df, F.broadcast(totals), keys, "left")
+    return match_keys(df, totals, keys, "left")
 
 
 def rank_versions(

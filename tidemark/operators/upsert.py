@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.session import stage
+
 
 def present_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct keys of ``source`` that ``target`` holds.
@@ -27,8 +29,18 @@ def restrict_to_keys(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) ->
     return df.join(keys_df.select(*keys).distinct(), list(keys), "left_semi")
 
 
-def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``target`` plus the rows of ``source`` with an unseen key."""
+def insert_if_absent(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], one_per_key: bool = False
+) -> DataFrame:
+    """``target`` plus the rows of ``source`` with an unseen key.
+
+    With ``one_per_key`` a key of several source rows gets the greatest of them,
+    so that the key stays unique in the target.
+    """
+    if one_per_key:
+        rest = [c for c in source.columns if c not in keys]
+        order = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in rest] or [F.lit(1)])
+        source = source.withColumn("_nth", F.row_number().over(order)).filter("_nth = 1").drop("_nth")
     return target.unionByName(new_keys(source, target, keys).select(*target.columns))
 
 
@@ -63,7 +75,9 @@ def merge_upsert(
     split.
     """
     keys, stamp = list(keys), stamp or {}
-    unique = one_row_per_key(source, keys)
+    # Checked and computed once; every later use, also with an empty target,
+    # reads the checked rows.
+    unique = stage(one_row_per_key(source, keys), "merge-source")
     if update_cols is None:
         update_cols = [c for c in target.columns if c not in keys and c in source.columns]
     payload = F.struct(F.lit(True).alias("_hit"), *[c for c in update_cols if c not in stamp])
@@ -82,7 +96,7 @@ def merge_upsert(
     merged = joined.select(*out)
     if not insert:
         return merged
-    fresh = new_keys(source, target, keys).withColumns(stamp)
+    fresh = new_keys(unique, target, keys).withColumns(stamp)
     missing = [c for c in target.columns if c not in fresh.columns]
     fresh = fresh.withColumns({c: F.lit(None) for c in missing}).select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema]
