@@ -60,16 +60,19 @@ def customer_enriched(
     """Changed customer rows with person, survey, contact and translations.
 
     A person with several e-mails, phones or addresses takes the one with the
-    greatest id or type, so that no join multiplies customers. Surveys are
-    parsed for the persons in the feed only.
+    greatest id or type, so that no join multiplies customers. Only the
+    persons in the feed are looked at.
     """
     changes = post_images(changes)
     wanted = changes.select(F.col("person_id").alias("business_entity_id"))
     people = restrict_to_keys(current(person), wanted, ["business_entity_id"])
     surveyed = survey_fields(people, "demographics", SURVEY)
-    mail = latest_per_key(current(email), ["business_entity_id"], ["email_address_id"])
-    call = latest_per_key(current(phone), ["business_entity_id"], ["phone_number_type_id"])
-    home = latest_per_key(current(entity_address), ["business_entity_id"], ["address_type_id"])
+    def contact(rows: DataFrame) -> DataFrame:
+        return restrict_to_keys(current(rows), wanted, ["business_entity_id"])
+
+    mail = latest_per_key(contact(email), ["business_entity_id"], ["email_address_id"])
+    call = latest_per_key(contact(phone), ["business_entity_id"], ["phone_number_type_id"])
+    home = latest_per_key(contact(entity_address), ["business_entity_id"], ["address_type_id"])
     by_person = {"person_id": "business_entity_id"}
     found = star_join(
         changes,
@@ -128,7 +131,7 @@ def dim_customer_load(
             "year_valid_to": F.year(valid_to),
         }
     )
-    history = insert_if_absent(history_dim, ended, ["CustomerKey", "valid_from"])
+    history = insert_if_absent(history_dim, ended, ["CustomerKey", "valid_from"], one_per_key=True)
 
     live = latest_per_key(current(enriched), ["CustomerKey"], ["_commit_version", "valid_from"])
     update = [c for c in ATTRIBUTES if c != "CustomerAlternateKey"] + ["valid_from", "is_current"]

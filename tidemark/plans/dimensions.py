@@ -58,7 +58,7 @@ def load_dim_currency(target: DataFrame, silver: DataFrame, as_of: As_of = None)
         F.col("name").alias("currency_name"),
         load_stamp(as_of).alias("ingestion_timestamp"),
     )
-    return insert_if_absent(target, source, ["currency_code"])
+    return insert_if_absent(target, source, ["currency_code"], one_per_key=True)
 
 
 def load_dim_geography(
@@ -94,7 +94,7 @@ def load_dim_geography(
             load_stamp(as_of).alias("ingestion_timestamp"),
         )
     )
-    return insert_if_absent(target, source, ["GeographyKey"])
+    return insert_if_absent(target, source, ["GeographyKey"], one_per_key=True)
 
 
 def load_dim_territory(target: DataFrame, silver: DataFrame, as_of: As_of = None) -> DataFrame:
@@ -105,7 +105,7 @@ def load_dim_territory(target: DataFrame, silver: DataFrame, as_of: As_of = None
         F.col("territory_group").alias("sales_group_name"),
         load_stamp(as_of).alias("ingestion_timestamp"),
     )
-    return insert_if_absent(target, source, ["sales_territory_id"])
+    return insert_if_absent(target, source, ["sales_territory_id"], one_per_key=True)
 
 
 def load_dim_category(target: DataFrame, silver: DataFrame, as_of: As_of = None) -> DataFrame:
@@ -114,7 +114,7 @@ def load_dim_category(target: DataFrame, silver: DataFrame, as_of: As_of = None)
         F.col("name").alias("ProductCategoryName"),
         load_stamp(as_of).alias("IngestionTimestamp"),
     )
-    return insert_if_absent(target, source, ["ProductCategoryKey"])
+    return insert_if_absent(target, source, ["ProductCategoryKey"], one_per_key=True)
 
 
 def load_dim_subcategory(target: DataFrame, silver: DataFrame, as_of: As_of = None) -> DataFrame:
@@ -124,7 +124,7 @@ def load_dim_subcategory(target: DataFrame, silver: DataFrame, as_of: As_of = No
         F.col("product_category_id").alias("ProductCategoryKey"),
         load_stamp(as_of).alias("IngestionTimestamp"),
     )
-    return insert_if_absent(target, source, ["ProductSubCategoryKey"])
+    return insert_if_absent(target, source, ["ProductSubCategoryKey"], one_per_key=True)
 
 
 def load_dim_promotion(target: DataFrame, silver: DataFrame) -> DataFrame:
@@ -141,26 +141,31 @@ def load_dim_promotion(target: DataFrame, silver: DataFrame) -> DataFrame:
         F.col("max_qty").alias("MaxQty"),
         "_ingestion_timestamp",
     )
-    return insert_if_absent(target, source, ["PromotionKey"])
+    return insert_if_absent(target, source, ["PromotionKey"], one_per_key=True)
 
 
 def load_dim_reason(target: DataFrame, silver: DataFrame, as_of: As_of = None) -> DataFrame:
-    """All versions of the sales reasons; the current flag becomes a state.
-
-    A version is known by id, name, type and state, so that a repeated load
-    adds nothing.
-    """
-    source = silver.filter(F.col("sales_reason_id").isNotNull()).select(
-        "sales_reason_id",
-        F.col("name").alias("sales_reason_name"),
-        F.col("reason_type").alias("sales_reason_type"),
-        load_stamp(as_of).alias("ingestion_timestamp"),
-        F.col("is_current").alias("sales_reason_state"),
+    """All versions of the sales reasons by id, name and type, each once; the
+    state says whether it is the current one. A version whose state changes is
+    updated, so that a closed reason does not stay open beside itself."""
+    key = F.struct("sales_reason_id", "sales_reason_name", "sales_reason_type")
+    source = (
+        silver.filter(F.col("sales_reason_id").isNotNull())
+        .groupBy("sales_reason_id", F.col("name").alias("sales_reason_name"), F.col("reason_type").alias("sales_reason_type"))
+        .agg(F.max("is_current").alias("sales_reason_state"))
+    )
+    source = source.withColumn("ingestion_timestamp", load_stamp(as_of))
+    old = target.withColumn("_known", F.lit(True))
+    both = source.select(key.alias("_key"), "sales_reason_state", "ingestion_timestamp").alias("s").join(
+        old.select(key.alias("_key"), "sales_reason_state", "ingestion_timestamp", "_known").alias("t"),
+        F.col("s._key").eqNullSafe(F.col("t._key")),
+        "full",
+    )
+    same = F.col("s._key").isNull() | F.col("s.sales_reason_state").eqNullSafe(F.col("t.sales_reason_state"))
+    keep = F.col("_known").isNotNull() & same
+    state, stamp = ("sales_reason_state", "ingestion_timestamp")
+    new = both.select(
+        F.coalesce("s._key", "t._key").alias("_key"),
+        *[F.when(keep, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")).alias(c) for c in (state, stamp)],
     )
-    known = target.select(*[c for c in target.columns if c != "ingestion_timestamp"])
-    test = None
-    for c in known.columns:
-        one = source[c].eqNullSafe(known[c])
-        test = one if test is None else test & one
-    fresh = source.join(known.distinct(), test, "left_anti")
-    return target.unionByName(fresh.select(*target.columns))
+    return new.select(*[F.col(c) if c in (state, stamp) else F.col(f"_key.{c}") for c in target.columns])

@@ -20,7 +20,7 @@ from tidemark.plans.gold import empty_gold
 from tidemark.plans.monthly import SERVING_SCHEMA, agg_monthly_sales
 from tidemark.plans.product import load_dim_product, load_dim_product_history, product_enriched
 from tidemark.plans.raw import RAW_COLUMNS, read_raw
-from tidemark.plans.silver import HISTORIES, INSERT_ONLY, ORDER, empty_silver, load_silver, unseen_rows
+from tidemark.plans.silver import HISTORIES, INSERT_ONLY, ORDER, empty_silver, load_silver, rejected_rows, unseen_rows
 from tidemark.session import stage
 from tidemark.sources.export import as_serving, export_parquet
 from tidemark.sources.lookup import education, occupation
@@ -60,6 +60,10 @@ class Lakehouse:
                 # Only the new rows are written.
                 append(unseen_rows(target, raw, table, self.as_of), path)
             else:
+                raw = stage(raw, "raw")
+                rejects = stage(rejected_rows(raw, table, self.as_of), "rejects")
+                if not rejects.isEmpty():
+                    append(rejects, self.path(f"rejects/{table}"))
                 state = load_silver(target, raw, table, self.as_of)
                 replace(state, path, cluster_by=HISTORIES[table].cluster_by, files=self.files)
 
@@ -78,8 +82,11 @@ class Lakehouse:
             "dim_promotion": dims.load_dim_promotion(g("dim_promotion"), s("sales_specialoffer")),
             "dim_sales_reason": dims.load_dim_reason(g("dim_sales_reason"), s("sales_salesreason"), at),
         }
-        product = product_enriched(
-            s("production_product"), s("production_productmodel"), s("production_productproductphoto"), s("production_productphoto")
+        product = stage(
+            product_enriched(
+                s("production_product"), s("production_productmodel"), s("production_productproductphoto"), s("production_productphoto")
+            ),
+            "products",
         )
         new["dim_product"] = load_dim_product(g("dim_product"), product, at)
         for table, df in new.items():

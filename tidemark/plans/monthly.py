@@ -14,7 +14,7 @@ from tidemark.operators.scd2 import load_stamp
 SERVING_SCHEMA = (
     "OrderYear int, OrderMonth int, CountryRegionCode string, TerritoryGroup string, "
     "ProductLine string, TotalOrders int, TotalQuantitySold int, TotalSalesAmount decimal(19,2), "
-    "TotalProductCost decimal(19,2), GrossProfit decimal(19,2), GrossMarginPct decimal(5,2), "
+    "TotalProductCost decimal(19,2), GrossProfit decimal(19,2), GrossMarginPct decimal(19,2), "
     "TotalTax decimal(19,2), TotalFreight decimal(19,2), TotalDiscountGiven double, "
     "last_refresh_timestamp timestamp"
 )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.operators.joins import DimSpec, star_join
 from tidemark.operators.scd2 import LOAD_COL, closed, current, load_stamp
 from tidemark.operators.timeline import latest_per_key
-from tidemark.operators.upsert import insert_if_absent
+from tidemark.operators.upsert import insert_if_absent, merge_upsert
 
 
 def product_enriched(
@@ -62,10 +62,10 @@ def product_enriched(
 def load_dim_product(
     target: DataFrame, enriched: DataFrame, as_of: datetime | str | None = None
 ) -> DataFrame:
-    """Adds current products that the dimension does not hold yet."""
+    """Current products: new ones are added, known ones take the current values."""
     source = current(enriched).drop("end_date", "is_current")
     source = source.withColumn("ingestion_timestamp", load_stamp(as_of))
-    return insert_if_absent(target, source, ["ProductKey"])
+    return merge_upsert(target, source, ["ProductKey"])
 
 
 def load_dim_product_history(
@@ -88,4 +88,4 @@ def load_dim_product_history(
         )
         .drop("end_date", "is_current")
     )
-    return insert_if_absent(target, source, ["ProductKey", "valid_from"])
+    return insert_if_absent(target, source, ["ProductKey", "valid_from"], one_per_key=True)

@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.changes import next_start, set_watermark, table_changes
+from tidemark.session import stage
 from tidemark.sources.snapshots import (
     latest_version,
     read_snapshot,
@@ -43,7 +44,8 @@ def follow_files(
             return
         started = latest_version(session, path) is not None
         target = read_snapshot(session, path) if started else empty
-        replace(load(target, batch), path, note)
+        # Stored once: a load reads its batch several times.
+        replace(load(target, stage(batch, "micro-batch")), path, note)
 
     query = (
         arriving.writeStream.foreachBatch(one)

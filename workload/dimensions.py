@@ -25,7 +25,7 @@ from tidemark.plans.product import load_dim_product, load_dim_product_history, p
 from tidemark.session import stage
 from tidemark.sources.lookup import EDUCATION, OCCUPATION, TRANSLATION_SCHEMA, education, lookup_table, occupation
 from workload.base import FIRST_LOAD, SECOND_LOAD, nations, query, read
-from workload.history import _TARGET_SQL, _target
+from workload.history import _apply_sql, _target, _TARGET_SQL, run_scd2_apply, WATCHED
 
 
 def _stamp(text: str):
@@ -257,30 +257,37 @@ def run_dim_currency(spark, sf_dir):
     return load_dim_currency(empty, silver, SECOND_LOAD)
 
 
+_REASON_SQL = "SELECT user_id, event_type, props, bool_or(is_current) AS open FROM ({}) GROUP BY ALL"
+
+
 @query(
     "dim_reason_state",
     f"""
-SELECT user_id AS sales_reason_id, event_type AS sales_reason_name, props AS sales_reason_type,
-       CASE WHEN is_current THEN TIMESTAMP '{FIRST_LOAD}' ELSE TIMESTAMP '{SECOND_LOAD}' END
+SELECT n.user_id AS sales_reason_id, n.event_type AS sales_reason_name, n.props AS sales_reason_type,
+       CASE WHEN n.open = o.open THEN TIMESTAMP '{FIRST_LOAD}' ELSE TIMESTAMP '{SECOND_LOAD}' END
            AS ingestion_timestamp,
-       is_current AS sales_reason_state
-FROM ({_TARGET_SQL})
+       n.open AS sales_reason_state
+FROM ({_REASON_SQL.format(_apply_sql("user_id", WATCHED))}) n
+LEFT JOIN ({_REASON_SQL.format(_TARGET_SQL)}) o
+  ON n.user_id = o.user_id AND n.event_type IS NOT DISTINCT FROM o.event_type AND n.props IS NOT DISTINCT FROM o.props
 """,
 )
 def run_dim_reason_state(spark, sf_dir):
-    silver = _target(spark, sf_dir).select(
-        F.col("user_id").alias("sales_reason_id"),
-        F.col("event_type").alias("name"),
-        F.col("props").alias("reason_type"),
-        "is_current",
-    )
+    def silver(rows):
+        return rows.select(
+            F.col("user_id").alias("sales_reason_id"),
+            F.col("event_type").alias("name"),
+            F.col("props").alias("reason_type"),
+            "is_current",
+        )
+
     empty = spark.createDataFrame(
         [],
         "sales_reason_id bigint, sales_reason_name string, sales_reason_type string, "
         "ingestion_timestamp timestamp, sales_reason_state boolean",
     )
-    first = load_dim_reason(empty, silver.filter("is_current"), FIRST_LOAD)
-    return load_dim_reason(first, silver, SECOND_LOAD)
+    first = load_dim_reason(empty, silver(_target(spark, sf_dir)), FIRST_LOAD)
+    return load_dim_reason(first, silver(run_scd2_apply(spark, sf_dir)), SECOND_LOAD)
 
 
 def _product_versions(spark, sf_dir) -> DataFrame:
@@ -380,7 +387,13 @@ WHERE {test}
 )
 def run_dim_product_current(spark, sf_dir):
     empty = spark.createDataFrame([], _PRODUCT_SCHEMA.format(number="ProductNumber", more=""))
-    return load_dim_product(empty, _products(spark, sf_dir), SECOND_LOAD)
+    products = stage(_products(spark, sf_dir), "products")
+    # The first load holds the smaller parts at another price and name.
+    before = products.filter("Size <= 25").withColumns(
+        {"ListPrice": F.lit(1).cast(products.schema["ListPrice"].dataType), "ProductName": F.lit("old name")}
+    )
+    first = load_dim_product(empty, before, FIRST_LOAD)
+    return load_dim_product(first, products, SECOND_LOAD)
 
 
 @query(
@@ -534,6 +547,7 @@ def _dim_customer(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
         batch(customer.filter("c_mktsegment <> 'MACHINERY'"), "2020-01-01", nation, name),
         keys, watched, "modified_date", as_of=FIRST_LOAD,
     )
+    v1 = stage(v1, "customer-v1")
     v2 = scd2_apply(
         v1,
         batch(
@@ -545,8 +559,7 @@ def _dim_customer(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
         keys, watched, "modified_date", as_of=SECOND_LOAD,
     )
     # Staged: the feed compares two versions as stored.
-    versions = {1: stage(v1, "customer-v1")}
-    versions[2] = stage(v2, "customer-v2")
+    versions = {1: v1, 2: stage(v2, "customer-v2")}
 
     person = customer.select(
         F.col("c_custkey").alias("business_entity_id"),

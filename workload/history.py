@@ -263,6 +263,6 @@ def run_scd2_insert_only(spark, sf_dir):
     )
 
 
-@query("current_rows", f"SELECT * FROM ({_TARGET_SQL}) WHERE is_current", end_date=True)
+@query("current_rows", f"SELECT * FROM ({_apply_sql('user_id', WATCHED)}) WHERE is_current", end_date=True)
 def run_current_rows(spark, sf_dir):
-    return current(_target(spark, sf_dir))
+    return current(run_scd2_apply(spark, sf_dir))

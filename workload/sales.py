@@ -87,11 +87,9 @@ def run_agg_monthly_sales(spark, sf_dir):
     ),
 )
 def run_export_serving(spark, sf_dir):
-    # Margins of these tables go beyond the declared decimal(5,2).
-    schema = SERVING_SCHEMA.replace("GrossMarginPct decimal(5,2)", "GrossMarginPct decimal(19,2)")
     path = work_path(spark, "export")
-    export_parquet(as_serving(monthly(spark, sf_dir), schema), path)
-    return read_export(spark, path, schema)
+    export_parquet(as_serving(monthly(spark, sf_dir), SERVING_SCHEMA), path)
+    return read_export(spark, path, SERVING_SCHEMA)
 
 
 # Version 2 of the orders: those from 1998 on are new, and open orders of
