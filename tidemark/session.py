@@ -81,4 +81,14 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    copy = df.sparkSession.read.schema(df.schema).parquet(path)
+    copy._staged_at = path
+    return copy
+
+
+def discard(*copies: DataFrame) -> None:
+    """Delete copies that :func:`stage` made and that nothing will read again."""
+    for copy in copies:
+        spark = copy.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(copy._staged_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
