@@ -9,12 +9,16 @@ from tidemark.llm.language_model import score_language_model
 from tidemark.llm.licences import licence_scan
 from tidemark.llm.nbsvm import fit, labelled_texts, score_texts
 from tidemark.llm.registry import query, read
+from tidemark.session import discard
 
 
 def quality_model(docs: DataFrame, labels: DataFrame):
     """Model of the labelled rows that are not held out."""
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
-    return fit(labelled_texts(docs.filter(~held), labels)), held
+    labelled = labelled_texts(docs.filter(~held), labels)
+    model = fit(labelled)
+    discard(labelled)
+    return model, held
 
 
 @query("op1_quality")

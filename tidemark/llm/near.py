@@ -16,20 +16,24 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.words import BLANK_SEPARATED, Words, mix, shingles, slices
-from tidemark.session import stage
+from tidemark.session import discard, stage
 
 WIDTH = 5
 PERCENT = 80
-SLOTS = 32
+SLOTS = 64
 FAN = 3
 RECALL = 0.999999
 # Branches up to this many nodes are compared exhaustively.
 LEAF = 64
-DEPTH = 6
+# Nodes in a block of a larger branch.
+BLOCK = 512
+# Levels of branching by minwise tokens; what is still large after them is
+# branched once more, by its rarest shingles, and compared whatever its size.
+DEPTH = 2
 _FACTOR = mix(np.arange(5000, 5000 + SLOTS, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -146,20 +150,18 @@ def near_duplicates(
     )
     texts = stage(source.select("node", "text").dropDuplicates(["node"]), "node-texts")
 
-    def pairs_of(found: DataFrame) -> DataFrame:
-        """Distinct pairs that could be similar, each node's size and values joined on."""
-        side = lambda s: nodes.select(F.col("node").alias(s), F.col("n").alias(f"{s}_n"), F.col("sig").alias(f"{s}_sig"))
-        told = found.distinct().join(side("a"), "a").join(side("b"), "b")
-        return told.filter(_similar(percent)).select("a", "b")
+    def side(s: str) -> DataFrame:
+        return nodes.select(F.col("node").alias(s), F.col("n").alias(f"{s}_n"), F.col("sig").alias(f"{s}_sig"))
 
     least = branch.groupBy("path").agg(F.min("node").alias("a"))
-    stars = branch.join(least, "path").filter("node <> a").select("a", F.col("node").alias("b"))
-    edges = stage(confirmed(pairs_of(stars), texts, width, percent), "links")
-    for level in range(1, depth + 1):
-        labels = components(edges)
-        named = stage(
-            branch.join(labels, "node", "left").select("path", "node", F.coalesce("label", "node").alias("label")), "named"
-        )
+    stars = branch.join(least, "path").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
+    stars = stars.join(side("a"), "a").join(side("b"), "b").filter(_similar(percent)).select("a", "b")
+    links = components(confirmed(stars, texts, width, percent))
+    known = branch.select("node").distinct().join(links, "node", "left")
+    labels = stage(known.select("node", F.coalesce("label", "node").alias("label")), "labels")
+    found, links = None, None
+    for level in range(1, depth + 2):
+        named = stage(branch.join(labels, "node"), "named")
         # Branches of one component are settled.
         by = named.groupBy("path", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("path").agg(
             F.sum("n").alias("size"), F.count(F.lit(1)).alias("labels"), F.max(F.struct("n", "label")).alias("top")
@@ -167,23 +169,44 @@ def near_duplicates(
         open_ = stage(by.select("path", "size", F.col("top.label").alias("most")), "open")
         if open_.isEmpty():
             break
-        last = level == depth
-        small = named.join(open_ if last else open_.filter(F.col("size") <= leaf), "path")
+        small = named.join(open_.filter(F.col("size") <= leaf), "path")
         # Of two components the one that is not the branch's largest looks for
         # partners: a large group of copies is never compared with itself.
-        a = small.filter("label <> most").select("path", F.col("node").alias("a"), F.col("label").alias("la"))
-        b = small.select("path", F.col("node").alias("b"), F.col("label").alias("lb"), (F.col("label") == F.col("most")).alias("top"))
-        found = a.join(b, "path").filter("la <> lb and (top or a < b)").select("a", "b")
-        more = stage(confirmed(pairs_of(found), texts, width, percent), "links")
-        edges = edges.unionByName(more)
-        if last:
+        a = small.filter("label <> most").select("path", F.col("node").alias("a"), F.col("label").alias("la")).join(side("a"), "a")
+        b = small.select(
+            "path", F.col("node").alias("b"), F.col("label").alias("lb"), (F.col("label") == F.col("most")).alias("top")
+        ).join(side("b"), "b")
+        other = (F.col("la") != F.col("lb")) & (F.col("top") | (F.col("a") < F.col("b")))
+        meet = (a["path"] == b["path"]) & other & _similar(percent)
+        pairs = stage(a.join(b, meet).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+        found = pairs if found is None else found.unionByName(pairs)
+        large = named.join(open_.filter(F.col("size") > leaf), "path")
+        if level > depth:
+            links = in_blocks(large, texts, width, percent)
             break
-        large = named.join(open_.filter(F.col("size") > leaf).select("path"), "path", "left_semi")
-        slot = lambda j: F.pmod(F.xxhash64("path", F.lit(j)), F.lit(SLOTS)).cast("int")
-        children = F.array(*[F.xxhash64("path", slot(j), F.get("sig", slot(j))) for j in range(FAN)])
-        next_ = large.join(nodes.select("node", "sig"), "node").select(F.explode(children).alias("path"), "node")
-        branch = stage(grouped(next_.distinct()), "branches")
-    told = nodes.join(components(edges), "node", "left").select("node", "first", F.coalesce("label", "node").alias("label"))
+        if large.isEmpty():
+            break
+        if level < depth:
+            slot = lambda j: F.pmod(F.xxhash64("path", F.lit(j)), F.lit(SLOTS)).cast("int")
+            children = F.array(*[F.xxhash64("path", slot(j), F.get("sig", slot(j))) for j in range(FAN)])
+            next_ = large.join(nodes.select("node", "sig"), "node").select(F.explode(children).alias("path"), "node")
+            branch = stage(grouped(next_.distinct()), "branches")
+        else:
+            members = texts.join(large.select("node").distinct(), "node", "left_semi")
+            branch = stage(by_rarest(members, width, percent), "branches")
+    if found is not None:
+        # All other pairs are confirmed at once: the texts are shuffled once for
+        # either side. New links are between components; only these are joined up.
+        more = confirmed(found.distinct(), texts, width, percent)
+        more = more if links is None else more.unionByName(links)
+        for end in ("u", "v"):
+            more = more.join(labels.select(F.col("node").alias(end), F.col("label").alias(f"l{end}")), end)
+        moved = components(more.select(F.col("lu").alias("u"), F.col("lv").alias("v")))
+        moved = moved.select(F.col("node").alias("label"), F.col("label").alias("to"))
+        labels = stage(labels.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
+    # The result reads the signatures, the nodes and the last labels only.
+    discard(texts)
+    told = nodes.join(labels, "node", "left").select("node", "first", F.coalesce("label", "node").alias("label"))
     heads = told.groupBy("label").agg(F.min("first").alias("head"))
     of_node = told.join(heads, "label").select("node", "head")
     own = F.struct(F.col("_key").isNull().alias("z"), F.col("_key").alias("k"), F.col("_hash").alias("h"))
@@ -208,6 +231,79 @@ def near_duplicates(
     )
 
 
+def linked(sets: list[np.ndarray], label: list, percent: int) -> list[tuple[int, int]]:
+    """Pairs of similar sets, as many as join the labels they belong to."""
+    size = np.array([len(s) for s in sets])
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+    _, token = np.unique(flat, return_inverse=True)
+    order = np.argsort(token, kind="stable")
+    holder, first = owner[order], np.concatenate([[0], np.cumsum(np.bincount(token))])
+    begin = np.cumsum(size) - size
+    parent = {x: x for x in label}
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    most = max(parent, key=label.count) if len(parent) < 50 else None
+    out = []
+    for i, own in enumerate(label):
+        if own == most:
+            continue
+        t = token[begin[i] : begin[i] + size[i]]
+        n = first[t + 1] - first[t]
+        at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[t], n)
+        both = np.bincount(holder[at], minlength=len(sets))
+        for j in np.flatnonzero(100 * both >= percent * (size + size[i] - both)).tolist():
+            a, b = root(own), root(label[j])
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                out.append((i, j))
+    return out
+
+
+def in_blocks(crowds: DataFrame, texts: DataFrame, width: int, percent: int, block: int = BLOCK) -> DataFrame:
+    """Links within branches of any size: their nodes are dealt to blocks of about
+    ``block``, and each task compares the full sets of two of them."""
+
+    def run(table: pa.Table) -> pa.Table:
+        sets = [x for t in slices(table) for x in sets_of(t.column("text"), width)]
+        node = table.column("node").to_pylist()
+        got = linked(sets, table.column("label").to_pylist(), percent)
+        return pa.table({"u": pa.array([node[i] for i, _ in got], pa.binary()), "v": pa.array([node[j] for _, j in got], pa.binary())})
+
+    count = F.ceil(F.col("size") / block)
+    own = F.pmod(F.xxhash64("node"), count)
+    dealt = crowds.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), count - 1)))
+    dealt = dealt.select("path", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "label")
+    return dealt.join(texts, "node").groupBy("path", "i", "j").applyInArrow(run, "u binary, v binary")
+
+
+def by_rarest(members: DataFrame, width: int, percent: int) -> DataFrame:
+    """Branches of what minwise tokens don't part, many texts somewhat alike:
+    each text goes to those of its shingles that are rarest among ``members``,
+    so many that a similar text has one of its own rarest among them for sure."""
+
+    def run(batches):
+        for b in batches:
+            for t in slices(b):
+                sets = sets_of(t.column("text"), width)
+                size = np.array([len(x) for x in sets])
+                yield pa.RecordBatch.from_arrays([
+                    t.column("node").take(pa.array(np.repeat(np.arange(len(sets)), size))),
+                    pa.array(np.repeat(size, size)), pa.array(np.concatenate(sets).view(np.int64)),
+                ], ["node", "n", "path"])
+
+    every = stage(members.mapInArrow(run, "node binary, n long, path long"), "shingles")
+    often = every.groupBy("path").agg(F.count(F.lit(1)).alias("often"))
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("often", "path"))
+    ranked = every.join(often, "path").withColumn("rank", rank)
+    enough = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    return ranked.filter((F.col("rank") <= enough) & (F.col("often") > 1)).select("path", "node")
+
+
 def grouped(branch: DataFrame) -> DataFrame:
     """The rows whose path others share."""
     shared = branch.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("path")
