@@ -116,8 +116,7 @@ def write_snapshot(
 
 
 def _open(spark: SparkSession, path: str, entry: Row) -> DataFrame:
-    reader = spark.read.schema(T.StructType.fromJson(json.loads(entry.table_schema)))
-    return reader.parquet(*[f"{path}/{folder}" for folder in entry.folders])
+    return _folders(spark, path, entry, entry.folders)
 
 
 def read_snapshot(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
@@ -136,6 +135,37 @@ def read_versions(spark: SparkSession, path: str, start: int, end: int | None =
     return {e.version: _open(spark, path, e) for e in log.orderBy("version").collect()}
 
 
+def read_differences(
+    spark: SparkSession, path: str, start: int, end: int | None = None
+) -> dict[int, tuple[DataFrame, DataFrame]]:
+    """For each version ``start`` .. ``end``: the rows of the folders that only
+    the version before it has, and those of the folders that only it has.
+
+    Folders never change, so a row key with a change is in one of these. After
+    an append they are none and the new rows.
+    """
+    log = snapshot_log(spark, path).filter(F.col("version") >= start - 1)
+    if end is not None:
+        log = log.filter(F.col("version") <= end)
+    entries = {e.version: e for e in log.orderBy("version").collect()}
+    out = {}
+    for version, now in entries.items():
+        if version < start:
+            continue
+        old = entries.get(version - 1)
+        gone = [f for f in old.folders if f not in now.folders] if old else []
+        new = [f for f in now.folders if not old or f not in old.folders]
+        out[version] = (_folders(spark, path, old or now, gone), _folders(spark, path, now, new))
+    return out
+
+
+def _folders(spark: SparkSession, path: str, entry: Row, folders: list[str]) -> DataFrame:
+    schema = T.StructType.fromJson(json.loads(entry.table_schema))
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{path}/{f}" for f in folders])
+
+
 def append(df: DataFrame, path: str, note: str = "append", **layout) -> int:
     """Next version = latest version plus the rows of ``df``."""
     return write_snapshot(df, path, note, keep=True, **layout)

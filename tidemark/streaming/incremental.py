@@ -15,7 +15,7 @@ from tidemark.session import stage
 from tidemark.sources.snapshots import (
     latest_version,
     read_snapshot,
-    read_versions,
+    read_differences,
     replace,
     snapshot_log,
 )
@@ -68,5 +68,9 @@ def pull_changes(
     start, last = next_start(control, table), latest_version(spark, path)
     if last is None or last < start:
         return None, control
-    feed = table_changes(read_versions(spark, path, start, last), start, keys)
+    # Only folders that differ between two versions are read.
+    feed = None
+    for version, (old, new) in read_differences(spark, path, start, last).items():
+        one = table_changes({version - 1: old, version: new}, version, keys, end=version)
+        feed = one if feed is None else feed.unionByName(one, allowMissingColumns=True)
     return feed, set_watermark(control, table, last, as_of)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.text import norm_xml, strip_delims
+from tidemark.operators.changes import empty_control, set_watermark
 from tidemark.operators.checks import count_tables, probe_text
 from tidemark.operators.conform import ColSpec, conform
 from tidemark.operators.layout import cluster_write, write_partitioned
@@ -14,6 +15,7 @@ from tidemark.session import stage, work_path
 from tidemark.sources.delimited import CONTROL_A, read_delimited, write_delimited
 from tidemark.sources.jdbc import extract
 from tidemark.sources.snapshots import append, read_snapshot, replace, snapshot_log
+from tidemark.streaming.incremental import pull_changes
 from workload.base import FIRST_LOAD, SECOND_LOAD, TABLES, UNIQUE_LINES_SQL, query, read, unique_lines
 from workload.sales import _V1_SQL, _V2_SQL, order_versions
 
@@ -183,6 +185,52 @@ def run_snapshot_log(spark, sf_dir):
     return snapshot_log(spark, path).select("version", "rows", "note")
 
 
+def _stored_orders(spark, sf_dir) -> str:
+    """Three stored versions: orders before 1998, the later ones appended, and
+    all without the early pending ones."""
+    orders = read(spark, sf_dir, "orders")
+    before = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    early = F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz")
+    path = work_path(spark, "table")
+    replace(orders.filter(before), path)
+    append(orders.filter(~before), path)
+    replace(orders.filter(~((F.col("o_orderstatus") == "P") & early)), path)
+    return path
+
+
+def _pulled(spark, sf_dir):
+    control = set_watermark(empty_control(spark), "orders", 1, FIRST_LOAD)
+    return pull_changes(spark, control, "orders", _stored_orders(spark, sf_dir), ["o_orderkey"], SECOND_LOAD)
+
+
+@query(
+    "table_changes_stored",
+    """
+SELECT *, 'insert' AS _change_type, 2 AS _commit_version FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'
+UNION ALL
+SELECT *, 'delete', 3 FROM orders WHERE o_orderstatus = 'P' AND o_orderdate < TIMESTAMP '1996-01-01'
+""",
+)
+def run_table_changes_stored(spark, sf_dir):
+    return _pulled(spark, sf_dir)[0]
+
+
+@query(
+    "watermark_set",
+    f"""
+SELECT 'orders' AS table_name, 3 AS last_version, TIMESTAMP '{SECOND_LOAD}' AS last_run_timestamp, COUNT(*) AS changes
+FROM orders
+WHERE o_orderdate >= TIMESTAMP '1998-01-01' OR o_orderstatus = 'P' AND o_orderdate < TIMESTAMP '1996-01-01'
+""",
+)
+def run_watermark_set(spark, sf_dir):
+    """The control row after the changes were counted."""
+    feed, control = _pulled(spark, sf_dir)
+    # One row; the counts are combined before they meet.
+    told = feed.groupBy(F.lit("orders").alias("table_name")).agg(F.count(F.lit(1)).alias("changes"))
+    return control.join(told, "table_name")
+
+
 def _raw_header(orders: DataFrame, years_later: int) -> DataFrame:
     """Orders as the 26 text columns of the raw header file."""
     changed = F.col("o_orderdate") + F.expr(f"interval {years_later} year")
