@@ -73,14 +73,18 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/work/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", release: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The copy survives the loss of any executor, and every later use of the
-    returned frame sees exactly the same rows.
+    returned frame sees exactly the same rows. ``release`` collects the driver's
+    garbage afterwards, as Spark itself does from time to time: its cleaner then
+    deletes the shuffle files that led to the copy.
     """
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
+    if release:
+        df.sparkSession.sparkContext._jvm.System.gc()
     copy = df.sparkSession.read.schema(df.schema).parquet(path)
     copy._staged_at = path
     return copy
