@@ -117,7 +117,7 @@ def score_language_model(
             at += len(w)
             yield part, pack(own.astype(np.uint32) if own.max(initial=0) < 2**32 else own)
 
-    words = stage(answer(ask(rows, ask_words), tell_words), "word-counts")
+    words = stage(answer(ask(rows, ask_words), tell_words), "word-counts", release=True)
 
     def totals(batches):
         out = np.zeros(2, np.int64)

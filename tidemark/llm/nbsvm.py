@@ -189,7 +189,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str = "quality",
         .groupBy(F.col(key).alias("_key")).agg((F.min(label) > 0).cast("int").alias("_label"))
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("text"))
     # The same plan at every size: the texts meet the labels in one shuffle.
-    return stage(rows.join(y.hint("merge"), "_key"), "labelled")
+    return stage(rows.join(y.hint("merge"), "_key"), "labelled", release=True)
 
 
 def score_texts(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:

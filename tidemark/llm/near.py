@@ -142,13 +142,13 @@ def near_duplicates(
     roots = F.array(*[
         F.xxhash64(F.lit(i), F.col("sig")[i]) for i in range(min(SLOTS, FAN * trees_for(recall, percent)))
     ])
-    branch = stage(grouped(nodes.select(F.explode(roots).alias("path"), "node")), "branches")
+    branch = stage(grouped(nodes.select(F.explode(roots).alias("path"), "node")), "branches", release=True)
     wanted = nodes.select("node", "first").join(branch.select("node").distinct(), "node", "left_semi")
     source = rows.join(
         wanted.select(F.col("first.k").alias("_k"), F.col("first.h").alias("_h"), "node"),
         F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_hash") == F.col("_h")),
     )
-    texts = stage(source.select("node", "text").dropDuplicates(["node"]), "node-texts")
+    texts = stage(source.select("node", "text").dropDuplicates(["node"]), "node-texts", release=True)
 
     def side(s: str) -> DataFrame:
         return nodes.select(F.col("node").alias(s), F.col("n").alias(f"{s}_n"), F.col("sig").alias(f"{s}_sig"))
@@ -158,13 +158,13 @@ def near_duplicates(
     stars = stars.join(side("a"), "a").join(side("b"), "b").filter(_similar(percent)).select("a", "b")
     links = components(confirmed(stars, texts, width, percent))
     known = branch.select("node").distinct().join(links, "node", "left")
-    labels = stage(known.select("node", F.coalesce("label", "node").alias("label")), "labels")
+    labels = stage(known.select("node", F.coalesce("label", "node").alias("label")), "labels", release=True)
     found, links = None, None
     for level in range(1, depth + 2):
         named = stage(branch.join(labels, "node"), "named")
         # Branches of one component are settled.
         by = named.groupBy("path", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("path").agg(
-            F.sum("n").alias("size"), F.count(F.lit(1)).alias("labels"), F.max(F.struct("n", "label")).alias("top")
+            F.sum("n").alias("size"), F.count(F.lit(1)).alias("labels", release=True), F.max(F.struct("n", "label")).alias("top")
         ).filter("labels > 1")
         open_ = stage(by.select("path", "size", F.col("top.label").alias("most")), "open")
         if open_.isEmpty():
@@ -190,10 +190,10 @@ def near_duplicates(
             slot = lambda j: F.pmod(F.xxhash64("path", F.lit(j)), F.lit(SLOTS)).cast("int")
             children = F.array(*[F.xxhash64("path", slot(j), F.get("sig", slot(j))) for j in range(FAN)])
             next_ = large.join(nodes.select("node", "sig"), "node").select(F.explode(children).alias("path"), "node")
-            branch = stage(grouped(next_.distinct()), "branches")
+            branch = stage(grouped(next_.distinct()), "branches", release=True)
         else:
             members = texts.join(large.select("node").distinct(), "node", "left_semi")
-            branch = stage(by_rarest(members, width, percent), "branches")
+            branch = stage(by_rarest(members, width, percent), "branches", release=True)
     if found is not None:
         # All other pairs are confirmed at once: the texts are shuffled once for
         # either side. New links are between components; only these are joined up.
@@ -203,7 +203,7 @@ def near_duplicates(
             more = more.join(labels.select(F.col("node").alias(end), F.col("label").alias(f"l{end}")), end)
         moved = components(more.select(F.col("lu").alias("u"), F.col("lv").alias("v")))
         moved = moved.select(F.col("node").alias("label"), F.col("label").alias("to"))
-        labels = stage(labels.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
+        labels = stage(labels.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels", release=True)
     # The result reads the signatures, the nodes and the last labels only.
     discard(texts)
     told = nodes.join(labels, "node", "left").select("node", "first", F.coalesce("label", "node").alias("label"))

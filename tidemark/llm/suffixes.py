@@ -281,7 +281,7 @@ def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", cro
             yield part, pack(flags[back[at : at + len(x)]])
             at += len(x)
 
-    shared = stage(answer(ask(rows, ask_anchors), tell_anchors), "shared-anchors")
+    shared = stage(answer(ask(rows, ask_anchors), tell_anchors), "shared-anchors", release=True)
 
     def told_of(told: pa.Table) -> dict[int, bytes]:
         return dict(zip(told.column("shard").to_pylist(), told.column("blob").to_pylist(), strict=True))
