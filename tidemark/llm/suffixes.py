@@ -63,8 +63,9 @@ def gram_hashes(raw: np.ndarray) -> np.ndarray:
     return mix(_pairwise(np.append(h, kept), len(raw) + 16, lambda a, b: a * p8 + b)[: len(raw)]) if len(raw) else h
 
 
-def anchors(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the anchors of all windows, and their hashes."""
+def anchors(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions of the anchors of all windows, their hashes, and hashes that
+    tell most of their contexts apart."""
     n = len(raw)
     size = np.diff(offs)
     left = np.repeat(offs[1:], size) - np.arange(n)
@@ -80,7 +81,10 @@ def anchors(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         high = _pairwise(high, step, np.maximum)
     high = _pairwise(high, SPOTS - 16, np.maximum)[::-1]
     at = np.flatnonzero((h == high) & (h != _MAX))
-    return at, h[at]
+    before, after = at - (SPOTS - 1), at + SPOTS - 1
+    before = np.where(before >= np.repeat(offs[:-1], size)[at], h[np.maximum(before, 0)], np.uint64(0))
+    after = np.where(after < at + left[at], h[np.minimum(after, n - 1)], np.uint64(0)) if n else before
+    return at, h[at], mix(before * _STEP + after)
 
 
 class Part:
@@ -89,16 +93,17 @@ class Part:
     def __init__(self, table: pa.Table, shards: int):
         self.shards = shards
         self.doc = keys_of(table)
-        raws, ats, hashes, offs, base = [], [], [], [np.zeros(1, np.int64)], 0
+        raws, ats, hashes, around, offs, base = [], [], [], [], [np.zeros(1, np.int64)], 0
         for t in slices(table):
             raw, o = buffers(t.column("text"))
-            at, h = anchors(raw, o)
-            raws.append(raw), ats.append(at + base), hashes.append(h), offs.append(o[1:] + base)
+            at, h, context = anchors(raw, o)
+            raws.append(raw), ats.append(at + base), hashes.append(h), around.append(context), offs.append(o[1:] + base)
             base += len(raw)
         none = np.empty(0, np.int64)
         self.raw = np.concatenate([np.empty(0, np.uint8), *raws])
         self.offs, self.at = np.concatenate(offs), np.concatenate([none, *ats])
         self.hash = np.concatenate([np.empty(0, np.uint64), *hashes])
+        self.context = np.concatenate([np.empty(0, np.uint64), *around])
         self.row = np.searchsorted(self.offs, self.at, "right") - 1
         # Within a shard 40 bits tell anchors apart: with the shard, more the larger the input.
         self.shard = (self.hash >> np.uint64(40)) % np.uint64(shards)
@@ -257,11 +262,14 @@ def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", cro
     rows, shards = in_parts(docs, n, key, text), n
 
     def ask_anchors(table):
-        shard, short, back, _ = (p := Part(table, shards)).names()
-        # How many contexts: anchors in the part, at most.
-        count = np.minimum(np.bincount(back, minlength=len(short)), 255).astype(np.uint8)
+        part = Part(table, shards)
+        shard, short, back, _ = part.names()
+        # Contexts of each anchor; copies have one and the same.
+        order = np.lexsort((part.context, back))
+        new = np.ones(len(order), bool)
+        new[1:] = (back[order][1:] != back[order][:-1]) | (part.context[order][1:] != part.context[order][:-1])
+        count = np.minimum(np.bincount(back[order][new], minlength=len(short)), 255).astype(np.uint8)
         edge = np.searchsorted(shard, np.arange(shards + 1))
-        del p
         for s in range(shards):
             a, b = edge[s], edge[s + 1]
             if a < b:
@@ -272,10 +280,10 @@ def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", cro
         told = [unpack(b) for b in blobs]
         names, back = np.unique(np.concatenate([np.cumsum(x.astype(np.uint64)) for x, _ in told]), return_inverse=True)
         times = np.bincount(back)
-        places = np.bincount(back, np.concatenate([c for _, c in told]))
-        flags = ((times > 1).astype(np.uint8) + (places > crowd)).astype(np.uint8)
+        # Contexts beyond the one that every part with the anchor has.
+        more = np.bincount(back, np.concatenate([c for _, c in told])) - times
         # Crowded in one part only: shared there, if by several documents.
-        flags[(times == 1) & (places > crowd)] = 0
+        flags = (times > 1) * (1 + (more > crowd)).astype(np.uint8)
         at = 0
         for part, (x, _) in zip(parts, told, strict=True):
             yield part, pack(flags[back[at : at + len(x)]])
