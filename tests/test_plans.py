@@ -67,9 +67,13 @@ def test_ratio_of_nothing_is_null(spark):
 def test_survey(spark):
     ns = '<IndividualSurvey xmlns="http://x"><BirthDate>1966-04-08Z</BirthDate><TotalChildren>2</TotalChildren></IndividualSurvey>'
     plain = " <IndividualSurvey><BirthDate>bad</BirthDate><Gender>M</Gender><TotalChildren>x</TotalChildren></IndividualSurvey>"
-    df = spark.createDataFrame([(1, ns), (2, plain), (3, "abc"), (4, None)], "i int, x string")
-    got = survey_fields(df, "x", SURVEY).select("i", "BirthDate", "Gender", "TotalChildren")
-    assert rows(got) == [(1, date(1966, 4, 8), None, 2), (2, None, "M", None), (3, None, None, None), (4, None, None, None)]
+    df = spark.createDataFrame([(1, ns), (2, plain), (3, "abc"), (4, None), (5, ns[:-9])], "i int, x string")
+    got = survey_fields(df, "x", SURVEY, bad_col="bad").select("i", "BirthDate", "Gender", "TotalChildren", "bad")
+    none = (None, None, None)
+    assert rows(got) == [
+        (1, date(1966, 4, 8), None, 2, False), (2, None, "M", None, False),
+        (3, *none, False), (4, *none, False), (5, *none, True),
+    ]
     assert survey_fields(df, "x", {"Gender": SURVEY["Gender"]}, blank_as_null=False).first().Gender == ""
 
 

@@ -2,33 +2,47 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.text import xml_or_null
 
-# Not a legal character of an XML document, so it cannot occur in a value.
-_GLUE = "\x01"
+_BAD = "_malformed"
 
 
 def survey_fields(
-    df: DataFrame, xml_col: str, fields: dict[str, tuple[str, str]], blank_as_null: bool = True
+    df: DataFrame,
+    xml_col: str,
+    fields: dict[str, tuple[str, str]],
+    blank_as_null: bool = True,
+    bad_col: str | None = None,
 ) -> DataFrame:
-    """Add one column per entry of ``fields``: name -> (xpath, type).
-
-    All paths are read by a single XPath call, so a document is parsed once
-    per row and not once per field. Text that is no XML gives NULL, and so do
-    values that do not fit the type. A missing node is an empty string to
-    XPath; ``blank_as_null`` turns it into NULL.
+    """Add one column per entry of ``fields``: name -> (path, type), the paths
+    of one form: ``//Root/Node``.
+
+    A document is parsed once per row, whatever the number of fields, and
+    without its namespaces. Text that is no XML gives NULL, and so do malformed
+    documents, another root and values that do not fit the type. ``bad_col``
+    names a column that marks the malformed documents, to be counted. A missing
+    node is NULL, or the empty string with ``blank_as_null=False``.
     """
-    paths = [path for path, _ in fields.values()]
-    one_call = "concat(" + ", ".join(f"{p}, '{_GLUE}'" for p in paths) + ")"
-    parts = F.split(F.xpath_string(xml_or_null(F.col(xml_col)), F.lit(one_call)), _GLUE)
-    found = df.withColumn("_parts", parts)
-    cols = {}
-    for i, (name, (_, kind)) in enumerate(fields.items()):
-        text = F.col("_parts")[i]
-        cols[name] = _typed(F.nullif(text, F.lit("")) if blank_as_null else text, kind)
-    return found.withColumns(cols).drop("_parts")
+    steps = [re.fullmatch(r"//(\w+)/(\w+)", path) for path, _ in fields.values()]
+    if not all(steps) or len({m[1] for m in steps}) != 1:
+        raise ValueError("paths must read //Root/Node, with one root")
+    root, nodes = steps[0][1], [m[2] for m in steps]
+    xml = xml_or_null(F.col(xml_col))
+    schema = ", ".join([*(f"`{n}` string" for n in dict.fromkeys(nodes)), f"{_BAD} string"])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD, "ignoreNamespace": "true"}
+    found = df.withColumn("_parsed", F.from_xml(xml, schema, options))
+    bad = F.col(f"_parsed.{_BAD}").isNotNull()
+    starts = rf"^\s*(<[?!][^>]*>\s*)*<(\w+:)?{root}[\s/>]"
+    usable = xml.isNotNull() & ~bad & F.col(xml_col).rlike(starts)
+    cols = {} if bad_col is None else {bad_col: F.coalesce(bad, F.lit(False))}
+    for (name, (_, kind)), node in zip(fields.items(), nodes, strict=True):
+        text = F.coalesce(F.col(f"_parsed.{node}"), F.lit(""))
+        cols[name] = _typed(F.when(usable, F.nullif(text, F.lit("")) if blank_as_null else text), kind)
+    return found.withColumns(cols).drop("_parsed")
 
 
 def _typed(text: Column, kind: str) -> Column:
