@@ -64,6 +64,29 @@ def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op8_near_dedup")
+_BLANK_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+
+
+@query("op8_near_dedup", f"""
+    WITH RECURSIVE d AS (SELECT doc_id, {_BLANK_WORDS} AS w FROM documents),
+    sh AS (
+        SELECT DISTINCT doc_id, s FROM (
+            SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [w]
+                                       ELSE list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3]) END) AS s FROM d)
+    ),
+    n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+    links AS (
+        SELECT x, y FROM (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+            FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2)
+        JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+        WHERE 100 * c >= 80 * (nx.n + ny.n - c)
+    ),
+    reach(doc_id, r) AS (
+        SELECT doc_id, doc_id FROM d UNION SELECT x, r FROM reach JOIN links ON y = reach.doc_id
+    )
+    SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept
+    FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
+""")
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), width=4)
