@@ -21,6 +21,7 @@ is not sent to one shard but window by window, dealt by the window.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -217,14 +218,27 @@ def merged_answers(parts: list[int], blobs: list[bytes]):
     many: list[list] = [[] for _ in parts]
 
     def settle(group):
-        """group: (row, least document, [(run, place)]) with one anchor."""
-        if len(group) == 1:
-            _, low, members = group[0]
+        """group: (row, least document, [(run, place)], prefix shared with the
+        row before) with one anchor."""
+        if len(group) > 1:
+            # A window that another context has too lies within the bytes both
+            # share after the anchor, at most up to the next row's prefix, and
+            # those before it. If these must be 8 or more, others must share 8.
+            heads = Counter(row[LENGTH + 2 : LENGTH + 10] for row, *_ in group)
+            ahead = [g[3] - 1 for g in group[1:]] + [0]
+            near, alone = [], []
+            for g, after in zip(group, ahead, strict=True):
+                far = max(g[3] - 1 if g is not group[0] else 0, after) <= LENGTH - 8
+                (alone if far and heads[g[0][LENGTH + 2 : LENGTH + 10]] == 1 else near).append(g)
+        else:
+            near, alone = [], group
+        for _, low, members, _ in alone:
             for r, i in members:
                 one[r].append((i, low))
+        if not near:
             return
-        table = least_documents([(row, low) for row, low, _ in group])
-        for (_, _, members), line in zip(group, table, strict=True):
+        table = least_documents([(row, low) for row, low, *_ in near])
+        for (_, _, members, _), line in zip(near, table, strict=True):
             for r, i in members:
                 many[r].append((i, line))
 
@@ -234,12 +248,12 @@ def merged_answers(parts: list[int], blobs: list[bytes]):
         if group and shared == WIDTH:
             last = group[-1]
             last[2].append((run, i))
-            group[-1] = (row, min(doc, last[1]), last[2])
+            group[-1] = (row, min(doc, last[1]), last[2], last[3])
             continue
         if group and (shared <= GRAM or row[0]):
             settle(group)
             group = []
-        group.append((row, doc, [(run, i)]))
+        group.append((row, doc, [(run, i)], shared))
     if group:
         settle(group)
     for r, part in enumerate(parts):
