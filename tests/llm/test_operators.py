@@ -174,6 +174,19 @@ def test_licence_notices(spark):
         assert label in got[i].labels.split(",")
 
 
+def test_licence_notices_in_texts_with_all_words(spark):
+    """No notice is lost in a bundle of all, or beside all the words of the others."""
+    words = sorted({w for _, n, _ in licences.NOTICES for w in n.replace(".", " ").split()})
+    scattered = " x ".join(words * 50)
+    texts = [" x ".join(n for _, n, _ in licences.NOTICES), *[f"{scattered} x {n} x {scattered}" for _, n, _ in licences.NOTICES]]
+    common = ["any copy of the code in your source file at http", "use this software and other files with your permission"] * 20
+    got = by_key(licences.licence_scan(spark.createDataFrame(list(enumerate(texts + common)), "doc_id long, text string")))
+    assert {label for label, _, _ in licences.NOTICES} <= set(got[0].labels.split(","))
+    for i, (label, _, _) in enumerate(licences.NOTICES, 1):
+        assert label in got[i].labels.split(",")
+        assert got[i].score == 1.0
+
+
 def test_licences_odd(odd, nothing):
     assert len(licences.licence_scan(odd).collect()) == len(ODD)
     assert licences.licence_scan(nothing).collect() == []

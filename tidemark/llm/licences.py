@@ -1,9 +1,9 @@
 """Licence notices in texts, through a positional index of rare words.
 
 Each notice is known by its rarest words, by document frequency over all texts,
-and their positions. A text's own highest-IDF licence words are looked up; where
-several agree on one offset between text and notice, the notice is compared
-there and its mandatory phrase checked. Phrases alone are found by their rarest
+and their positions. Each place of such a word in a text votes; where several
+agree on one offset between text and notice, the notice is compared there and
+its mandatory phrase checked. Phrases alone are found by their rarest
 word and the words around it.
 """
 
@@ -40,7 +40,6 @@ NOTICES = [
 ]
 
 RARE = 6
-TOP = 24
 
 
 def _split(text: str) -> list[str]:
@@ -98,15 +97,6 @@ class Index:
         at = at[self.is_rare[ids[at]]]
         if not len(at):
             return []
-        # The text's own highest-IDF licence words.
-        own = np.unique(doc[at] * len(self.words) + np.argsort(np.argsort(-self.idf, kind="stable"))[ids[at]])
-        rank = np.arange(len(own)) - np.searchsorted(own // len(self.words), own // len(self.words))
-        by_rank = np.argsort(-self.idf, kind="stable")
-        top = set()
-        chosen = own[rank < TOP]
-        top = np.sort(chosen // len(self.words) * len(self.words) + by_rank[chosen % len(self.words)])
-        mine = doc[at] * len(self.words) + ids[at]
-        at = at[top[np.minimum(np.searchsorted(top, mine), len(top) - 1)] == mine]
         # Each posting votes for the place where its notice would begin.
         size = self.post_first[ids[at] + 1] - self.post_first[ids[at]]
         src = np.repeat(at, size)
