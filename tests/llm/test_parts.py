@@ -166,6 +166,27 @@ def test_blocks():
     assert [b.path[-1][0] if b.path else "" for b in blocks(page)] == ["p", "li", "li", ""]
 
 
+@pytest.mark.parametrize("page", [
+    "<script>for(i=0;i<n;i++){f(i)}</script><p>one<p>two",
+    "<SCRIPT>x = '<!--'; y = \"<p>no\"</Script ><p>one</p><p>two",
+    "<style>a:before{content:'<!--<b'}</style><p>one</p><textarea>a <b and <!-- </TEXTAREA><p>two",
+    "<html><head><title>a <b</title><meta charset=x><link href=y><body><p>one<p>two",
+    "<head><title>no</title><style>a{}</style><p>one<p>two",
+    "<head><noscript><img src=x></noscript><script>a<b</script><div>one</div><p>two",
+    "<head><title>no</title>one<p>two",
+    "<head><title>no<body><p>one<p>two",
+    "<div><p>one</p><button>no <b>no</b></div><p>two",
+    "<p>one</p><button>no<p>two</p><button>no</button>",
+    "<div>one<noscript>no</div><p>two</p><noscript><p>no</p></noscript>",
+    "<p>one</p><iframe src=x>no<p>two</p><iframe src=y></iframe>",
+    "<div>one<select><option>no<option>no</div><p>two",
+    "<div><svg><svg></svg><g><text>no</text></g></svg>one</div><p>two",
+    "<p>one</p><p>two</p><script>no <p>no</p>",
+])
+def test_hidden_elements_end(page):
+    assert [b.text for b in blocks(page)] == ["one", "two"]
+
+
 def test_main_text_odd(spark, field):
     rows = [(1, "u", None, "t"), (2, None, "", "t"), (None, "u", "<nav><a href=x>menu</a></nav>", "t"), (3, "u", "<article><p>Hello there, all of you.</p>", None),
             (3, "u", "<article><p>Hello there, all of you.</p>", None), (4, "u", "<article><p>" + "long words " * 50000, "t"), (5, "u", "<" * 2000, "t")]
