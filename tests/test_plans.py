@@ -20,6 +20,7 @@ from tidemark.operators.layout import cluster, write_partitioned
 from tidemark.plans.customer import SURVEY, customer_enriched, dim_customer_load
 from tidemark.plans.dimensions import dim_date, load_dim_reason
 from tidemark.plans.fact import fact_load, fact_sales
+from tidemark.plans.lakehouse import Lakehouse
 from tidemark.plans.monthly import SERVING_SCHEMA, agg_monthly_sales
 from tidemark.plans.raw import RAW_COLUMNS, read_raw
 from tidemark.plans.silver import HISTORIES, INSERT_ONLY, empty_silver, load_silver, silver_schema
@@ -28,6 +29,7 @@ from tidemark.sources.delimited import CONTROL_A, read_delimited, write_delimite
 from tidemark.sources.export import as_serving, export_parquet, read_export
 from tidemark.sources.jdbc import read_jdbc_table
 from tidemark.sources.lookup import education, occupation
+from tidemark.sources.snapshots import read_snapshot
 
 
 def test_conform(spark):
@@ -154,6 +156,50 @@ def test_same_day_headers_keep_the_last(spark):
     assert rows(df.select("sub_total", "is_current")) == [(Decimal("5.0000"), True)]
 
 
+def _headers(spark, *versions):
+    names = [c.split(" ")[0] for c in RAW_COLUMNS["sales_salesorderheader"].split(", ")]
+    cells = [{"SalesOrderID": k, "SubTotal": s, "Status": "5", "TotalDue": s, "ModifiedDate": m} for k, s, m in versions]
+    return spark.createDataFrame([tuple(c.get(n) for n in names) for c in cells], ", ".join(f"{n} string" for n in names))
+
+
+def test_every_version_of_a_day(spark):
+    table, day = "sales_salesorderheader", "2020-01-01 "
+    first = [("1", "9", day + "10:00:00"), ("1", "5", day + "11:00:00"), ("2", "1", day + "10:00:00")]
+    second = [("1", "9", day + "12:00:00"), ("1", "9", day + "13:00:00"), ("2", "1", day + "10:00:00"), ("2", "2", day + "12:30:00")]
+
+    def load(target, *versions):
+        return load_silver(target, _headers(spark, *versions), table, "2024-01-01", every_version=True).localCheckpoint()
+
+    def lines(df):
+        return [(r[0], int(r[1]), str(r[2]), r[3], str(r[4])) for r in rows(df.select("sales_order_id", "sub_total", "modified_date", "is_current", "end_date"))]
+
+    end, d = "9999-12-31 00:00:00", "2020-01-01"
+    once = load(empty_silver(spark, table), *first)
+    assert lines(once) == sorted([(1, 9, d, False, d + " 11:00:00"), (1, 5, d, True, end), (2, 1, d, True, end)], key=repr)
+    assert rows(load(once, *first)) == rows(once)
+    twice = load(once, *second)
+    want = [(1, 9, d, False, d + " 11:00:00"), (1, 5, d, False, d + " 12:00:00"), (1, 9, d, True, end), (2, 1, d, False, d + " 12:30:00"), (2, 2, d, True, end)]
+    assert sorted(lines(twice), key=repr) == sorted(want, key=repr)
+    for again in (first, second, first + second):
+        assert rows(load(twice, *again)) == rows(twice)
+    assert twice.schema.names == T.StructType.fromDDL(silver_schema(table)).names
+
+
+def test_every_version_of_a_day_through_the_lakehouse(spark):
+    table, raw = "sales_salesorderheader", work_path(spark, "raw")
+    lake = Lakehouse(spark, work_path(spark, "lake"), files=2, as_of="2024-01-01")
+    batch = [("1", "9", "2020-01-01 10:00:00"), ("1", "5", "2020-01-01 11:00:00"), ("3", "5", None), ("3", "6", None)]
+    write_delimited(_headers(spark, *batch), f"{raw}/{table}")
+    lake.load_silver(raw, [table])
+    assert lake.silver(table).count() == 2 and read_snapshot(spark, lake.path(f"rejects/{table}")).count() == 2
+    assert rows(lake._changes(table)[0].select("sub_total", "_change_type")) == [(Decimal("5.0000"), "insert"), (Decimal("9.0000"), "insert")]
+    raw = work_path(spark, "raw")
+    write_delimited(_headers(spark, ("1", "7", "2020-01-01 11:00:00")), f"{raw}/{table}")
+    lake.load_silver(raw, [table])
+    # Two versions end at one time now.
+    assert lake.silver(table).count() == 3 and lake._changes(table)[0].filter("sub_total = 7").count() == 1
+
+
 def _gold(spark):
     n = None
     header = spark.createDataFrame(

@@ -109,6 +109,7 @@ def scd2_apply(
     load_col: str = LOAD_COL,
     as_of: datetime | str | None = None,
     hot_rows: int | None = None,
+    ends: bool = False,
 ) -> DataFrame:
     """Next state of ``target`` after ``batch``.
 
@@ -123,6 +124,8 @@ def scd2_apply(
     * With nothing watched only new keys are added.
     * A row without a date has no place in the order and fails the load; take
       such rows out before with :func:`undated`.
+    * With ``ends``, ``order`` of a closed row is the time at which it ended, and
+      batch rows before the last such time are known.
 
     Keys absent from the batch and closed rows are passed through untouched.
     """
@@ -158,7 +161,7 @@ def scd2_apply(
     watched = watched_struct(monitored, normalise)
 
     def plan(rows: DataFrame, heavy: bool) -> DataFrame:
-        return _history(rows, keys, order, ties, monitored, watched, null_safe, heavy)
+        return _history(rows, keys, order, ties, monitored, watched, null_safe, heavy, ends)
 
     lines = by_heat(line, keys, hot, plan)
     fresh = lines.select(
@@ -192,7 +195,7 @@ def _spread_latest(batch, keys, order, ties, latest_cols, hot):
     return found.withColumns({c: F.col(f"_newest.{c}") for c in latest_cols}).drop("_newest")
 
 
-def _history(rows, keys, order, ties, monitored, watched, null_safe, heavy):
+def _history(rows, keys, order, ties, monitored, watched, null_safe, heavy, ends):
     """Batch, current and floor rows of some keys -> their new history lines.
 
     All windows share one partitioning and one sort.
@@ -227,6 +230,8 @@ def _history(rows, keys, order, ties, monitored, watched, null_safe, heavy):
         .when(F.col("_floor").isNotNull(), at > F.col("_floor"))
         .otherwise(F.lit(True))
     )
+    if ends:
+        late_enough = F.coalesce(at >= F.greatest("_since", "_floor"), F.lit(True))
     rows = rows.filter(
         (kind == _CURRENT) | ((kind == _BATCH) & late_enough)
     )

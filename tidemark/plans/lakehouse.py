@@ -20,7 +20,7 @@ from tidemark.plans.gold import empty_gold
 from tidemark.plans.monthly import SERVING_SCHEMA, agg_monthly_sales
 from tidemark.plans.product import load_dim_product, load_dim_product_history, product_enriched
 from tidemark.plans.raw import RAW_COLUMNS, read_raw
-from tidemark.plans.silver import HISTORIES, INSERT_ONLY, ORDER, empty_silver, load_silver, rejected_rows, unseen_rows
+from tidemark.plans.silver import DAY_GRAIN, HISTORIES, INSERT_ONLY, ORDER, empty_silver, load_silver, rejected_rows, unseen_rows
 from tidemark.session import stage
 from tidemark.sources.export import as_serving, export_parquet
 from tidemark.sources.lookup import education, occupation
@@ -64,7 +64,7 @@ class Lakehouse:
                 rejects = stage(rejected_rows(raw, table, self.as_of), "rejects")
                 if not rejects.isEmpty():
                     append(rejects, self.path(f"rejects/{table}"))
-                state = load_silver(target, raw, table, self.as_of)
+                state = load_silver(target, raw, table, self.as_of, every_version=True)
                 replace(state, path, cluster_by=HISTORIES[table].cluster_by, files=self.files)
 
     def load_dimensions(self) -> None:
@@ -99,7 +99,9 @@ class Lakehouse:
         control = self._read("gold/pipeline_control", lambda: empty_control(self.spark))
         # A correction may keep its date; the load stamp tells the rows apart.
         row = [*HISTORIES[table].keys, ORDER, LOAD_COL]
-        return pull_changes(self.spark, control, table, self.path(f"silver/{table}"), row, self.as_of)
+        # Versions of one day and load are told apart by their ends.
+        among = ["end_date"] if table in DAY_GRAIN else []
+        return pull_changes(self.spark, control, table, self.path(f"silver/{table}"), row, self.as_of, among)
 
     def load_customers(self) -> bool:
         """Bring the customer dimension and its history up to the customer table."""

@@ -34,6 +34,8 @@ DROPPED = {
 SIGNED = {("production_product", "Weight")}
 # Tables whose timestamps are kept by day.
 DAY_GRAIN = {"sales_salesorderheader"}
+# The full time of a version where the table keeps the day.
+AT = "_at"
 
 
 @dataclass(frozen=True)
@@ -208,15 +210,19 @@ def empty_silver(spark: SparkSession, table: str) -> DataFrame:
     return spark.createDataFrame([], silver_schema(table))
 
 
-def clean(raw: DataFrame, table: str) -> DataFrame:
-    """The raw rows with a key, under the cleaned names and types."""
+def clean(raw: DataFrame, table: str, every_version: bool = False) -> DataFrame:
+    """The raw rows with a key, under the cleaned names and types. With
+    ``every_version`` tables kept by day have the full time as ``AT``."""
     keys = HISTORIES[table].keys if table in HISTORIES else INSERT_ONLY[table]
     if table not in DAY_GRAIN:
         return conform(raw, column_specs(table), keys)
-    # Of several versions on one day the last by its full timestamp stays.
-    timed = [*column_specs(table), ColSpec("ModifiedDate", "_at", "timestamp")]
+    timed = [*column_specs(table), ColSpec("ModifiedDate", AT, "timestamp")]
     rows = conform(raw, timed, keys)
-    return latest_per_key(rows, [*keys, ORDER], ["_at", "rowguid"]).drop("_at")
+    if every_version:
+        rows = rows.withColumn(AT, F.coalesce(AT, F.col(ORDER).cast("timestamp")))
+        return rows.withColumn(ORDER, F.col(AT).cast("date"))
+    # Of several versions on one day the last by its full timestamp stays.
+    return latest_per_key(rows, [*keys, ORDER], [AT, "rowguid"]).drop(AT)
 
 
 def unseen_rows(
@@ -229,7 +235,8 @@ def unseen_rows(
 
 def rejected_rows(raw: DataFrame, table: str, as_of: datetime | str | None = None) -> DataFrame:
     """Rows of a history table that have a key but no readable date."""
-    return with_load_ts(undated(clean(raw, table), HISTORIES[table].keys, ORDER), as_of=as_of)
+    rows = clean(raw, table, every_version=True).drop(AT)
+    return with_load_ts(undated(rows, HISTORIES[table].keys, ORDER), as_of=as_of)
 
 
 def load_silver(
@@ -239,22 +246,32 @@ def load_silver(
     as_of: datetime | str | None = None,
     null_safe: bool = True,
     hot_rows: int | None = None,
+    every_version: bool = False,
 ) -> DataFrame:
     """Next state of a cleaned table after a raw batch. Rows without a date are
-    left to :func:`rejected_rows`."""
+    left to :func:`rejected_rows`.
+
+    ``every_version`` gives a table kept by day all versions of a day, in the
+    order of their full times, which ``end_date`` keeps; else the last of a day.
+    """
     if table in INSERT_ONLY:
         return target.unionByName(unseen_rows(target, raw, table, as_of))
-    batch, h = clean(raw, table), HISTORIES[table]
-    return scd2_apply(
-        target,
+    batch, h = clean(raw, table, every_version), HISTORIES[table]
+    timed = AT in batch.columns
+    # A current row began when the last closed one ended, on the day it keeps.
+    began = F.when(F.col("is_current"), F.col(ORDER).cast("timestamp")).otherwise(F.col("end_date"))
+    state = scd2_apply(
+        target.withColumn(AT, began) if timed else target,
         batch.filter(F.col(ORDER).isNotNull()),
         h.keys,
         h.monitored,
-        ORDER,
+        AT if timed else ORDER,
         ties=["rowguid"] if "rowguid" in batch.columns else [],
         null_safe=null_safe,
         normalise=h.normalise,
         latest_cols=h.latest_cols,
         as_of=as_of,
         hot_rows=hot_rows,
+        ends=timed,
     )
+    return state.drop(AT)

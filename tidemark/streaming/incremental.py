@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.operators.changes import next_start, set_watermark, table_changes
 from tidemark.session import stage
@@ -58,19 +58,29 @@ def follow_files(
 
 
 def pull_changes(
-    spark: SparkSession, control: DataFrame, table: str, path: str, keys: Sequence[str], as_of=None
+    spark: SparkSession, control: DataFrame, table: str, path: str, keys: Sequence[str], as_of=None, among: Sequence[str] = ()
 ) -> tuple[DataFrame | None, DataFrame]:
     """Changes of a stored table since its control row, and the next control.
 
     Store the returned control only after the changes were applied; until then
     a repeated call returns the same changes. None means nothing is new.
+    Where several rows of a version share ``keys``, their places by ``among``
+    and then by the other columns tell them apart.
     """
+
+    def placed(rows: DataFrame) -> DataFrame:
+        if not among:
+            return rows
+        rest = [c for c in rows.columns if c not in {*keys, *among}]
+        return rows.withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy(*among, *rest)))
+
+    row = [*keys, "_place"] if among else keys
     start, last = next_start(control, table), latest_version(spark, path)
     if last is None or last < start:
         return None, control
     # Only folders that differ between two versions are read.
     feed = None
     for version, (old, new) in read_differences(spark, path, start, last).items():
-        one = table_changes({version - 1: old, version: new}, version, keys, end=version)
+        one = table_changes({version - 1: placed(old), version: placed(new)}, version, row, end=version).drop("_place")
         feed = one if feed is None else feed.unionByName(one, allowMissingColumns=True)
     return feed, set_watermark(control, table, last, as_of)

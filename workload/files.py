@@ -302,8 +302,8 @@ def run_silver_order_header(spark, sf_dir):
     versions, table = order_versions(spark, sf_dir), "sales_salesorderheader"
     first = _as_raw(spark, _raw_header(versions[1], 0), table)
     second = _as_raw(spark, _raw_header(versions[2], 1), table)
-    state = load_silver(empty_silver(spark, table), first, table, FIRST_LOAD)
-    return load_silver(stage(state, "target"), second, table, SECOND_LOAD)
+    state = load_silver(empty_silver(spark, table), first, table, FIRST_LOAD, every_version=True)
+    return load_silver(stage(state, "target"), second, table, SECOND_LOAD, every_version=True)
 
 
 @query(
