@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from tidemark.llm import curation, marking, substrings  # noqa: F401
+from tidemark.llm import curation, marking, shaping, substrings  # noqa: F401
 from tidemark.llm.registry import QUERIES, SQL  # noqa: F401
