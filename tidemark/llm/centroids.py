@@ -35,7 +35,8 @@ _PAIRS = 80_000
 
 def integers(values: np.ndarray, scale: int = 256) -> np.ndarray:
     """``floor(scale * x)``: 64-bit when all are narrow, else Python integers."""
-    scaled = np.floor(values * float(scale))
+    with np.errstate(over="ignore"):
+        scaled = np.floor(values * float(scale))
     if not scaled.size or np.abs(scaled).max() < NARROW:
         return scaled.astype(np.int64)
     whole = [math.floor(x) * scale if abs(x) >= 2.0**60 else math.floor(x * scale) for x in values.ravel().tolist()]
@@ -232,7 +233,7 @@ def cluster_vectors(
     chosen = kept.select(drawn.alias("_drawn"), "vector").orderBy(F.asc_nulls_last("_drawn"), "vector").limit(k)
     starts = [integers(np.array([r.vector], np.float64))[0].tolist() for r in chosen.collect()]
 
-    axes = _axes(kept, size)
+    axes, lead = _axes(kept, size), min(lead, size)
     rows = stage(_rotated(kept, axes, size, lead), "rotated")
     for n in range(rounds):
         if watch:
