@@ -49,7 +49,7 @@ def _floats(whole: np.ndarray) -> np.ndarray:
     """Whole numbers as floats; those out of reach become infinite."""
     if whole.dtype != object:
         return whole.astype(np.float64)
-    near = [float(x) if abs(x) < 10**300 else math.copysign(math.inf, x) for x in whole.ravel().tolist()]
+    near = [float(x) if abs(x) < 10**300 else (math.inf if x > 0 else -math.inf) for x in whole.ravel().tolist()]
     return np.array(near, np.float64).reshape(whole.shape)
 
 
