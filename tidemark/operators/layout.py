@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -12,23 +14,15 @@ from tidemark.session import stage
 MOST_BITS = 10
 
 
-def _borders(df: DataFrame, name: str, ranges: int) -> list:
-    """Values that cut a column into ``ranges`` parts of about equal row counts.
-
-    Numbers and times use approximate percentiles, text the least value of each
-    part of a range partitioning by the whole value.
-    """
-    if not isinstance(df.schema[name].dataType, (T.StringType, T.BinaryType)):
-        cuts = [i / ranges for i in range(1, ranges)]
-        found = df.agg(F.percentile_approx(_as_number(df, name), cuts)).first()[0]
-        return sorted(set(found or []))
+def _text_borders(df: DataFrame, name: str, ranges: int) -> list:
+    """The least value of each part of a range partitioning by the whole value."""
     parts = df.select(name).filter(F.col(name).isNotNull()).repartitionByRange(ranges, name)
     least = parts.groupBy(F.spark_partition_id().alias("_at")).agg(F.min(name).alias("_least"))
     return sorted({r["_least"] for r in least.collect()})[1:]
 
 
-def _as_number(df: DataFrame, name: str) -> Column:
-    kind, c = df.schema[name].dataType, F.col(name)
+def _as_number(kind: T.DataType, name: str) -> Column:
+    c = F.col(name)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return F.unix_micros(c.cast("timestamp")).cast("double")
     return c.cast("double")
@@ -39,26 +33,65 @@ def _reached(value: Column, text: bool):
     return lambda border: (border <= value) if text else (border < value)
 
 
-def z_key(df: DataFrame, cols: Sequence[str], files: int) -> Column:
-    """One number per row that is near for rows near in all of ``cols``.
+def _is_text(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.StringType, T.BinaryType))
+
+
+@dataclass(frozen=True)
+class Borders:
+    """Borders of equal row counts in some columns, and the curve through them.
 
-    Each column is cut into ranges of about equal row counts and the bits of the
-    range numbers are interleaved. The ranges follow from the number of files:
-    at least two cells for each. Only the borders reach the driver.
+    They can be stored as text, so that rows that come later are laid out by the
+    borders of those that came first.
     """
+
+    cols: tuple[str, ...]
+    bits: int
+    cuts: tuple[tuple, ...]
+
+    def dump(self) -> str:
+        return json.dumps([self.cols, self.bits, self.cuts])
+
+    @staticmethod
+    def load(text: str) -> Borders:
+        cols, bits, cuts = json.loads(text)
+        return Borders(tuple(cols), bits, tuple(map(tuple, cuts)))
+
+    def key(self, schema: T.StructType) -> Column:
+        """One number per row that is near for rows near in all the columns: the
+        interleaved bits of the numbers of the ranges that its values fall in."""
+        key = F.lit(0).cast("long")
+        for i, (c, borders) in enumerate(zip(self.cols, self.cuts)):
+            text = _is_text(schema[c].dataType)
+            value = F.col(c) if text else _as_number(schema[c].dataType, c)
+            listed = F.array(*[F.lit(b) for b in borders]) if borders else F.array().cast("array<double>")
+            below = F.size(F.filter(listed, _reached(value, text)))
+            at = F.coalesce(F.when(value.isNotNull(), below), F.lit(0))
+            for bit in range(self.bits):
+                one = F.shiftright(at, bit).bitwiseAND(F.lit(1)).cast("long")
+                key = key + F.shiftleft(one, bit * len(self.cols) + i)
+        return key
+
+    def cell(self, key: Column, cells: int) -> Column:
+        """Stretches of the curve, at least ``cells`` of them."""
+        wanted = min((cells - 1).bit_length(), self.bits * len(self.cols))
+        return F.shiftright(key, self.bits * len(self.cols) - wanted).cast("int")
+
+
+def find_borders(df: DataFrame, cols: Sequence[str], files: int) -> Borders:
+    """Borders that make at least two cells for each file. Only they reach the driver."""
     bits = min(MOST_BITS, max(2, -(-(2 * files - 1).bit_length() // len(cols))))
-    key = F.lit(0).cast("long")
-    for i, c in enumerate(cols):
-        borders = _borders(df, c, 2**bits)
-        text = isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))
-        value = F.col(c) if text else _as_number(df, c)
-        listed = F.array(*[F.lit(b) for b in borders]) if borders else F.array().cast("array<double>")
-        below = F.size(F.filter(listed, _reached(value, text)))
-        at = F.coalesce(F.when(value.isNotNull(), below), F.lit(0))
-        for bit in range(bits):
-            one = F.shiftright(at, bit).bitwiseAND(F.lit(1)).cast("long")
-            key = key + F.shiftleft(one, bit * len(cols) + i)
-    return key
+    numbers = [c for c in cols if not _is_text(df.schema[c].dataType)]
+    cuts = [i / 2**bits for i in range(1, 2**bits)]
+    # One pass for all columns of numbers and times.
+    found = df.agg(*[F.percentile_approx(_as_number(df.schema[c].dataType, c), cuts).alias(c) for c in numbers]).first() if numbers else {}
+    given = {c: sorted(set(found[c] or [])) for c in numbers}
+    return Borders(tuple(cols), bits, tuple(tuple(given[c] if c in given else _text_borders(df, c, 2**bits)) for c in cols))
+
+
+def z_key(df: DataFrame, cols: Sequence[str], files: int) -> Column:
+    """The place of each row on a curve through ``cols`` (see :class:`Borders`)."""
+    return find_borders(df, cols, files).key(df.schema)
 
 
 def cluster(df: DataFrame, cols: Sequence[str], files: int) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.text import norm_xml
 from tidemark.operators.skew import by_heat, hot_keys
+from tidemark.operators.tagged import CHANGE, OUT, told, unchanged
 from tidemark.operators.timeline import differs, latest_per_key, neighbours, per_key
 from tidemark.operators.upsert import new_keys
 from tidemark.session import stage
@@ -110,6 +111,7 @@ def scd2_apply(
     as_of: datetime | str | None = None,
     hot_rows: int | None = None,
     ends: bool = False,
+    feed: bool = False,
 ) -> DataFrame:
     """Next state of ``target`` after ``batch``.
 
@@ -126,6 +128,8 @@ def scd2_apply(
       such rows out before with :func:`undated`.
     * With ``ends``, ``order`` of a closed row is the time at which it ended, and
       batch rows before the last such time are known.
+    * With ``feed`` the rows are tagged (:mod:`tidemark.operators.tagged`): a
+      closed row is an update, a new one an insert.
 
     Keys absent from the batch and closed rows are passed through untouched.
     """
@@ -164,14 +168,19 @@ def scd2_apply(
         return _history(rows, keys, order, ties, monitored, watched, null_safe, heavy, ends)
 
     lines = by_heat(line, keys, hot, plan)
-    fresh = lines.select(
-        *data,
-        load_col,
-        F.col("_newer").isNull().alias("is_current"),
-        F.coalesce(F.col("_newer.at"), end_of_time(target, order))
-        .cast(target.schema["end_date"].dataType)
-        .alias("end_date"),
-    )
+    forever = end_of_time(target, order).cast(target.schema["end_date"].dataType)
+    is_open = F.col("_newer").isNull()
+    values = {
+        "is_current": is_open,
+        "end_date": F.coalesce(F.col("_newer.at").cast(target.schema["end_date"].dataType), forever),
+    }
+    if feed:
+        # A row that was current before the load was open without end.
+        was = {"is_current": F.lit(True), "end_date": forever}
+        after, before = (F.struct(*[v.get(c, F.col(c)).alias(c) for c in target.columns]) for v in (values, was))
+        kind = F.when(F.col("_kind") == _BATCH, "insert").when(~is_open, "update")
+        return unchanged(kept).unionByName(told(lines, target.columns, after, before, kind)).select(*target.columns, OUT, CHANGE)
+    fresh = lines.select(*data, load_col, *[v.alias(c) for c, v in values.items()])
     return kept.unionByName(fresh).select(*target.columns)
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.operators.tagged import told
 from tidemark.session import stage
 
 
@@ -56,6 +57,12 @@ def one_row_per_key(df: DataFrame, keys: Sequence[str], what: str = "source") ->
     return df.withColumn("_nth", seen).filter(checked).drop("_nth")
 
 
+def merge_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``source`` checked and computed once: every later use, also with an empty
+    target, reads the stored rows."""
+    return stage(one_row_per_key(source, keys), "merge-source")
+
+
 def merge_upsert(
     target: DataFrame,
     source: DataFrame,
@@ -63,21 +70,23 @@ def merge_upsert(
     update_cols: Sequence[str] | None = None,
     insert: bool = True,
     stamp: dict[str, Column] | None = None,
+    checked: bool = False,
+    feed: bool = False,
 ) -> DataFrame:
     """Update matched rows, insert the others.
 
     ``update_cols`` (default: all but the keys) limits what a match changes.
     ``stamp`` sets columns on every updated or inserted row. ``source`` must
-    hold one row per key.
+    hold one row per key; ``checked`` says that it comes from
+    :func:`merge_source`. With ``feed`` the rows are tagged
+    (:mod:`tidemark.operators.tagged`); a match that changes no value is no event.
 
     A left join plus an anti join instead of a full outer join: a small source
     is broadcast and the target keeps its place, and a hot target key can be
     split.
     """
     keys, stamp = list(keys), stamp or {}
-    # Checked and computed once; every later use, also with an empty target,
-    # reads the checked rows.
-    unique = stage(one_row_per_key(source, keys), "merge-source")
+    unique = source if checked else merge_source(source, keys)
     if update_cols is None:
         update_cols = [c for c in target.columns if c not in keys and c in source.columns]
     payload = F.struct(F.lit(True).alias("_hit"), *[c for c in update_cols if c not in stamp])
@@ -93,7 +102,12 @@ def merge_upsert(
             out.append(F.when(hit, new).otherwise(F.col(c)).alias(c))
         else:
             out.append(F.col(c))
-    merged = joined.select(*out)
+    if feed:
+        after, before = F.struct(*out), F.struct(*target.columns)
+        kind = F.when(hit & ~after.eqNullSafe(before), "update")
+        merged = told(joined, target.columns, after, before, kind)
+    else:
+        merged = joined.select(*out)
     if not insert:
         return merged
     fresh = new_keys(unique, target, keys).withColumns(stamp)
@@ -101,4 +115,6 @@ def merge_upsert(
     fresh = fresh.withColumns({c: F.lit(None) for c in missing}).select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema]
     )
+    if feed:
+        fresh = told(fresh, target.columns, F.struct(*target.columns), None, F.lit("insert"))
     return merged.unionByName(fresh)

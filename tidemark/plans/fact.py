@@ -11,7 +11,6 @@ from tidemark.functions.money import share
 from tidemark.operators.joins import DimSpec, star_join
 from tidemark.operators.scd2 import load_stamp
 from tidemark.operators.upsert import merge_upsert, restrict_to_keys
-from tidemark.session import stage
 
 FACT_KEYS = ["SalesOrderNumber", "SalesOrderLineNumber"]
 
@@ -106,12 +105,15 @@ def fact_sales(
 
 
 def fact_load(
-    target: DataFrame, lines: DataFrame, as_of: datetime | str | None = None
+    target: DataFrame, lines: DataFrame, as_of: datetime | str | None = None, checked: bool = False
 ) -> DataFrame:
-    """Merge fact lines by order and line number.
-
-    The lines are written once to the shared folder, since the merge reads them
-    twice and the star join behind them is expensive.
-    """
+    """Merge fact lines by order and line number; ``checked`` lines come from
+    :func:`tidemark.operators.upsert.merge_source` and are not stored again."""
     stamp = {"ingestion_timestamp": load_stamp(as_of)}
-    return merge_upsert(target, stage(lines, "fact-lines"), FACT_KEYS, stamp=stamp)
+    return merge_upsert(target, lines, FACT_KEYS, stamp=stamp, checked=checked)
+
+
+def months_of_orders(feed: DataFrame) -> DataFrame:
+    """Order dates in a change feed of the order header, as ``OrderDateKey``: an
+    order whose date changed was, until now, a fact of the date before."""
+    return feed.filter("online_order_flag").select(date_key(F.col("order_date")).alias("OrderDateKey"))

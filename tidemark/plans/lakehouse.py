@@ -1,39 +1,79 @@
 """The whole load: raw text -> cleaned history -> dimensions, fact, aggregate.
 
 Tables are versioned folders below one root. Every step may be repeated: what
-was loaded before changes nothing.
+was loaded before changes nothing. Histories, the fact and the monthly aggregate
+are dealt to slots, and a load reads and writes only the slots it touches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import re
+from collections.abc import Callable, Iterable, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.operators.changes import empty_control, post_images
+from tidemark.operators.changes import empty_control, get_watermark, next_start, post_images, set_watermark
 from tidemark.operators.scd2 import LOAD_COL
+from tidemark.operators.upsert import merge_source, restrict_to_keys
 from tidemark.plans import dimensions as dims
 from tidemark.plans.customer import customer_enriched, dim_customer_load
-from tidemark.plans.fact import fact_load, fact_sales
+from tidemark.plans.fact import FACT_KEYS, fact_load, fact_sales, months_of_orders
 from tidemark.plans.gold import empty_gold
 from tidemark.plans.monthly import SERVING_SCHEMA, agg_monthly_sales
 from tidemark.plans.product import load_dim_product, load_dim_product_history, product_enriched
 from tidemark.plans.raw import RAW_COLUMNS, read_raw
-from tidemark.plans.silver import DAY_GRAIN, HISTORIES, INSERT_ONLY, ORDER, empty_silver, load_silver, rejected_rows, unseen_rows
-from tidemark.session import stage
+from tidemark.plans.silver import (
+    DAY_GRAIN,
+    HISTORIES,
+    INSERT_ONLY,
+    ORDER,
+    clean,
+    empty_silver,
+    load_silver,
+    rejected_rows,
+    unseen_rows,
+)
+from tidemark.session import scratch, stage
 from tidemark.sources.export import as_serving, export_parquet
 from tidemark.sources.lookup import education, occupation
-from tidemark.sources.snapshots import append, latest_version, read_snapshot, replace
+from tidemark.sources.snapshots import (
+    Slots,
+    append,
+    changed_slots,
+    last_version,
+    latest_version,
+    read_snapshot,
+    replace,
+    replace_slots,
+    versions,
+)
 from tidemark.streaming.incremental import pull_changes
 
+FACT, MONTHLY, CONTROL = "gold/fact_internet_sales", "gold/agg_monthly_sales", "gold/pipeline_control"
+FACT_SLOTS = Slots.by_month("OrderDateKey")
+MONTHLY_SLOTS = Slots.by_year_and_month("OrderYear", "OrderMonth")
+# What the monthly aggregate takes from its look-ups.
+_LOOKED_UP = {
+    "dim_product": ("ProductKey", ["ProductLine"]),
+    "dim_sales_territory": ("sales_territory_id", ["sales_country_region_code", "sales_group_name"]),
+}
+_FACT_KEY = {"dim_product": "ProductKey", "dim_sales_territory": "SalesTerritoryKey"}
+
 
 class Lakehouse:
-    """Loads below ``root``. ``files`` is the number of files per clustered
-    table; ``as_of`` replaces the clock where a run must be repeatable."""
+    """Loads below ``root``.
+
+    ``slots`` is the number of folders that a history is dealt to by its key;
+    choose it once, so that one holds about a gigabyte. ``files`` is the number
+    of files per clustered table, and of a month of the fact. ``as_of`` replaces
+    the clock where a run must be repeatable.
+    """
 
-    def __init__(self, spark: SparkSession, root: str, files: int = 8, as_of: datetime | str | None = None):
-        self.spark, self.root, self.files, self.as_of = spark, root.rstrip("/"), files, as_of
+    def __init__(
+        self, spark: SparkSession, root: str, files: int = 8, as_of: datetime | str | None = None, slots: int = 8
+    ):
+        self.spark, self.root, self.files, self.as_of, self.slots = spark, root.rstrip("/"), files, as_of, slots
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -54,18 +94,27 @@ class Lakehouse:
     def load_silver(self, raw_root: str, tables: Iterable[str] = RAW_COLUMNS) -> None:
         """Load the raw text below ``raw_root``, one folder per table."""
         for table in tables:
-            raw = read_raw(self.spark, table, f"{raw_root}/{table}")
-            target, path = self.silver(table), self.path(f"silver/{table}")
-            if table in INSERT_ONLY:
-                # Only the new rows are written.
-                append(unseen_rows(target, raw, table, self.as_of), path)
-            else:
-                raw = stage(raw, "raw")
-                rejects = stage(rejected_rows(raw, table, self.as_of), "rejects")
-                if not rejects.isEmpty():
-                    append(rejects, self.path(f"rejects/{table}"))
-                state = load_silver(target, raw, table, self.as_of, every_version=True)
-                replace(state, path, cluster_by=HISTORIES[table].cluster_by, files=self.files)
+            with scratch():
+                raw = read_raw(self.spark, table, f"{raw_root}/{table}")
+                if table in INSERT_ONLY:
+                    # Only the new rows are written.
+                    append(unseen_rows(self.silver(table), raw, table, self.as_of), self.path(f"silver/{table}"))
+                else:
+                    self._load_history(table, stage(raw, "raw"))
+
+    def _load_history(self, table: str, raw: DataFrame) -> None:
+        rejects = stage(rejected_rows(raw, table, self.as_of), "rejects")
+        if not rejects.isEmpty():
+            append(rejects, self.path(f"rejects/{table}"))
+        path, history, empty = self.path(f"silver/{table}"), HISTORIES[table], empty_silver(self.spark, table)
+        slots = Slots.by_hash(history.keys, self.slots)
+        touched = slots.touched(clean(raw, table, every_version=True), empty.schema)
+        known = latest_version(self.spark, path) is not None
+        if known and not touched:
+            return
+        target = read_snapshot(self.spark, path, slots=touched) if known else empty
+        state = load_silver(target, raw, table, self.as_of, every_version=True, feed=True)
+        replace_slots(state, path, slots, touched, sort_by=history.cluster_by)
 
     def load_dimensions(self) -> None:
         s, g, at = self.silver, self.gold, self.as_of
@@ -95,64 +144,137 @@ class Lakehouse:
         self._store("gold/dim_product_history", history, partition_by=["year_valid_to"])
         self._store("gold/dim_date", dims.dim_date(self.spark))
 
-    def _changes(self, table: str) -> tuple[DataFrame | None, DataFrame]:
-        control = self._read("gold/pipeline_control", lambda: empty_control(self.spark))
+    def _control(self) -> DataFrame:
+        return self._read(CONTROL, lambda: empty_control(self.spark))
+
+    def _changes(self, table: str, stores: Sequence[str] = ()) -> tuple[DataFrame | None, DataFrame, str]:
+        """Changes that the ``stores`` have not all taken in, the next control, and
+        the note under which the stores take them.
+
+        A run that broke off after some of its stores left its note there: the
+        next run takes the same changes again, and only the other stores do.
+        """
+        control = self._control()
+        start, end = next_start(control, table), None
+        for store in stores:
+            last = last_version(self.spark, self.path(store))
+            found = last and re.fullmatch(rf"{table} {start} to (\d+)", last.note)
+            end = int(found[1]) if found else end
         # A correction may keep its date; the load stamp tells the rows apart.
         row = [*HISTORIES[table].keys, ORDER, LOAD_COL]
         # Versions of one day and load are told apart by their ends.
         among = ["end_date"] if table in DAY_GRAIN else []
-        return pull_changes(self.spark, control, table, self.path(f"silver/{table}"), row, self.as_of, among)
+        feed, after = pull_changes(self.spark, control, table, self.path(f"silver/{table}"), row, self.as_of, among, end)
+        return feed, after, f"{table} {start} to {get_watermark(after, table)}"
+
+    def _done(self, store: str, note: str) -> bool:
+        last = last_version(self.spark, self.path(store))
+        return last is not None and last.note == note
 
     def load_customers(self) -> bool:
         """Bring the customer dimension and its history up to the customer table."""
-        feed, control = self._changes("sales_customer")
-        if feed is None:
-            return False
-        s = self.silver
-        enriched = stage(
-            customer_enriched(
-                feed, s("person_person"), s("person_emailaddress"), s("person_personphone"),
-                s("person_businessentityaddress"), s("person_address"),
-                education(self.spark), occupation(self.spark),
-            ),
-            "customers",
-        )
-        now, history = dim_customer_load(
-            self.gold("dim_customer"), self.gold("dim_customer_history"), enriched, self.as_of
-        )
-        self._store("gold/dim_customer_history", history, partition_by=["year_valid_to"])
-        self._store("gold/dim_customer", now, cluster_by=["CustomerKey"], files=self.files)
-        self._store("gold/pipeline_control", control)
+        history_path, path = "gold/dim_customer_history", "gold/dim_customer"
+        with scratch():
+            feed, control, note = self._changes("sales_customer", [history_path, path])
+            if feed is None:
+                return False
+            s = self.silver
+            # The dimension is stored last: what it was is what the history needs.
+            if not self._done(path, note):
+                enriched = stage(
+                    customer_enriched(
+                        feed, s("person_person"), s("person_emailaddress"), s("person_personphone"),
+                        s("person_businessentityaddress"), s("person_address"),
+                        education(self.spark), occupation(self.spark),
+                    ),
+                    "customers",
+                )
+                now, history = dim_customer_load(
+                    self.gold("dim_customer"), self.gold("dim_customer_history"), enriched, self.as_of
+                )
+                if not self._done(history_path, note):
+                    self._store(history_path, history, partition_by=["year_valid_to"], note=note)
+                self._store(path, now, cluster_by=["CustomerKey"], files=self.files, note=note)
+            self._store(CONTROL, control)
         return True
 
     def load_fact(self) -> bool:
-        """Recompute the orders whose header changed and merge their lines."""
-        feed, control = self._changes("sales_salesorderheader")
-        if feed is None:
-            return False
-        lines = fact_sales(
-            self.silver("sales_salesorderheader"),
-            self.silver("sales_salesorderdetail"),
-            post_images(feed),
-            product=self.gold("dim_product"),
-            customer=self.gold("dim_customer"),
-            promotion=self.gold("dim_promotion"),
-            currency_rate=self.silver("sales_currencyrate"),
-            currency=self.gold("dim_currency"),
-            territory=self.gold("dim_sales_territory"),
-        )
-        fact = fact_load(self.gold("fact_internet_sales"), lines, self.as_of)
-        self._store(
-            "gold/fact_internet_sales", fact, cluster_by=["CustomerKey", "ProductKey"], files=self.files
-        )
-        self._store("gold/pipeline_control", control)
+        """Recompute the orders whose header changed and merge their lines into
+        the months they belong to, and those they belonged to before."""
+        with scratch():
+            feed, control, note = self._changes("sales_salesorderheader", [FACT])
+            if feed is None:
+                return False
+            if not self._done(FACT, note):
+                lines = merge_source(
+                    fact_sales(
+                        self.silver("sales_salesorderheader"),
+                        self.silver("sales_salesorderdetail"),
+                        post_images(feed),
+                        product=self.gold("dim_product"),
+                        customer=self.gold("dim_customer"),
+                        promotion=self.gold("dim_promotion"),
+                        currency_rate=self.silver("sales_currencyrate"),
+                        currency=self.gold("dim_currency"),
+                        territory=self.gold("dim_sales_territory"),
+                    ),
+                    FACT_KEYS,
+                )
+                path, empty = self.path(FACT), empty_gold(self.spark, "fact_internet_sales")
+                days = months_of_orders(feed).union(lines.select("OrderDateKey"))
+                touched = FACT_SLOTS.touched(days, empty.schema)
+                known = latest_version(self.spark, path) is not None
+                target = read_snapshot(self.spark, path, slots=touched) if known else empty
+                fact = fact_load(target, lines, self.as_of, checked=True)
+                replace_slots(
+                    fact, path, FACT_SLOTS, touched, note, sort_by=["CustomerKey", "ProductKey"], cells=self.files
+                )
+            self._store(CONTROL, control)
         return True
 
-    def load_monthly(self) -> None:
-        monthly = agg_monthly_sales(
-            self.gold("fact_internet_sales"), self.gold("dim_sales_territory"), self.gold("dim_product"), self.as_of
-        )
-        self._store("gold/agg_monthly_sales", monthly)
+    def _changed_months(self, control: DataFrame) -> tuple[list[int] | None, dict[str, int]]:
+        """Months whose aggregate may have changed since the control rows of the
+        monthly table (None: all), and the versions that are read now."""
+        read = {t: latest_version(self.spark, self.path(f"gold/{t}")) for t in ("fact_internet_sales", *_LOOKED_UP)}
+        seen = {t: get_watermark(control, f"agg_monthly_sales of {t}") for t in read}
+        if None in seen.values() or latest_version(self.spark, self.path(MONTHLY)) is None:
+            return None, read
+        months = set(changed_slots(self.spark, self.path(FACT), seen["fact_internet_sales"] + 1))
+        for table, (key, values) in _LOOKED_UP.items():
+            if read[table] == seen[table]:
+                continue
+            path = self.path(f"gold/{table}")
+            if seen[table] not in versions(self.spark, path, seen[table], seen[table]):
+                return None, read
+            # Rows that only one of the two versions has.
+            old, new = (read_snapshot(self.spark, path, v).select(key, *values) for v in (seen[table], read[table]))
+            changed = old.exceptAll(new).union(new.exceptAll(old)).select(F.col(key).alias(_FACT_KEY[table]))
+            sold = restrict_to_keys(self.gold("fact_internet_sales"), stage(changed, "changed-keys"), [_FACT_KEY[table]])
+            months |= set(FACT_SLOTS.touched(sold, sold.schema))
+        return sorted(months), read
+
+    def load_monthly(self) -> list[int] | None:
+        """Aggregate the months whose facts or look-ups changed since the last
+        load, and leave the others where they are. Returns these months, None
+        for all."""
+        with scratch():
+            control = self._control()
+            months, read = self._changed_months(control)
+            if months == []:
+                return months
+            monthly = agg_monthly_sales(
+                read_snapshot(self.spark, self.path(FACT), slots=months),
+                self.gold("dim_sales_territory"),
+                self.gold("dim_product"),
+                self.as_of,
+            )
+            # A month of rows without a date is NULL in the aggregate and slot 0.
+            replace_slots(monthly, self.path(MONTHLY), MONTHLY_SLOTS, months, sort_by=["CountryRegionCode"])
+            for table, version in read.items():
+                if version is not None:
+                    control = set_watermark(control, f"agg_monthly_sales of {table}", version, self.as_of)
+            self._store(CONTROL, control)
+        return months
 
     def export(self, path: str) -> int:
         """Write the monthly aggregate for the serving engine; returns its rows."""

@@ -247,12 +247,14 @@ def load_silver(
     null_safe: bool = True,
     hot_rows: int | None = None,
     every_version: bool = False,
+    feed: bool = False,
 ) -> DataFrame:
     """Next state of a cleaned table after a raw batch. Rows without a date are
     left to :func:`rejected_rows`.
 
     ``every_version`` gives a table kept by day all versions of a day, in the
     order of their full times, which ``end_date`` keeps; else the last of a day.
+    ``feed`` tags the rows of a history table (:func:`scd2_apply`).
     """
     if table in INSERT_ONLY:
         return target.unionByName(unseen_rows(target, raw, table, as_of))
@@ -273,5 +275,6 @@ def load_silver(
         as_of=as_of,
         hot_rows=hot_rows,
         ends=timed,
+        feed=feed,
     )
     return state.drop(AT)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -87,9 +89,27 @@ def stage(df: DataFrame, name: str = "stage", release: bool = False) -> DataFram
         df.sparkSession.sparkContext._jvm.System.gc()
     copy = df.sparkSession.read.schema(df.schema).parquet(path)
     copy._staged_at = path
+    if _SCOPES:
+        _SCOPES[-1].append(copy)
     return copy
 
 
+_SCOPES: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Copies staged inside are deleted at the end, also of a run that fails.
+
+    Put a whole load inside, up to its commit: what it returns must not read them.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        discard(*_SCOPES.pop())
+
+
 def discard(*copies: DataFrame) -> None:
     """Delete copies that :func:`stage` made and that nothing will read again."""
     for copy in copies:

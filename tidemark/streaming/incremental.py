@@ -14,10 +14,12 @@ from tidemark.operators.changes import next_start, set_watermark, table_changes
 from tidemark.session import stage
 from tidemark.sources.snapshots import (
     latest_version,
-    read_snapshot,
     read_differences,
+    read_feed,
+    read_snapshot,
     replace,
     snapshot_log,
+    versions,
 )
 
 
@@ -58,14 +60,24 @@ def follow_files(
 
 
 def pull_changes(
-    spark: SparkSession, control: DataFrame, table: str, path: str, keys: Sequence[str], as_of=None, among: Sequence[str] = ()
+    spark: SparkSession,
+    control: DataFrame,
+    table: str,
+    path: str,
+    keys: Sequence[str],
+    as_of=None,
+    among: Sequence[str] = (),
+    end: int | None = None,
 ) -> tuple[DataFrame | None, DataFrame]:
-    """Changes of a stored table since its control row, and the next control.
+    """Changes of a stored table since its control row, up to version ``end``
+    (default: the latest), and the next control.
 
     Store the returned control only after the changes were applied; until then
     a repeated call returns the same changes. None means nothing is new.
-    Where several rows of a version share ``keys``, their places by ``among``
-    and then by the other columns tell them apart.
+    A version whose load wrote its changes is read from these, and its table
+    folders are not opened; of other versions the folders that differ are
+    compared. Where several rows of such a version share ``keys``, their places
+    by ``among`` and then by the other columns tell them apart.
     """
 
     def placed(rows: DataFrame) -> DataFrame:
@@ -76,11 +88,18 @@ def pull_changes(
 
     row = [*keys, "_place"] if among else keys
     start, last = next_start(control, table), latest_version(spark, path)
+    if end is not None and last is not None:
+        last = min(last, end)
     if last is None or last < start:
         return None, control
-    # Only folders that differ between two versions are read.
-    feed = None
-    for version, (old, new) in read_differences(spark, path, start, last).items():
-        one = table_changes({version - 1: placed(old), version: placed(new)}, version, row, end=version).drop("_place")
+    feed, known = None, versions(spark, path, max(start - 1, 1), last)
+    for version, now in known.items():
+        if version < start:
+            continue
+        if now.feed is not None:
+            one = read_feed(spark, path, now).withColumn("_commit_version", F.lit(version))
+        else:
+            old, new = read_differences(spark, path, known.get(version - 1), now)
+            one = table_changes({version - 1: placed(old), version: placed(new)}, version, row, end=version).drop("_place")
         feed = one if feed is None else feed.unionByName(one, allowMissingColumns=True)
     return feed, set_watermark(control, table, last, as_of)
