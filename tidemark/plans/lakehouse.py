@@ -35,7 +35,7 @@ from tidemark.plans.silver import (
     unseen_rows,
 )
 from tidemark.session import scratch, stage
-from tidemark.sources.export import as_serving, export_parquet
+from tidemark.sources.export import publish
 from tidemark.sources.lookup import education, occupation
 from tidemark.sources.snapshots import (
     Slots,
@@ -277,9 +277,10 @@ class Lakehouse:
         return months
 
     def export(self, path: str) -> int:
-        """Write the monthly aggregate for the serving engine; returns its rows."""
-        monthly = read_snapshot(self.spark, self.path("gold/agg_monthly_sales"))
-        return export_parquet(as_serving(monthly, SERVING_SCHEMA), path)
+        """Publish the monthly aggregate for the serving engine; returns its rows.
+        A reader of the export before keeps its folder."""
+        monthly = read_snapshot(self.spark, self.path(MONTHLY))
+        return publish(monthly, path, SERVING_SCHEMA).rows
 
     def load_all(self, raw_root: str, tables: Iterable[str] = RAW_COLUMNS) -> None:
         self.load_silver(raw_root, tables)

@@ -10,11 +10,12 @@ from tidemark.functions.money import MONEY, pct
 from tidemark.operators.joins import DimSpec, star_join
 from tidemark.operators.scd2 import load_stamp
 
-# What the serving table declares.
+# What the serving table declares. A margin beyond its three digits
+# is NULL there (see ``sources.export.as_serving``).
 SERVING_SCHEMA = (
     "OrderYear int, OrderMonth int, CountryRegionCode string, TerritoryGroup string, "
     "ProductLine string, TotalOrders int, TotalQuantitySold int, TotalSalesAmount decimal(19,2), "
-    "TotalProductCost decimal(19,2), GrossProfit decimal(19,2), GrossMarginPct decimal(19,2), "
+    "TotalProductCost decimal(19,2), GrossProfit decimal(19,2), GrossMarginPct decimal(5,2), "
     "TotalTax decimal(19,2), TotalFreight decimal(19,2), TotalDiscountGiven double, "
     "last_refresh_timestamp timestamp"
 )

@@ -9,7 +9,7 @@ from tidemark.operators.upsert import restrict_to_keys
 from tidemark.plans.fact import FACT_COLUMNS, changed_orders, fact_load, fact_sales
 from tidemark.plans.monthly import SERVING_SCHEMA, agg_monthly_sales
 from tidemark.session import stage, work_path
-from tidemark.sources.export import as_serving, export_parquet, read_export
+from tidemark.sources.export import publish, read_export, serving_location
 from workload.base import (
     FIRST_LOAD,
     SECOND_LOAD,
@@ -80,16 +80,40 @@ def run_agg_monthly_sales(spark, sf_dir):
     return monthly(spark, sf_dir)
 
 
+_SERVED_SQL = _MONTHLY_SQL.format(
+    orders="CAST(TotalOrders AS INTEGER)", quantity="CAST(TotalQuantitySold AS INTEGER)"
+)
+
+
 @query(
     "export_serving",
-    _MONTHLY_SQL.format(
-        orders="CAST(TotalOrders AS INTEGER)", quantity="CAST(TotalQuantitySold AS INTEGER)"
-    ),
+    f"""
+SELECT * REPLACE (CASE WHEN abs(GrossMarginPct) < 1000 THEN GrossMarginPct END AS GrossMarginPct) FROM ({_SERVED_SQL})
+""",
 )
 def run_export_serving(spark, sf_dir):
-    path = work_path(spark, "export")
-    export_parquet(as_serving(monthly(spark, sf_dir), SERVING_SCHEMA), path)
-    return read_export(spark, path, SERVING_SCHEMA)
+    """The second of two exports; margins beyond DECIMAL(5,2) are NULL."""
+    path, rows = work_path(spark, "export"), stage(monthly(spark, sf_dir), "monthly")
+    publish(rows.limit(0), path, SERVING_SCHEMA)
+    publish(rows, path, SERVING_SCHEMA)
+    return read_export(spark, serving_location(spark, path), SERVING_SCHEMA)
+
+
+@query(
+    "export_misfits",
+    f"""
+SELECT 2 AS version, COUNT(*) AS rows, COUNT(CASE WHEN abs(GrossMarginPct) >= 1000 THEN 1 END) AS margins_lost
+FROM ({_SERVED_SQL})
+""",
+)
+def run_export_misfits(spark, sf_dir):
+    """What the second export says about itself."""
+    path, rows = work_path(spark, "export"), stage(monthly(spark, sf_dir), "monthly")
+    publish(rows.limit(0), path, SERVING_SCHEMA)
+    told = publish(rows, path, SERVING_SCHEMA)
+    assert set(told.misfits) <= {"GrossMarginPct"}
+    lost = rows.select("GrossMarginPct").groupBy().agg(F.lit(told.misfits.get("GrossMarginPct", 0)).cast("long").alias("margins_lost"))
+    return lost.select(F.lit(told.version).alias("version"), F.lit(told.rows).cast("long").alias("rows"), "margins_lost")
 
 
 # Version 2 of the orders: those from 1998 on are new, and open orders of
