@@ -18,6 +18,7 @@ from tidemark.operators.upsert import merge_upsert
 from tidemark.plans.lakehouse import FACT, Lakehouse
 from tidemark.session import scratch, shared_dir, stage, work_path
 from tidemark.sources import snapshots
+from tidemark.sources.bucketed import read_bucketed, write_bucketed
 from tidemark.sources.snapshots import (
     Slots,
     append,
@@ -235,3 +236,39 @@ def test_the_monthly_aggregate_of_touched_months(spark, lake_root):
     lake._store("gold/dim_sales_territory", there)
     assert lake.load_monthly() == [202403, 202404]
     assert {r[0] for r in lake._read("gold/agg_monthly_sales", None).select("TerritoryGroup").collect()} == {"Elsewhere"}
+
+
+def plan_lines(df):
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return [(len(line) - len(line.lstrip(" :+-")), line) for line in text.splitlines() if line.strip()]
+
+
+def test_a_bucketed_target_is_not_shuffled(spark):
+    path, after = work_path(spark, "buckets"), work_path(spark, "buckets")
+    schema = spark.createDataFrame([], HISTORY).schema
+    first = scd2_apply(spark.createDataFrame([], HISTORY), batch(spark, *[(i % 40, f"2024-01-{i % 20 + 1:02}", f"v{i}") for i in range(200)]), ["k"], ["v"], "at", as_of="2024-02-01")
+    write_bucketed(first, path, ["k"], 4)
+    target = read_bucketed(spark, path, schema, ["k"], 4)
+    assert rows(target) == rows(first)
+    new = batch(spark, *[(k, "2024-03-01", "new") for k in range(30, 60)])
+    keep = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for c in keep:
+            spark.conf.set(c, "-1")
+        state = scd2_apply(target, new, ["k"], ["v"], "at", as_of="2024-03-02", buckets=4)
+        lines = plan_lines(state)
+        scans = exchanges = 0
+        for i, (depth, line) in enumerate(lines):
+            if "Exchange" in line:
+                exchanges += 1
+                below = [x for d, x in lines[i + 1 : next((j for j in range(i + 1, len(lines)) if lines[j][0] <= depth), len(lines))]]
+                assert not any("Bucketed: true" in x for x in below), line
+            scans += "Bucketed: true" in line
+        assert scans >= 2 and exchanges >= 1
+        write_bucketed(state, after, ["k"], 4, dealt=True)
+    finally:
+        for c, v in keep.items():
+            spark.conf.set(c, v)
+    again = read_bucketed(spark, after, schema, ["k"], 4)
+    assert rows(again) == rows(scd2_apply(first, new, ["k"], ["v"], "at", as_of="2024-03-02"))
+    assert len(again.inputFiles()) == 4

@@ -112,6 +112,7 @@ def scd2_apply(
     hot_rows: int | None = None,
     ends: bool = False,
     feed: bool = False,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Next state of ``target`` after ``batch``.
 
@@ -130,6 +131,9 @@ def scd2_apply(
       batch rows before the last such time are known.
     * With ``feed`` the rows are tagged (:mod:`tidemark.operators.tagged`): a
       closed row is an update, a new one an insert.
+    * ``buckets`` says that the target is stored in so many buckets by ``keys``
+      (:mod:`tidemark.sources.bucketed`). Only the batch is then exchanged, and
+      the next state lies in the same buckets. A hot key gives that up.
 
     Keys absent from the batch and closed rows are passed through untouched.
     """
@@ -143,6 +147,8 @@ def scd2_apply(
     if not monitored:
         batch = new_keys(batch, target, keys)
     hot = hot_keys(batch, keys, hot_rows)
+    if buckets:
+        batch = batch.repartition(buckets, *keys)
     if latest_cols:
         batch = _spread_latest(batch, keys, order, ties, latest_cols, hot)
 

@@ -26,6 +26,9 @@ DEFAULTS = {
     # Split a hot key even where that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # A table in buckets is always read by them, so that what a load writes from
+    # it stays in as many files.
+    "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 

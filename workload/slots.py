@@ -12,6 +12,7 @@ from tidemark.plans.fact import FACT_KEYS, fact_load, fact_sales
 from tidemark.plans.gold import empty_gold
 from tidemark.plans.lakehouse import FACT, FACT_SLOTS, Lakehouse
 from tidemark.session import stage, work_path
+from tidemark.sources.bucketed import read_bucketed, write_bucketed
 from tidemark.sources.snapshots import Slots, changed_slots, last_version, read_snapshot, replace, replace_slots
 from tidemark.streaming.incremental import pull_changes
 from workload.base import (
@@ -67,6 +68,20 @@ def run_history_feed(spark, sf_dir):
     return pull_changes(spark, control, "events", _stored_history(spark, sf_dir), ["event_id"], SECOND_LOAD)[0]
 
 
+@query("scd2_bucketed_events", _apply_sql("user_id", WATCHED), end_date=True)
+def run_scd2_bucketed(spark, sf_dir):
+    """A load over a target in buckets by user, written in the same buckets."""
+    first, second = work_path(spark, "buckets"), work_path(spark, "buckets")
+    stored, n = _target(spark, sf_dir), 8
+    write_bucketed(stored, first, ["user_id"], n)
+    target = read_bucketed(spark, first, stored.schema, ["user_id"], n)
+    state = scd2_apply(
+        target, _batch(spark, sf_dir), ["user_id"], WATCHED, "ts", ties=["event_id"], as_of=SECOND_LOAD, buckets=n
+    )
+    write_bucketed(state, second, ["user_id"], n, dealt=True)
+    return read_bucketed(spark, second, stored.schema, ["user_id"], n)
+
+
 # Between the loads, orders of one month get dearer and those from 1998 on arrive.
 _DEARER = "o_orderdate >= TIMESTAMP '1997-03-01' AND o_orderdate < TIMESTAMP '1997-04-01'"
 _NEW = "o_orderdate >= TIMESTAMP '1998-06-01'"
