@@ -22,7 +22,9 @@ from tidemark.sources.bucketed import read_bucketed, write_bucketed
 from tidemark.sources.snapshots import (
     Slots,
     append,
+    append_slots,
     changed_slots,
+    compact_slots,
     last_version,
     read_feed,
     read_snapshot,
@@ -139,6 +141,31 @@ def test_months_and_cells(spark):
     assert Borders.load(first).cols == ("customer", "product")
 
 
+def test_appended_rows_are_laid_out_and_compacted_by_slot(spark):
+    path, slots, layout = work_path(spark, "table"), Slots.by_month("day"), {"sort_by": ["a", "b"], "cells": 4}
+    rows_of = lambda lo, hi, month: spark.range(lo, hi).select(
+        F.lit(20240001 + 100 * month).alias("day"), (F.col("id") * 37 % 1000).alias("a"), F.col("id").alias("b")
+    )
+    append_slots(rows_of(0, 4000, 1), path, slots, **layout)
+    first = last_version(spark, path)
+    for i in range(3):
+        append_slots(rows_of(5000 + i * 100, 5100 + i * 100, 1), path, slots, **layout)
+    append_slots(rows_of(9000, 9100, 2), path, slots, **layout)
+    # An append adds one folder and takes none away; nothing new leaves no version.
+    last = last_version(spark, path)
+    assert last.version == 5 and last.folders[0] == first.folders[0] and not last.removed and len(last.added) == 1
+    assert append_slots(rows_of(0, 0, 1), path, slots, **layout) == 5
+    before, control = rows(read_snapshot(spark, path)), pull_changes(spark, empty_control(spark), "t", path, ["b"])[1]
+    kept = [f for f in last.folders if slot_of(f) == 202402]
+    assert compact_slots(spark, path, slots, most=3, **layout) == 6
+    assert compact_slots(spark, path, slots, most=3, **layout) is None
+    now = last_version(spark, path)
+    assert len(now.folders) == 2 and kept[0] in now.folders and len(now.removed) == 4 and now.borders == first.borders
+    assert rows(read_snapshot(spark, path)) == before
+    # Compaction is no change.
+    assert changed_slots(spark, path, 6) == [] and pull_changes(spark, control, "t", path, ["b"])[0].isEmpty()
+
+
 def test_borders_are_found_in_one_pass_and_kept_as_text(spark):
     df = spark.range(1000).select("id", (F.col("id") % 50).cast("string").alias("name"), F.lit(None).cast("double").alias("none"))
     found = find_borders(df, ["id", "name", "none"], 8)

@@ -18,7 +18,7 @@ from tidemark.operators.scd2 import LOAD_COL
 from tidemark.operators.upsert import merge_source, restrict_to_keys
 from tidemark.plans import dimensions as dims
 from tidemark.plans.customer import customer_enriched, dim_customer_load
-from tidemark.plans.fact import FACT_KEYS, fact_load, fact_sales, months_of_orders
+from tidemark.plans.fact import FACT_KEYS, changed_orders, fact_load, fact_sales, months_of_orders
 from tidemark.plans.gold import empty_gold
 from tidemark.plans.monthly import SERVING_SCHEMA, agg_monthly_sales
 from tidemark.plans.product import load_dim_product, load_dim_product_history, product_enriched
@@ -40,7 +40,9 @@ from tidemark.sources.lookup import education, occupation
 from tidemark.sources.snapshots import (
     Slots,
     append,
+    append_slots,
     changed_slots,
+    compact_slots,
     last_version,
     latest_version,
     read_snapshot,
@@ -96,25 +98,37 @@ class Lakehouse:
         for table in tables:
             with scratch():
                 raw = read_raw(self.spark, table, f"{raw_root}/{table}")
-                if table in INSERT_ONLY:
-                    # Only the new rows are written.
-                    append(unseen_rows(self.silver(table), raw, table, self.as_of), self.path(f"silver/{table}"))
-                else:
-                    self._load_history(table, stage(raw, "raw"))
+                load = self._load_new if table in INSERT_ONLY else self._load_history
+                load(table, stage(raw, "raw"))
+
+    def _slots(self, table: str) -> Slots:
+        """Tables are dealt by their first key, so that lines lie like their orders."""
+        keys = INSERT_ONLY[table] if table in INSERT_ONLY else HISTORIES[table].keys
+        return Slots.by_hash(keys[:1], self.slots)
+
+    def _touched(self, table: str, rows: DataFrame) -> tuple[list[int], DataFrame]:
+        """Slots that ``rows`` belong to, and what the table holds in them."""
+        empty, path = empty_silver(self.spark, table), self.path(f"silver/{table}")
+        touched = self._slots(table).touched(rows, empty.schema)
+        known = latest_version(self.spark, path) is not None
+        return touched, read_snapshot(self.spark, path, slots=touched) if known else empty
+
+    def _load_new(self, table: str, raw: DataFrame) -> None:
+        """Add the rows with unseen keys; only these are written."""
+        _, target = self._touched(table, clean(raw, table))
+        path, layout = self.path(f"silver/{table}"), {"sort_by": INSERT_ONLY[table]}
+        append_slots(unseen_rows(target, raw, table, self.as_of), path, self._slots(table), **layout)
+        compact_slots(self.spark, path, self._slots(table), **layout)
 
     def _load_history(self, table: str, raw: DataFrame) -> None:
         rejects = stage(rejected_rows(raw, table, self.as_of), "rejects")
         if not rejects.isEmpty():
             append(rejects, self.path(f"rejects/{table}"))
-        path, history, empty = self.path(f"silver/{table}"), HISTORIES[table], empty_silver(self.spark, table)
-        slots = Slots.by_hash(history.keys, self.slots)
-        touched = slots.touched(clean(raw, table, every_version=True), empty.schema)
-        known = latest_version(self.spark, path) is not None
-        if known and not touched:
-            return
-        target = read_snapshot(self.spark, path, slots=touched) if known else empty
+        touched, target = self._touched(table, clean(raw, table, every_version=True))
         state = load_silver(target, raw, table, self.as_of, every_version=True, feed=True)
-        replace_slots(state, path, slots, touched, sort_by=history.cluster_by)
+        replace_slots(
+            state, self.path(f"silver/{table}"), self._slots(table), touched, sort_by=HISTORIES[table].cluster_by
+        )
 
     def load_dimensions(self) -> None:
         s, g, at = self.silver, self.gold, self.as_of
@@ -206,10 +220,12 @@ class Lakehouse:
             if feed is None:
                 return False
             if not self._done(FACT, note):
+                # Headers and lines of an order lie in slots of the same number.
+                changed = changed_orders(feed)
                 lines = merge_source(
                     fact_sales(
-                        self.silver("sales_salesorderheader"),
-                        self.silver("sales_salesorderdetail"),
+                        self._touched("sales_salesorderheader", changed)[1],
+                        self._touched("sales_salesorderdetail", changed)[1],
                         post_images(feed),
                         product=self.gold("dim_product"),
                         customer=self.gold("dim_customer"),

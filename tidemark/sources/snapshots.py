@@ -225,6 +225,8 @@ def replace_slots(
     sort_by: Sequence[str] = (),
     cells: int = 1,
     as_of: datetime | None = None,
+    keep: bool = False,
+    same_rows: bool = False,
 ) -> int:
     """Next version: the rows of ``df`` in place of those of the ``touched`` slots.
 
@@ -232,13 +234,14 @@ def replace_slots(
     ``touched`` None all slots are replaced; a row outside of the touched slots
     fails the job. ``df`` may be tagged (:mod:`tidemark.operators.tagged`): its
     changed rows are then written in the same job as the version's change feed,
-    and a load that changed nothing leaves no version behind.
+    and a load that changed nothing leaves no version behind. With ``keep`` the
+    rows are added to those of their slots, whose folders stay as they are.
 
     Rows are sorted by ``sort_by`` inside a slot. With ``cells`` above 1 a slot
     is cut into about so many files, along a curve through the ``sort_by``
     columns whose borders are found at the first load and kept in the log. The
     exchange needs no sample of the rows; adaptive execution splits what is large
-    and joins what is small.
+    and joins what is small. ``same_rows`` says that only the layout changes.
     """
     spark, last = df.sparkSession, _entry(df.sparkSession, path)
     version = 1 if last is None else last.version + 1
@@ -269,19 +272,19 @@ def replace_slots(
     told = [F.count(F.when(F.col(OUT) == o, 1)).alias(o) for o in (STATE, FEED)]
     rows.observe(seen, *told).write.partitionBy(OUT, _SLOT).parquet(f"{path}/{folder}")
     files, to_path = _hadoop(spark, path)
-    if tagged and last is not None and not seen.get[FEED]:
+    if last is not None and (tagged and not seen.get[FEED] or keep and not seen.get[STATE]):
         files.delete(to_path(f"{path}/{folder}"), True)
         return last.version
     leaves = files.globStatus(to_path(f"{path}/{folder}/{OUT}={STATE}/{_SLOT}=*")) or []
     added = sorted(f"{folder}/{OUT}={STATE}/{s.getPath().getName()}" for s in leaves)
     old = [] if last is None else last.folders
-    removed = [f for f in old if touched is None or slot_of(f) in touched]
+    removed = [] if keep else [f for f in old if touched is None or slot_of(f) in touched]
     count = seen.get[STATE]
     if last is not None:
         # Counts of whole files come from their footers.
         count += last.rows - (_folders(spark, path, last.schema, removed).count() if removed else 0)
     gone = set(removed)
-    feed = None if not tagged else f"{folder}/{OUT}={FEED}" if seen.get[FEED] else ""
+    feed = "" if same_rows else None if not tagged else f"{folder}/{OUT}={FEED}" if seen.get[FEED] else ""
     entry = Version(
         version, count, note, [f for f in old if f not in gone] + added, added, removed, feed, str(slots),
         None if borders is None else borders.dump(), schema.json(),
@@ -290,14 +293,37 @@ def replace_slots(
     return version
 
 
+def append_slots(df: DataFrame, path: str, slots: Slots, note: str = "append", **layout) -> int:
+    """Next version: the latest plus the rows of ``df``, laid out by the borders of
+    the first load. No file that is there is read or written. Slots that have
+    gathered many folders are put in order by :func:`compact_slots`."""
+    return replace_slots(df, path, slots, None, note, keep=True, **layout)
+
+
+def compact_slots(spark: SparkSession, path: str, slots: Slots, most: int = 8, **layout) -> int | None:
+    """Rewrite the slots that consist of more than ``most`` folders, and no other;
+    None when there are none. The rows stay the same, which the version says by an
+    empty change feed."""
+    entry, held = _entry(spark, path), {}
+    for f in entry.folders if entry else ():
+        held[slot_of(f)] = held.get(slot_of(f), 0) + 1
+    many = sorted(s for s, n in held.items() if n > most)
+    if not many:
+        return None
+    return replace_slots(read_snapshot(spark, path, slots=many), path, slots, many, "compact", same_rows=True, **layout)
+
+
 def slot_of(folder: str) -> int:
     return int(folder.rsplit(f"{_SLOT}=", 1)[1])
 
 
 def changed_slots(spark: SparkSession, path: str, start: int, end: int | None = None) -> list[int]:
-    """Slots that the versions ``start`` .. ``end`` wrote anew, from the log alone."""
+    """Slots whose rows the versions ``start`` .. ``end`` wrote anew, from the log alone."""
     out = set()
     for v in versions(spark, path, start, end).values():
+        # A version with an empty feed has the rows of the one before.
+        if v.feed == "":
+            continue
         out |= {slot_of(f) for f in (*v.added, *v.removed)}
     return sorted(out)
 
