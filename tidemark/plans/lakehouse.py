@@ -14,6 +14,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.changes import empty_control, get_watermark, next_start, post_images, set_watermark
+from tidemark.operators.malformed import well_formed
 from tidemark.operators.scd2 import LOAD_COL
 from tidemark.operators.upsert import merge_source, restrict_to_keys
 from tidemark.plans import dimensions as dims
@@ -31,6 +32,7 @@ from tidemark.plans.silver import (
     clean,
     empty_silver,
     load_silver,
+    malformed_rows,
     rejected_rows,
     unseen_rows,
 )
@@ -97,9 +99,12 @@ class Lakehouse:
         """Load the raw text below ``raw_root``, one folder per table."""
         for table in tables:
             with scratch():
-                raw = read_raw(self.spark, table, f"{raw_root}/{table}")
+                raw = stage(read_raw(self.spark, table, f"{raw_root}/{table}", lines=True), "raw")
+                bad = stage(malformed_rows(raw, table, self.as_of), "malformed")
+                if not bad.isEmpty():
+                    append(bad, self.path(f"malformed/{table}"))
                 load = self._load_new if table in INSERT_ONLY else self._load_history
-                load(table, stage(raw, "raw"))
+                load(table, well_formed(raw))
 
     def _slots(self, table: str) -> Slots:
         """Tables are dealt by their first key, so that lines lie like their orders."""

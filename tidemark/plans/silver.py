@@ -9,6 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.money import MONEY
+from tidemark.operators.malformed import malformed
 from tidemark.operators.conform import ColSpec, conform, with_load_ts
 from tidemark.operators.scd2 import LOAD_COL, scd2_apply, undated
 from tidemark.operators.timeline import latest_per_key
@@ -233,6 +234,12 @@ def unseen_rows(
     return new_keys(batch, target, INSERT_ONLY[table])
 
 
+def malformed_rows(raw: DataFrame, table: str, as_of: datetime | str | None = None) -> DataFrame:
+    """What does not fit a table in text that was read with its lines."""
+    keys = HISTORIES[table].keys if table in HISTORIES else INSERT_ONLY[table]
+    return with_load_ts(malformed(raw, column_specs(table), keys), as_of=as_of)
+
+
 def rejected_rows(raw: DataFrame, table: str, as_of: datetime | str | None = None) -> DataFrame:
     """Rows of a history table that have a key but no readable date."""
     rows = clean(raw, table, every_version=True).drop(AT)

@@ -8,9 +8,10 @@ from tidemark.functions.text import norm_xml, strip_delims
 from tidemark.operators.changes import empty_control, set_watermark
 from tidemark.operators.checks import count_tables, probe_text
 from tidemark.operators.conform import ColSpec, conform
+from tidemark.operators.malformed import well_formed
 from tidemark.operators.layout import cluster_write, write_partitioned
 from tidemark.plans.raw import RAW_COLUMNS, read_raw
-from tidemark.plans.silver import empty_silver, load_silver
+from tidemark.plans.silver import empty_silver, load_silver, malformed_rows
 from tidemark.session import stage, work_path
 from tidemark.sources.delimited import CONTROL_A, read_delimited, write_delimited
 from tidemark.sources.jdbc import extract
@@ -339,3 +340,54 @@ def run_silver_order_detail(spark, sf_dir):
     early = raw.filter(F.col("ModifiedDate") < "1998-01-01")
     state = load_silver(empty_silver(spark, table), _as_raw(spark, early, table), table, FIRST_LOAD)
     return load_silver(stage(state, "target"), _as_raw(spark, raw, table), table, SECOND_LOAD)
+
+
+# Lines of the raw order header that are spoilt, by order key.
+_SPOILT = {"few": "o_orderkey % 97 = 1", "many": "o_orderkey % 89 = 2", "key": "o_orderkey % 83 = 3", "date": "o_orderkey % 79 = 4"}
+_REASON_SQL = f"""
+CASE WHEN {_SPOILT["few"]} OR {_SPOILT["many"]} THEN 'number of fields'
+     WHEN {_SPOILT["key"]} THEN 'no sales_order_id' WHEN {_SPOILT["date"]} THEN 'order_date is no date' END
+"""
+
+
+def _spoilt_header(spark, sf_dir) -> DataFrame:
+    raw = _raw_header(read(spark, sf_dir, "orders"), 0)
+    is_ = {name: F.expr(test.replace("o_orderkey", "cast(rowguid as bigint)")) for name, test in _SPOILT.items()}
+    fields = {"SalesOrderID": F.when(~is_["key"], F.col("SalesOrderID")), "OrderDate": F.when(is_["date"], "soon").otherwise(F.col("OrderDate"))}
+    # Quoted, as the purchase order numbers hold commas.
+    told = [F.coalesce(F.concat(F.lit('"'), fields.get(c, F.col(c)), F.lit('"')), F.lit("null")) for c in raw.columns]
+    whole, fewer = F.concat_ws(",", *told), F.concat_ws(",", *told[:-1])
+    return raw.select(F.when(is_["few"], fewer).when(is_["many"], F.concat(whole, F.lit(",more"))).otherwise(whole).alias("value"))
+
+
+def _read_spoilt(spark, sf_dir) -> DataFrame:
+    path, table = work_path(spark, "raw"), "sales_salesorderheader"
+    _spoilt_header(spark, sf_dir).write.text(path)
+    return read_raw(spark, table, path, lines=True)
+
+
+@query(
+    "malformed_lines",
+    f"""
+SELECT {_REASON_SQL} AS reason, COUNT(*) AS lines, bool_and({_SPOILT["date"]} AND NOT {_SPOILT["few"]}) AS kept
+FROM orders WHERE {_REASON_SQL} IS NOT NULL GROUP BY 1
+""",
+)
+def run_malformed_lines(spark, sf_dir):
+    """Planted bad lines in the raw order header, counted by reason."""
+    found = malformed_rows(_read_spoilt(spark, sf_dir), "sales_salesorderheader", FIRST_LOAD)
+    return found.groupBy("reason").agg(F.count(F.lit(1)).alias("lines"), F.every("kept").alias("kept"))
+
+
+@query(
+    "well_formed_orders",
+    f"""
+SELECT CAST(o_orderkey AS INTEGER) AS sales_order_id,
+       CASE WHEN NOT ({_SPOILT["date"]}) THEN strftime(o_orderdate, '%Y-%m-%d') END AS order_date
+FROM orders WHERE COALESCE({_REASON_SQL}, '') NOT IN ('number of fields', 'no sales_order_id')
+""",
+)
+def run_well_formed_orders(spark, sf_dir):
+    """What of the same lines reaches the history."""
+    raw, table = stage(well_formed(_read_spoilt(spark, sf_dir)), "raw"), "sales_salesorderheader"
+    return load_silver(empty_silver(spark, table), raw, table, FIRST_LOAD).select("sales_order_id", "order_date")
