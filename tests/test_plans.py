@@ -15,8 +15,9 @@ from tidemark.functions.survey import survey_fields
 from tidemark.functions.text import norm_xml, strip_delims
 from tidemark.operators.checks import count_tables, probe_text
 from tidemark.operators.conform import ColSpec, conform, with_load_ts
-from tidemark.operators.joins import DimSpec, left_current, star_join, translate
+from tidemark.operators.joins import DimSpec, LookUps, left_current, star_join, translate
 from tidemark.operators.layout import cluster, write_partitioned
+from tidemark.operators.malformed import malformed, well_formed
 from tidemark.plans.customer import SURVEY, customer_enriched, dim_customer_load
 from tidemark.plans.dimensions import dim_date, load_dim_reason
 from tidemark.plans.fact import fact_load, fact_sales
@@ -26,7 +27,7 @@ from tidemark.plans.raw import RAW_COLUMNS, read_raw
 from tidemark.plans.silver import HISTORIES, INSERT_ONLY, empty_silver, load_silver, silver_schema
 from tidemark.session import shared_dir, work_path
 from tidemark.sources.delimited import CONTROL_A, read_delimited, write_delimited
-from tidemark.sources.export import as_serving, export_parquet, read_export
+from tidemark.sources.export import as_serving, export_parquet, publish, read_export, read_published
 from tidemark.sources.jdbc import read_jdbc_table
 from tidemark.sources.lookup import education, occupation
 from tidemark.sources.snapshots import read_snapshot
@@ -91,6 +92,47 @@ def test_star_join_and_translate(spark):
     assert education(spark).count() == occupation(spark).count() == 5
 
 
+def test_look_ups_are_counted_in_passing(spark):
+    fact = spark.createDataFrame([(1, 10), (2, None), (3, 99), (4, 10)], "id int, fk int")
+    dim = spark.createDataFrame([(10, "ten"), (11, "eleven")], "d int, name string")
+    report = LookUps()
+    specs = [DimSpec(dim, {"fk": "d"}, {"n": "name"}), DimSpec(dim, {"n": "name"}, required=True)]
+    assert rows(star_join(fact, specs, report)) == rows(star_join(fact, specs)) == [(1, 10, "ten"), (4, 10, "ten")]
+    assert report.check() == {
+        "fk": {"unmatched": 2, "dropped": 0, "multiplied": 0}, "n": {"unmatched": 2, "dropped": 2, "multiplied": 0},
+    }
+    report = LookUps()
+    star_join(fact, [DimSpec(dim.union(dim), {"fk": "d"})], report).collect()
+    with pytest.raises(ValueError, match="more than once.*'fk': 2"):
+        report.check()
+
+
+def test_lines_that_do_not_fit(spark):
+    path = work_path(spark, "text")
+    lines = ["1,a,2", "1,a", "1,a,2,3", "null,b,5", "x,b,5", "7,c,soon", '8,"p, q",3', "9,null,null"]
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(path)
+    raw = read_delimited(spark, path, "a string, b string, c string", lines=True)
+    spec = [ColSpec("a", "id", "int"), ColSpec("b", "name", "string"), ColSpec("c", "n", "int")]
+    assert rows(malformed(raw, spec, ["id"]).select("reason", "kept", "content")) == [
+        ("n is no int", True, '{"a":"7","b":"c","c":"soon"}'), ("no id", False, '{"a":"x","b":"b","c":"5"}'),
+        ("no id", False, '{"b":"b","c":"5"}'), ("number of fields", False, "1,a"), ("number of fields", False, "1,a,2,3"),
+    ]
+    assert rows(conform(well_formed(raw), spec, ["id"])) == [(1, "a", 2), (7, "c", None), (8, "p, q", 3), (9, None, None)]
+
+
+def test_published_exports(spark):
+    path, schema = work_path(spark, "export"), "a int, b decimal(5,2)"
+    first = spark.createDataFrame([(1, Decimal("999.99")), (2, Decimal("1000.00")), (3, None)], "a int, b decimal(9,2)")
+    told = publish(first, path, schema)
+    assert (told.version, told.rows, told.misfits) == (1, 3, {"b": 1})
+    reader = read_published(spark, path)
+    second = publish(first.filter("a = 1"), path, schema)
+    # Who reads the first export goes on reading it.
+    assert rows(reader) == [(1, Decimal("999.99")), (2, None), (3, None)]
+    assert rows(read_published(spark, path)) == [(1, Decimal("999.99"))] and second.misfits == {}
+    assert second.location != told.location and rows(read_export(spark, second.location, schema)) == [(1, Decimal("999.99"))]
+
+
 def test_delimited_text(spark):
     schema = "a int, b string, c string"
     path = work_path(spark, "text")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tidemark.operators.scd2 import current
 
@@ -31,16 +31,65 @@ class DimSpec:
     current_only: bool = False
 
 
-def star_join(fact: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
+class LookUps:
+    """What the look-ups of star joins did to their rows, counted in passing.
+
+    The counts are there once the joined rows were computed by an action that
+    succeeded; asking earlier waits for it.
+    """
+
+    def __init__(self):
+        self._seen: list[tuple[str, bool, Observation, Observation | str]] = []
+
+    def told(self) -> dict[str, dict[str, int]]:
+        """By the columns looked up: rows ``unmatched``, those ``dropped`` for it,
+        and those that came out more often than they went in (``multiplied``)."""
+        out, left = {}, {}
+        for name, required, after, before in self._seen:
+            met = after.get
+            came = left[before] if isinstance(before, str) else before.get["rows"]
+            out[name] = {
+                "unmatched": met["unmatched"],
+                "dropped": met["unmatched"] if required else 0,
+                "multiplied": met["rows"] - came,
+            }
+            left[name] = met["rows"] - out[name]["dropped"]
+        return out
+
+    def check(self) -> dict[str, dict[str, int]]:
+        """The counts; an error if a look-up holds a key twice."""
+        told = self.told()
+        twice = {name: t["multiplied"] for name, t in told.items() if t["multiplied"]}
+        if twice:
+            raise ValueError(f"a look-up holds keys more than once; rows too many by column: {twice}")
+        return told
+
+
+def star_join(fact: DataFrame, dims: Sequence[DimSpec], report: LookUps | None = None) -> DataFrame:
     """Join the dimensions one after the other; a later one may use columns
-    that an earlier one added."""
-    helpers = []
+    that an earlier one added. ``report`` counts what each of them does, inside
+    the pass and without a shuffle of its own."""
+    helpers: list[str] = []
+    before: Observation | str = Observation()
+    if report is not None:
+        fact = fact.observe(before, F.count(F.lit(1)).alias("rows"))
     for n, spec in enumerate(dims):
         dim = current(spec.dim) if spec.current_only else spec.dim
         names = {f"_on_{n}_{i}": d for i, d in enumerate(spec.on.values())}
         keyed = dim.select(*[F.col(d).alias(name) for name, d in [*names.items(), *spec.add.items()]])
         test = [F.col(f) == F.col(name) for f, name in zip(spec.on, names)]
-        fact = fact.join(keyed, test, "inner" if spec.required else "left")
+        if report is None:
+            fact = fact.join(keyed, test, "inner" if spec.required else "left")
+        else:
+            hit, name, after = F.col(f"_hit_{n}"), ", ".join(spec.on), Observation()
+            fact = fact.join(keyed.withColumn(f"_hit_{n}", F.lit(True)), test, "left").observe(
+                after, F.count(F.lit(1)).alias("rows"), F.count(F.when(hit.isNull(), 1)).alias("unmatched")
+            )
+            if spec.required:
+                fact = fact.filter(hit.isNotNull())
+            report._seen.append((name, spec.required, after, before))
+            helpers.append(f"_hit_{n}")
+            before = name
         helpers += names
     return fact.drop(*helpers)
 

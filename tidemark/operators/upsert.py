@@ -57,6 +57,14 @@ def one_row_per_key(df: DataFrame, keys: Sequence[str], what: str = "source") ->
     return df.withColumn("_nth", seen).filter(checked).drop("_nth")
 
 
+def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "source") -> None:
+    """An error if stored rows hold a key twice. The keys are counted where they
+    lie before they are exchanged."""
+    twice = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*keys).first()
+    if twice is not None:
+        raise ValueError(f"{what} has more than one row for a key ({', '.join(keys)}), as for {tuple(twice)}")
+
+
 def merge_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``source`` checked and computed once: every later use, also with an empty
     target, reads the stored rows."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.calendar import date_key
 from tidemark.functions.money import share
-from tidemark.operators.joins import DimSpec, star_join
+from tidemark.operators.joins import DimSpec, LookUps, star_join
 from tidemark.operators.scd2 import load_stamp
 from tidemark.operators.upsert import merge_upsert, restrict_to_keys
 
@@ -43,12 +43,14 @@ def fact_sales(
     currency_rate: DataFrame,
     currency: DataFrame,
     territory: DataFrame,
+    report: LookUps | None = None,
 ) -> DataFrame:
     """Lines of the changed online orders (all of them when ``changes`` is
     None) with their keys and measures.
 
     Look-ups by order run before the lines are joined, on far fewer rows.
-    Header tax and freight are allocated by line total / sub-total.
+    Header tax and freight are allocated by line total / sub-total. ``report``
+    counts what the look-ups drop or multiply.
     """
     orders = header.filter(
         F.col("online_order_flag") & F.col("is_current") & (F.col("sub_total") > 0)
@@ -63,6 +65,7 @@ def fact_sales(
             DimSpec(currency_rate, {"currency_rate_id": "currency_rate_id"}, {"_currency": "to_currency_code"}),
             DimSpec(currency, {"_currency": "currency_code"}, {"CurrencyKey": "currency_code"}),
         ],
+        report,
     ).select(
         "sales_order_id", "SalesTerritoryKey", "CustomerKey", "CurrencyKey", "sales_order_number",
         "revision_number", "purchase_order_number", "order_date", "due_date", "ship_date",
@@ -74,6 +77,7 @@ def fact_sales(
             DimSpec(product, {"product_id": "ProductKey"}, {"ProductKey": "ProductKey", "StandardCost": "StandardCost"}),
             DimSpec(promotion, {"special_offer_id": "PromotionKey"}, {"PromotionKey": "PromotionKey"}),
         ],
+        report,
     )
     price, off, qty = F.col("unit_price"), F.col("unit_price_discount"), F.col("order_qty")
     values = {

@@ -14,9 +14,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.changes import empty_control, get_watermark, next_start, post_images, set_watermark
+from tidemark.operators.joins import LookUps
 from tidemark.operators.malformed import well_formed
 from tidemark.operators.scd2 import LOAD_COL
-from tidemark.operators.upsert import merge_source, restrict_to_keys
+from tidemark.operators.upsert import assert_unique, restrict_to_keys
 from tidemark.plans import dimensions as dims
 from tidemark.plans.customer import customer_enriched, dim_customer_load
 from tidemark.plans.fact import FACT_KEYS, changed_orders, fact_load, fact_sales, months_of_orders
@@ -71,13 +72,15 @@ class Lakehouse:
     ``slots`` is the number of folders that a history is dealt to by its key;
     choose it once, so that one holds about a gigabyte. ``files`` is the number
     of files per clustered table, and of a month of the fact. ``as_of`` replaces
-    the clock where a run must be repeatable.
+    the clock where a run must be repeatable. ``looked_up`` has what the look-ups
+    of the last fact load did (:class:`LookUps`).
     """
 
     def __init__(
         self, spark: SparkSession, root: str, files: int = 8, as_of: datetime | str | None = None, slots: int = 8
     ):
         self.spark, self.root, self.files, self.as_of, self.slots = spark, root.rstrip("/"), files, as_of, slots
+        self.looked_up: dict[str, dict[str, int]] = {}
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -226,8 +229,8 @@ class Lakehouse:
                 return False
             if not self._done(FACT, note):
                 # Headers and lines of an order lie in slots of the same number.
-                changed = changed_orders(feed)
-                lines = merge_source(
+                changed, report = changed_orders(feed), LookUps()
+                lines = stage(
                     fact_sales(
                         self._touched("sales_salesorderheader", changed)[1],
                         self._touched("sales_salesorderdetail", changed)[1],
@@ -238,9 +241,13 @@ class Lakehouse:
                         currency_rate=self.silver("sales_currencyrate"),
                         currency=self.gold("dim_currency"),
                         territory=self.gold("dim_sales_territory"),
+                        report=report,
                     ),
-                    FACT_KEYS,
+                    "fact-lines",
                 )
+                # Nothing is stored of a load whose look-ups multiply its lines.
+                self.looked_up = report.check()
+                assert_unique(lines, FACT_KEYS, "the fact's lines")
                 path, empty = self.path(FACT), empty_gold(self.spark, "fact_internet_sales")
                 days = months_of_orders(feed).union(lines.select("OrderDateKey"))
                 touched = FACT_SLOTS.touched(days, empty.schema)

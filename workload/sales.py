@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.operators.joins import DimSpec, LookUps, star_join
 from tidemark.operators.changes import post_images, table_changes
 from tidemark.operators.upsert import restrict_to_keys
 from tidemark.plans.fact import FACT_COLUMNS, changed_orders, fact_load, fact_sales
@@ -116,6 +117,31 @@ def run_export_misfits(spark, sf_dir):
     return lost.select(F.lit(told.version).alias("version"), F.lit(told.rows).cast("long").alias("rows"), "margins_lost")
 
 
+@query(
+    "look_up_report",
+    """
+WITH o AS (SELECT o_orderkey, o_custkey FROM orders),
+twice AS (SELECT c_custkey FROM customer UNION ALL SELECT c_custkey FROM customer WHERE c_custkey % 10 = 0)
+SELECT 'o_custkey' AS look_up, COUNT(*) - (SELECT COUNT(*) FROM o) AS multiplied,
+       COUNT(*) - COUNT(c_custkey) AS unmatched, 0 AS dropped FROM o LEFT JOIN twice ON o_custkey = c_custkey
+UNION ALL
+SELECT 'o_orderkey', 0, COUNT(*) - COUNT(p_partkey), COUNT(*) - COUNT(p_partkey)
+FROM o LEFT JOIN twice ON o_custkey = c_custkey LEFT JOIN part ON o_orderkey = p_partkey
+""",
+)
+def run_look_up_report(spark, sf_dir):
+    """Orders against customers, of whom some are held twice, and then against
+    parts by their number, of which most orders have none."""
+    customer = read(spark, sf_dir, "customer").select("c_custkey")
+    twice = customer.union(customer.filter("c_custkey % 10 = 0"))
+    report, part = LookUps(), read(spark, sf_dir, "part")
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    specs = [DimSpec(twice, {"o_custkey": "c_custkey"}), DimSpec(part, {"o_orderkey": "p_partkey"}, required=True)]
+    stage(star_join(orders, specs, report), "joined")
+    told = [(name, t["multiplied"], t["unmatched"], t["dropped"]) for name, t in report.told().items()]
+    return spark.createDataFrame(told, "look_up string, multiplied long, unmatched long, dropped long")
+
+
 # Version 2 of the orders: those from 1998 on are new, and open orders of
 # before got another status and price.
 _V1_SQL = "SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'"
