@@ -201,6 +201,7 @@ def test_integers():
 STRANGE = [
     "it's don't ''s 's's I'LL x're9 a'b ,'s 0'0 00é é0x ŉ ﬁ İI ΣΑΣ ΑΣ. é ́a a\u0085b a\xa0b x \x00a\x01b\x1cc \x7f",
     "<|endoftext|> 漢字 😀👍🏽 ٣٤ Ⅷ ½ ſ K ́ ́́ <|startoftext|>",
+    "ÀÉÎõÜ ßtraße ÿŸ ×÷ a×b 3÷4 naïve's É'S él'la ¿qué? «ça» ª º ñ9ñ Ñ\u0303 \xad x\xady µ ²",
     "\x1f\x1ex", None, "", "   \n", "0" * 50, "a" * 3000, "é" * 900,
 ]
 
