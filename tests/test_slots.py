@@ -29,6 +29,7 @@ from tidemark.sources.snapshots import (
     read_feed,
     read_snapshot,
     read_versions,
+    replace,
     replace_slots,
     slot_of,
     snapshot_log,
@@ -226,9 +227,17 @@ def test_a_run_that_breaks_off_between_its_stores(spark, lake_root):
         lake.at = table
         with pytest.raises(RuntimeError, match=table):
             lake.load_customers()
+    # A product held twice would double its lines: nothing is stored.
+    product, before_load = lake.gold("dim_product"), last_version(spark, lake.path(FACT)).version
+    replace(product.union(product), lake.path("gold/dim_product"))
+    with pytest.raises(ValueError, match="more than once.*product_id"):
+        lake.load_fact()
+    assert last_version(spark, lake.path(FACT)).version == before_load
+    replace(product, lake.path("gold/dim_product"))
     lake.at = "gold/pipeline_control"
     with pytest.raises(RuntimeError):
         lake.load_fact()
+    assert lake.looked_up["territory_id"] == {"unmatched": 0, "dropped": 0, "multiplied": 0}
     fact_version = last_version(spark, lake.path(FACT)).version
     # A third change arrives before the run is repeated.
     third = {"sales_customer": [{**SECOND["sales_customer"][0], "AccountNumber": "AW9", "ModifiedDate": "2024-05-01 00:00:00"}]}
