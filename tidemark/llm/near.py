@@ -16,6 +16,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.components import components
@@ -27,13 +28,19 @@ PERCENT = 80
 SLOTS = 64
 FAN = 3
 RECALL = 0.999999
-# Branches up to this many nodes are compared exhaustively.
+# Branches are compared exhaustively if up to this many of their nodes are
+# outside their largest component.
 LEAF = 64
 # Nodes in a block of a larger branch.
 BLOCK = 512
 # Levels of branching by minwise tokens; what is still large after them is
 # branched once more, by its rarest shingles, and compared whatever its size.
 DEPTH = 2
+# Counters of shingle frequencies, and the groups in which they are added up.
+CELLS = 1 << 15
+SUMS = 64
+# Nodes of a branch's largest component that all others are compared with first.
+PIVOTS = 4
 _FACTOR = mix(np.arange(5000, 5000 + SLOTS, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -161,26 +168,21 @@ def near_duplicates(
     labels = stage(known.select("node", F.coalesce("label", "node").alias("label")), "labels", release=True)
     found, links = None, None
     for level in range(1, depth + 2):
-        named = stage(branch.join(labels, "node"), "named")
-        # Branches of one component are settled.
-        by = named.groupBy("path", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("path").agg(
-            F.sum("n").alias("size"), F.count(F.lit(1)).alias("labels"), F.max(F.struct("n", "label")).alias("top")
-        ).filter("labels > 1")
-        open_ = stage(by.select("path", "size", F.col("top.label").alias("most")), "open")
+        named, open_ = unsettled(branch, labels)
+        if level > depth:
+            # Large groups of near copies fold before they are looked through.
+            met = candidates(*pivots(named, open_.filter(F.col("size") > leaf)), side, percent)
+            found = met if found is None else found.unionByName(met)
+            labels = joined_up(labels, confirmed(found.distinct(), texts, width, percent))
+            found = None
+            named, open_ = unsettled(branch, labels)
         if open_.isEmpty():
             break
-        small = named.join(open_.filter(F.col("size") <= leaf), "path")
-        # Of two components the one that is not the branch's largest looks for
-        # partners: a large group of copies is never compared with itself.
-        a = small.filter("label <> most").select("path", F.col("node").alias("a"), F.col("label").alias("la")).join(side("a"), "a")
-        b = small.select(
-            "path", F.col("node").alias("b"), F.col("label").alias("lb"), (F.col("label") == F.col("most")).alias("top")
-        ).join(side("b"), "b")
-        other = (F.col("la") != F.col("lb")) & (F.col("top") | (F.col("a") < F.col("b")))
-        meet = (a["path"] == b["path"]) & other & _similar(percent)
-        pairs = stage(a.join(b, meet).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+        few = F.col("seekers" if level > depth else "size") <= leaf
+        small = named.join(open_.filter(few), "path")
+        pairs = stage(candidates(small.filter("label <> most"), small, side, percent), "pairs")
         found = pairs if found is None else found.unionByName(pairs)
-        large = named.join(open_.filter(F.col("size") > leaf), "path")
+        large = named.join(open_.filter(~few), "path")
         if level > depth:
             links = in_blocks(large, texts, width, percent)
             break
@@ -193,17 +195,12 @@ def near_duplicates(
             branch = stage(grouped(next_.distinct()), "branches", release=True)
         else:
             members = texts.join(large.select("node").distinct(), "node", "left_semi")
-            branch = stage(by_rarest(members, width, percent), "branches", release=True)
+            branch = stage(grouped(by_prefix(members, width, percent)), "branches", release=True)
     if found is not None:
         # All other pairs are confirmed at once: the texts are shuffled once for
-        # either side. New links are between components; only these are joined up.
+        # either side.
         more = confirmed(found.distinct(), texts, width, percent)
-        more = more if links is None else more.unionByName(links)
-        for end in ("u", "v"):
-            more = more.join(labels.select(F.col("node").alias(end), F.col("label").alias(f"l{end}")), end)
-        moved = components(more.select(F.col("lu").alias("u"), F.col("lv").alias("v")))
-        moved = moved.select(F.col("node").alias("label"), F.col("label").alias("to"))
-        labels = stage(labels.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels", release=True)
+        labels = joined_up(labels, more if links is None else more.unionByName(links))
     # The result reads the signatures, the nodes and the last labels only.
     discard(texts)
     told = nodes.join(labels, "node", "left").select("node", "first", F.coalesce("label", "node").alias("label"))
@@ -231,6 +228,49 @@ def near_duplicates(
     )
 
 
+def unsettled(branch: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The branches' rows with their components, and of every branch with more
+    than one: ``size``, its largest component (``most``) and how many of its nodes
+    are outside of that (``seekers``)."""
+    named = stage(branch.join(labels, "node"), "named")
+    by = named.groupBy("path", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("path").agg(
+        F.sum("n").alias("size"), F.count(F.lit(1)).alias("labels"), F.max(F.struct("n", "label")).alias("top")
+    ).filter("labels > 1")
+    seekers = (F.col("size") - F.col("top.n")).alias("seekers")
+    return named, stage(by.select("path", "size", seekers, F.col("top.label").alias("most")), "open")
+
+
+def pivots(named: DataFrame, open_: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The seekers of branches, and ``PIVOTS`` nodes of each one's largest component."""
+    rows = named.join(open_, "path")
+    order = Window.partitionBy("path").orderBy(F.xxhash64("node"), "node")
+    core = rows.filter("label = most").withColumn("_no", F.row_number().over(order)).filter(F.col("_no") <= PIVOTS)
+    return rows.filter("label <> most"), core.drop("_no")
+
+
+def candidates(seekers: DataFrame, others: DataFrame, side, percent: int) -> DataFrame:
+    """Pairs (a, b) of one branch and different components that could be similar.
+    Of two components the one that is not the branch's largest looks for
+    partners: a large group of copies is never compared with itself."""
+    a = seekers.select("path", F.col("node").alias("a"), F.col("label").alias("la")).join(side("a"), "a")
+    b = others.select(
+        "path", F.col("node").alias("b"), F.col("label").alias("lb"), (F.col("label") == F.col("most")).alias("top")
+    ).join(side("b"), "b")
+    other = (F.col("la") != F.col("lb")) & (F.col("top") | (F.col("a") < F.col("b")))
+    met = a.join(b, (a["path"] == b["path"]) & other & _similar(percent))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def joined_up(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after more links (u, v) of nodes; only components are joined up."""
+    for end in ("u", "v"):
+        links = links.join(labels.select(F.col("node").alias(end), F.col("label").alias(f"l{end}")), end)
+    moved = components(links.select(F.col("lu").alias("u"), F.col("lv").alias("v")))
+    moved = moved.select(F.col("node").alias("label"), F.col("label").alias("to"))
+    told = labels.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    return stage(told, "labels", release=True)
+
+
 def linked(sets: list[np.ndarray], label: list, percent: int) -> list[tuple[int, int]]:
     """Pairs of similar sets, as many as join the labels they belong to."""
     size = np.array([len(s) for s in sets])
@@ -281,27 +321,56 @@ def in_blocks(crowds: DataFrame, texts: DataFrame, width: int, percent: int, blo
     return dealt.join(texts, "node").groupBy("path", "i", "j").applyInArrow(run, "u binary, v binary")
 
 
-def by_rarest(members: DataFrame, width: int, percent: int) -> DataFrame:
-    """Branches of what minwise tokens don't part, many texts somewhat alike:
-    each text goes to those of its shingles that are rarest among ``members``,
-    so many that a similar text has one of its own rarest among them for sure."""
+def frequencies(members: DataFrame, width: int) -> np.ndarray:
+    """How many shingles of ``members`` fall into each of ``CELLS`` cells by their
+    hash. A task gives one row of fixed size; these are added up in ``SUMS`` groups
+    and only those sums reach the driver."""
+
+    def count(batches):
+        n = np.zeros(CELLS, np.int64)
+        for b in batches:
+            for t in slices(b):
+                for x in sets_of(t.column("text"), width):
+                    n += np.bincount(cell(x), minlength=CELLS)
+        part = TaskContext.get().partitionId() % SUMS
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "n": pa.array([n.tobytes()], pa.binary())})
+
+    def add(table: pa.Table) -> pa.Table:
+        n = np.zeros(CELLS, np.int64)
+        for x in table.column("n"):
+            n += np.frombuffer(x.as_buffer(), np.int64)
+        return pa.table({"n": pa.array([n.tobytes()], pa.binary())})
+
+    counted = members.mapInArrow(count, "part long, n binary").groupBy("part").applyInArrow(add, "n binary")
+    return sum((np.frombuffer(r["n"], np.int64) for r in counted.collect()), np.zeros(CELLS, np.int64))
+
+
+def cell(shingle: np.ndarray) -> np.ndarray:
+    return (shingle % np.uint64(CELLS)).astype(np.int64)
+
+
+def by_prefix(members: DataFrame, width: int, percent: int) -> DataFrame:
+    """Branches of what minwise tokens don't part, many texts somewhat alike: each
+    text goes to the first of its shingles in one order for all texts, so many
+    that two similar texts have one in common for sure. Any order gives the same
+    links; this one puts shingles from seldom cells first, which keeps the
+    branches small."""
+    often = frequencies(members, width)
 
     def run(batches):
         for b in batches:
             for t in slices(b):
-                sets = sets_of(t.column("text"), width)
-                size = np.array([len(x) for x in sets])
+                first = []
+                for x in sets_of(t.column("text"), width):
+                    many = len(x) - -(-len(x) * percent // 100) + 1
+                    first.append(x[np.lexsort((x, often[cell(x)]))[:many]])
+                size = [len(x) for x in first]
                 yield pa.RecordBatch.from_arrays([
-                    t.column("node").take(pa.array(np.repeat(np.arange(len(sets)), size))),
-                    pa.array(np.repeat(size, size)), pa.array(np.concatenate(sets).view(np.int64)),
-                ], ["node", "n", "path"])
-
-    every = stage(members.mapInArrow(run, "node binary, n long, path long"), "shingles")
-    often = every.groupBy("path").agg(F.count(F.lit(1)).alias("often"))
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("often", "path"))
-    ranked = every.join(often, "path").withColumn("rank", rank)
-    enough = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    return ranked.filter((F.col("rank") <= enough) & (F.col("often") > 1)).select("path", "node")
+                    t.column("node").take(pa.array(np.repeat(np.arange(len(first)), size))),
+                    pa.array(np.concatenate(first).view(np.int64) if first else [], pa.int64()),
+                ], ["node", "path"])
+
+    return members.mapInArrow(run, "node binary, path long").select("path", "node")
 
 
 def grouped(branch: DataFrame) -> DataFrame:
