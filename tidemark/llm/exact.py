@@ -3,8 +3,8 @@
 A Misra-Gries summary of ``heavy`` counters per task, merged, holds every digest
 with more than rows / (heavy + 1) copies. Those few digests are counted exactly,
 their winners broadcast (at most ``heavy`` rows, whatever the input), and their
-rows settled where they are. All other digests have bounded groups and go
-through one ordinary shuffle.
+rows settled where they are. All other digests go through an ordinary shuffle:
+their winners are combined before it and joined back.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.session import stage
 
@@ -89,12 +89,11 @@ def exact_duplicates(
     )
     split = rows.join(winners, "_digest", "left")
     hot = split.filter(F.col("_win").isNotNull())
-    by = Window.partitionBy("_digest")
-    rest = (
-        split.filter(F.col("_win").isNull())
-        .withColumn("_win", F.min(rank).over(by))
-        .withColumn("_size", F.count(F.lit(1)).over(by))
-    )
+    # Winners and counts are combined before their shuffle; the rows that join
+    # them are split by adaptive execution where a digest has many.
+    cold = split.filter(F.col("_win").isNull()).drop("_win", "_size")
+    won = cold.groupBy("_digest").agg(F.min(rank).alias("_win"), F.count(F.lit(1)).alias("_size"))
+    rest = cold.join(won, "_digest")
     return hot.unionByName(rest).select(
         F.col("_key").alias(key),
         F.col("_win.k").alias("keep_id"),
