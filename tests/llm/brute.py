@@ -7,6 +7,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 
@@ -151,3 +152,31 @@ def language_model(rows, mass):
             sum(math.log10((two[v, x] + mass * p(x)) / (one[v] + mass)) for v, x in zip(["^", *w], w)))
         for k, w in tokens.items()
     }
+
+
+def mixed(parts, length, period):
+    """Source and unit of each slot: every unit a job of its own, earliest deadline
+    first over periods, then over each period's slots."""
+    whole = sum(parts.values())
+    jobs = [
+        (Fraction((i + 1) * whole, p), s, i, i * whole // p)
+        for s, p in parts.items() for i in range(-(-p * length // whole) + 1)
+    ]
+    out = []
+    for start in range(0, length, period):
+        end = min(start + period, length)
+        now = sorted(j for j in jobs if j[3] < end)[: end - start]
+        jobs = sorted(set(jobs) - set(now))
+        units = {}
+        for _, s, i, _ in now:
+            units.setdefault(s, []).append(i)
+        n = end - start
+        inner = [
+            (-(-(j + 1) * n // len(u)), s, i, j * n // len(u))
+            for s, u in units.items() for j, i in enumerate(sorted(u))
+        ]
+        for t in range(n):
+            best = min(j for j in inner if j[3] <= t)
+            inner.remove(best)
+            out.append(best[1:3])
+    return out

@@ -73,11 +73,10 @@ def test_words(texts):
 
 
 @settings(max_examples=40, deadline=None)
-@given(st.lists(st.floats(0.001, 50), min_size=1, max_size=30))
-def test_pfair(weights):
-    resolution = 1000
-    slots = mixing.shares({f"s{i}": w for i, w in enumerate(weights)}, resolution)
-    assert sum(slots.values()) == resolution and min(slots.values()) >= 1
+@given(st.lists(st.integers(1, 50), min_size=1, max_size=30))
+def test_pfair(units):
+    slots = {f"s{i}": n for i, n in enumerate(units)}
+    resolution = sum(units)
     done = dict.fromkeys(slots, 0)
     for s, j, t, release, deadline in mixing.one_period(slots, resolution):
         assert release <= t < deadline and j == done[s]
@@ -86,18 +85,67 @@ def test_pfair(weights):
             assert abs(n - (t + 1) * slots[other] / resolution) < 1
 
 
+def slots_of(parts, length, period):
+    for _, slots, taken in mixing.per_period(parts, length, period):
+        units = {s: n for s, (_, n) in taken.items()}
+        for s, j, _, _, _ in mixing.one_period(units, slots):
+            yield s, taken[s][0] + j
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.floats(1e-7, 50), min_size=1, max_size=12), st.integers(1, 300), st.integers(1, 40))
+def test_two_levels(weights, length, period):
+    """As the plain version, each unit in its turn, and no source two half blocks off."""
+    parts = mixing.shares({f"s{i}": w for i, w in enumerate(weights)})
+    whole = sum(parts.values())
+    got = list(slots_of(parts, length, period))
+    assert got == brute.mixed(parts, length, period)
+    done = dict.fromkeys(parts, 0)
+    for t, (s, i) in enumerate(got, 1):
+        assert i == done[s]
+        done[s] += 1
+        assert all(abs(n * whole - t * parts[x]) < 2 * whole for x, n in done.items())
+
+
+def test_exact_weights_over_a_million_blocks():
+    """Neither thirds nor very small weights drift."""
+    for weights in ({"a": 1, "b": 1, "c": 1}, {"a": 1.0, "b": 0.5, "c": 1e-7, "d": 3e-8}):
+        parts = mixing.shares(weights)
+        whole = sum(parts.values())
+        done = dict.fromkeys(parts, 0)
+        for start, slots, taken in mixing.per_period(parts, 2_000_000, 10_000):
+            for s, (first, n) in taken.items():
+                assert first == done[s]
+                done[s] += n
+            assert sum(done.values()) == start + slots
+            assert all(abs(n * whole - (start + slots) * parts[s]) < whole for s, n in done.items())
+    with pytest.raises(ValueError):
+        mixing.shares({"a": 1.0, "b": 0.0})
+
+
 def test_mix(spark):
     rows = [(i, f"t{i}", "big" if i % 3 else ("b" if i % 2 else None)) for i in range(2000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = mixing.mix_sources(docs, {"big": 0.5, "b": 0.3, None: 0.2}, block=4, resolution=100).collect()
+    weights = {"big": 0.5, "b": 0.3, None: 0.2}
+    got = mixing.mix_sources(docs, weights, block=4, period=100).collect()
     assert sorted(r.doc_id for r in got) == list(range(2000))
     assert len({(r.slot, r.block_pos) for r in got}) == 2000
+    assert {r.slot for r in got} == set(range(max(r.slot for r in got) + 1))
+    assert all(r.release <= r.slot < r.deadline for r in got)
     good = [r for r in got if r.on_target]
     last = max(r.slot for r in good)
-    for name, share in (("big", 0.5), ("b", 0.3), (None, 0.2)):
-        for t in (last // 3, last):
+    assert last + 1 == min(-(-n // 2) / w for n, w in ((1333, 0.5), (333, 0.3), (334, 0.2))) // 1
+    for name, share in weights.items():
+        for t in range(last + 1):
             n = len({r.slot for r in good if r.source == name and r.slot <= t})
-            assert abs(n - share * (t + 1)) < 1
+            assert abs(n - share * (t + 1)) < 2  # slots are half blocks
+    # Every slot's source and unit, before and after the first source runs out.
+    order = {r.slot: ("null" if r.source is None else f"s:{r.source}", r.block_no * 2 + r.block_pos // 2) for r in got}
+    plain = brute.mixed(mixing.shares({"s:big": 0.5, "s:b": 0.3, "null": 0.2}), last + 1, 100)
+    done = {s: sum(x == s for x, _ in plain) for s in ("s:big", "s:b", "null")}
+    rest = {s: n - done[s] for s, n in (("s:big", 667), ("s:b", 167), ("null", 167)) if n > done[s]}
+    plain += [(s, i + done[s]) for s, i in brute.mixed(rest, sum(rest.values()), 100)]
+    assert [order[t] for t in range(len(order))] == plain
     with pytest.raises(ValueError):
         mixing.mix_sources(docs, {"big": 1.0})
 

@@ -1,44 +1,65 @@
 """Mixing sources to target weights with Pfair windows.
 
-Block j of a source of weight w may start at slot floor((j-1)/w) and must be
-placed before slot ceil(j/w). With weights that sum to one, earliest deadline
-first places every block inside its window, so that after any number of slots no
-source is a whole block ahead of or behind its target. Weights are rounded to
-multiples of 1 / ``resolution``; the schedule then repeats every ``resolution``
-slots, and the slot of any block follows from one period by arithmetic: no part
-of the plan is sequential in the data.
+Unit i of a source of weight w may start at slot floor(i/w) and must be placed
+before slot ceil((i+1)/w); earliest deadline first then keeps every source less
+than one unit from its target. One such run over all slots would be sequential,
+so the rule is applied twice: to periods of many slots, which says how many units
+of each source a period takes (``per_period``), and to the slots of a period
+(``one_period``), each period being a row of its own that any task can lay out.
+Each level may be off by less than one unit, so a unit is half a block: after any
+number of slots no source is a whole block ahead of or behind its target. Weights
+are exact fractions and are never rounded.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from fractions import Fraction
+from math import isqrt, lcm
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 BLOCK = 16
-RESOLUTION = 10_000
+PERIOD = 10_000
 # The sources are listed on the driver; a mix of more is refused.
 MAX_SOURCES = 100_000
 
+_LAST = (1 << 63) - 1
 
-def shares(weights: dict[str, float], resolution: int) -> dict[str, int]:
-    """Whole slots per period, one at least, by largest remainders."""
-    total = sum(Fraction(w) for w in weights.values())
-    exact = {s: Fraction(w) / total * resolution for s, w in weights.items()}
-    out = {s: max(1, int(x)) for s, x in exact.items()}
-    order = sorted(exact, key=lambda s: (out[s] - exact[s], s))
-    while (left := resolution - sum(out.values())) > 0:
-        for s in order[:left]:
-            out[s] += 1
-    for s in sorted(out, key=lambda s: (-out[s], s)) if left < 0 else ():
-        take = min(out[s] - 1, sum(out.values()) - resolution)
-        out[s] -= max(take, 0)
-    return out
+
+def shares(weights: dict[str, float | Fraction]) -> dict[str, int]:
+    """Whole numbers in the exact proportion of the weights."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    if bad := sorted(s for s, w in exact.items() if w <= 0):
+        raise ValueError(f"weights must be positive: {bad[:5]}")
+    scale = lcm(*[w.denominator for w in exact.values()])
+    return {s: int(w * scale) for s, w in exact.items()}
+
+
+def per_period(parts: dict[str, int], length: int, period: int) -> Iterator[tuple[int, int, dict[str, tuple[int, int]]]]:
+    """(first slot, slots, {source: (first unit, units)}) of each period by EDF.
+
+    A period takes the units due by its end and then, of the next unit of each
+    source, those released by then with the earliest deadlines.
+    """
+    whole = sum(parts.values())
+    done = dict.fromkeys(parts, 0)
+    for start in range(0, length, period):
+        end = min(start + period, length)
+        take = {s: max(p * end // whole - done[s], 0) for s, p in parts.items()}
+        spare = end - start - sum(take.values())
+        released = [s for s, p in parts.items() if (done[s] + take[s]) * whole < p * end]
+        for s in heapq.nsmallest(spare, released, key=lambda s: (Fraction(done[s] + take[s] + 1, parts[s]), s)):
+            take[s] += 1
+        yield start, end - start, {s: (done[s], n) for s, n in take.items() if n}
+        for s, n in take.items():
+            done[s] += n
 
 
 def one_period(slots: dict[str, int], resolution: int) -> list[tuple[str, int, int, int, int]]:
-    """(source, block of the period, slot, release, deadline) by EDF."""
+    """(source, unit of the period, slot, release, deadline) by EDF."""
     def window(s: str, j: int) -> tuple[int, int]:
         return j * resolution // slots[s], -(-(j + 1) * resolution // slots[s])
 
@@ -60,27 +81,35 @@ def one_period(slots: dict[str, int], resolution: int) -> list[tuple[str, int, i
 
 def mix_sources(
     docs: DataFrame,
-    weights: dict[str | None, float] | None = None,
+    weights: dict[str | None, float | Fraction] | None = None,
     source: str = "source",
     key: str = "doc_id",
     carry: tuple[str, ...] = (),
     block: int = BLOCK,
-    resolution: int = RESOLUTION,
+    period: int = PERIOD,
     temperature: float = 0.5,
     seed: int = 7,
 ) -> DataFrame:
     """Every row once, with its place: key, source, ``block_no`` (from 0 within
     the source), ``block_pos``, ``release``, ``deadline``, ``slot`` and
     ``on_target``, plus the ``carry`` columns. Reading by (slot, block_pos) gives
-    the mix.
-
-    Default weights are counts to the power ``temperature``. A source that runs
-    out leaves its later slots unused; ``on_target`` marks the rows before the
-    first such slot, in which no source is a block off its target. NULL is a
-    source of its own; a listed source without rows gets no weight, one without
-    a weight raises an error. Documents of a source are dealt in a fixed
-    pseudo-random order. An empty table gives an empty result.
+    the mix. A slot holds half a block; slots have no gaps.
+
+    Default weights are counts to the power ``temperature``. ``on_target`` marks
+    the rows placed before a source runs out: up to there no source is a block off
+    its exact target, so that each slot lies from ``release`` up to ``deadline``,
+    the slots at which its unit would be a block ahead or behind. The rest is
+    mixed in the proportion of what is left of each source.
+
+    NULL is a source of its own; a listed source without rows gets no weight, one
+    without a weight, or with one that is not positive, raises an error. Rows of a
+    source are dealt in a fixed pseudo-random order; repeated rows and rows of one
+    or no key each get a place. Texts are not read but carried, so their length
+    does not matter. An empty table gives an empty result.
     """
+    if block < 2 or block % 2:
+        raise ValueError("a block holds an even number of rows")
+    half = block // 2
     spark = docs.sparkSession
     src = F.coalesce(F.concat(F.lit("s:"), F.col(f"`{source}`").cast("string")), F.lit("null"))
     carried = [c for c in carry if c not in (key, source)]
@@ -110,41 +139,54 @@ def mix_sources(
         if missing := sorted(set(counts) - set(given)):
             raise ValueError(f"no weight for {missing[:5]}")
         weighed = {s: given[s] for s in counts}
-    resolution = max(resolution, 4 * len(counts))
-    slots = shares(weighed, resolution) if counts else {}
-    period = one_period(slots, resolution) if counts else []
-    place: dict[str, list[int]] = {s: [] for s in slots}
-    for s, _, t, _, _ in period:
-        place[s].append(t)
-    ends = []
-    for s, n in counts.items():
-        b = -(-n // block)
-        ends.append(b // slots[s] * resolution + place[s][b % slots[s]])
-    horizon = min(ends, default=0)
-    table = spark.createDataFrame(
-        [(s, j, t, r, d, slots[s]) for s, j, t, r, d in period],
-        "_src string, _j long, _t long, _r long, _d long, _per long",
+    names = sorted(counts)
+    left = {s: -(-counts[s] // half) for s in names}
+    # The driver holds one row per period; their number grows with the root of the slots.
+    period = max(period, isqrt(sum(left.values())), 4 * len(names))
+    plans, rows, placed, base = [], [], dict.fromkeys(names, 0), 0
+    targets = shares({s: weighed[s] for s in names}) if names else {}
+    horizon = min((left[s] * sum(targets.values()) // p for s, p in targets.items()), default=0)
+    for parts, length in ((targets, horizon), (None, sum(left.values()) - horizon)):
+        if not length:
+            continue
+        parts = parts or {s: n - placed[s] for s, n in left.items() if n > placed[s]}
+        plans.append((base, sum(parts.values()), parts, dict(placed)))
+        for start, slots, taken in per_period(parts, length, period):
+            rows.append((len(plans) - 1, start, slots, list(taken), *map(list, zip(*taken.values()))))
+            for s, (_, n) in taken.items():
+                placed[s] += n
+        base += length
+    periods = spark.createDataFrame(
+        rows, "plan int, start long, slots long, sources array<string>, first array<long>, units array<long>"
     )
-    per = spark.createDataFrame(list(slots.items()), "_src string, _per long")
+
+    def lay_out(batches):
+        for batch in batches:
+            for row in batch.itertuples():
+                base, whole, parts, before = plans[row.plan]
+                first = dict(zip(row.sources, map(int, row.first)))
+                units = dict(zip(row.sources, map(int, row.units)))
+                out = []
+                for s, j, t, _, _ in one_period(units, row.slots):
+                    i = first[s] + j
+                    release = base + max((i - 1) * whole // parts[s], 0)
+                    deadline = min(base - (-(i + 2) * whole // parts[s]), _LAST)
+                    out.append((s, before[s] + i, base + row.start + t, release, deadline))
+                yield pd.DataFrame(out, columns=["_src", "_unit", "slot", "release", "deadline"])
+
+    table = periods.mapInPandas(lay_out, "_src string, _unit long, slot long, release long, deadline long")
 
     order = Window.partitionBy("_src", "_part").orderBy("_order", "_key", "_tie")
     ranked = (
         named.withColumn("_rank", F.row_number().over(order))
         .join(starts, ["_src", "_part"])
         .withColumn("_rank", F.col("_rank") - 1 + F.col("_before"))
-        .withColumn("block_no", F.expr(f"_rank div {block}"))
-        .join(F.broadcast(per), "_src")
-        .withColumn("_j", F.col("block_no") % F.col("_per"))
-        .withColumn("_base", F.expr(f"(block_no div _per) * {resolution}"))
+        .withColumn("_unit", F.expr(f"_rank div {half}"))
     )
-    # One row per slot of the period, bounded by the resolution.
-    placed = ranked.join(F.broadcast(table.drop("_per")), ["_src", "_j"])
-    return placed.select(
-        F.col("_key").alias(key), F.col("_source").alias(source), "block_no",
-        (F.col("_rank") % block).alias("block_pos"),
-        (F.col("_base") + F.col("_r")).alias("release"),
-        (F.col("_base") + F.col("_d")).alias("deadline"),
-        (F.col("_base") + F.col("_t")).alias("slot"),
-        (F.col("_base") + F.col("_t") < horizon).alias("on_target"),
+    # A unit holds half a block of rows, so no key of this join is a hot one.
+    return ranked.join(table, ["_src", "_unit"]).select(
+        F.col("_key").alias(key), F.col("_source").alias(source),
+        F.expr(f"_rank div {block}").alias("block_no"), (F.col("_rank") % block).alias("block_pos"),
+        "release", "deadline", "slot", (F.col("slot") < horizon).alias("on_target"),
         *[F.col(f"_c{i}").alias(c) for i, c in enumerate(carried)],
     )
