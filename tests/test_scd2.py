@@ -139,6 +139,19 @@ def test_changed_keys_and_close(spark):
     assert rows(changed_keys(new, old, ["k"], [], "at")) == []
 
 
+def test_newest_row_stands_for_a_batch(spark):
+    old = target(spark, (1, "A", 1), (2, "A", 1), (3, "A", 9), (4, "A", 1, 2))
+    new = batch(spark, (1, "B", 3), (1, "C", 4), (2, "B", 3), (2, "A", 4), (3, "B", 5), (4, "B", 3), (4, "C", 4), (5, "A", 1), (5, "B", 2))
+    want = [
+        (1, "A", 1, 4), (1, "C", 4, None), (2, "A", 1, None), (3, "A", 9, None),
+        (4, "A", 1, 2), (4, "B", 3, 4), (4, "C", 4, None), (5, "A", 1, 2), (5, "B", 2, None),
+    ]
+    for hot in (None, 1):
+        after = apply(old, new, newest_only=True, hot_rows=hot)
+        assert lines(after) == want
+    assert lines(apply(after, new, newest_only=True)) == want
+
+
 def test_older_rows_can_be_let_in(spark):
     old, new = target(spark, (1, "A", 5)), batch(spark, (1, "B", 2))
     assert rows(changed_keys(new, old, ["k"], ["v"], "at")) == []

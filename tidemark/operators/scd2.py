@@ -113,11 +113,15 @@ def scd2_apply(
     ends: bool = False,
     feed: bool = False,
     buckets: int | None = None,
+    newest_only: bool = False,
 ) -> DataFrame:
     """Next state of ``target`` after ``batch``.
 
     * A known key gets the batch rows dated at or after its current row that
       change a watched column; the row before each of them ends on its date.
+    * With ``newest_only`` a key with a current row gets just the newest of its
+      batch rows, if that one is not older and differs; versions between the two
+      are not kept, so that intervals still touch.
     * A new key gets all its versions.
     * A key with closed rows only (left by an interrupted run) continues after
       the last of them.
@@ -171,7 +175,7 @@ def scd2_apply(
     watched = watched_struct(monitored, normalise)
 
     def plan(rows: DataFrame, heavy: bool) -> DataFrame:
-        return _history(rows, keys, order, ties, monitored, watched, null_safe, heavy, ends)
+        return _history(rows, keys, order, ties, monitored, watched, null_safe, heavy, ends, newest_only)
 
     lines = by_heat(line, keys, hot, plan)
     forever = end_of_time(target, order).cast(target.schema["end_date"].dataType)
@@ -210,7 +214,7 @@ def _spread_latest(batch, keys, order, ties, latest_cols, hot):
     return found.withColumns({c: F.col(f"_newest.{c}") for c in latest_cols}).drop("_newest")
 
 
-def _history(rows, keys, order, ties, monitored, watched, null_safe, heavy, ends):
+def _history(rows, keys, order, ties, monitored, watched, null_safe, heavy, ends, newest_only):
     """Batch, current and floor rows of some keys -> their new history lines.
 
     All windows share one partitioning and one sort.
@@ -236,6 +240,7 @@ def _history(rows, keys, order, ties, monitored, watched, null_safe, heavy, ends
             "_since": F.max(F.when(kind == _CURRENT, at)),
             "_floor": F.max(F.when(kind == _FLOOR, at)),
             "_known": F.min("_kind"),
+            **({"_newest": F.max(F.when(kind == _BATCH, at))} if newest_only else {}),
         },
         heavy,
     )
@@ -247,6 +252,8 @@ def _history(rows, keys, order, ties, monitored, watched, null_safe, heavy, ends
     )
     if ends:
         late_enough = F.coalesce(at >= F.greatest("_since", "_floor"), F.lit(True))
+    if newest_only:
+        late_enough = late_enough & (~has_current | (at == F.col("_newest")))
     rows = rows.filter(
         (kind == _CURRENT) | ((kind == _BATCH) & late_enough)
     )

@@ -41,14 +41,16 @@ AT = "_at"
 
 @dataclass(frozen=True)
 class History:
-    """How a history table is kept: its key, the watched columns and the
-    columns its files are clustered by."""
+    """How a history table is kept: its key, the watched columns, the columns
+    its files are clustered by, and whether a known key is compared with the
+    newest row of a batch only."""
 
     keys: tuple[str, ...]
     monitored: tuple[str, ...] = ()
     normalise: tuple[str, ...] = ()
     latest_cols: tuple[str, ...] = ()
     cluster_by: tuple[str, ...] = ()
+    newest_only: bool = False
 
 
 # Key, watched columns and cluster columns of each history table.
@@ -87,6 +89,7 @@ HISTORIES = {
         keys=("product_id",),
         monitored=("name", "list_price", "standard_cost", "product_line", "class", "product_subcategory_id"),
         cluster_by=("product_subcategory_id", "product_id"),
+        newest_only=True,
     ),
     "production_productcategory": History(
         keys=("product_category_id",),
@@ -112,6 +115,7 @@ HISTORIES = {
         keys=("business_entity_id", "address_type_id"),
         monitored=("address_id",),
         cluster_by=("business_entity_id", "address_type_id"),
+        newest_only=True,
     ),
     "production_productdescription": History(
         keys=("product_description_id",),
@@ -134,6 +138,7 @@ HISTORIES = {
         keys=("sales_reason_id",),
         monitored=("name", "reason_type"),
         cluster_by=("sales_reason_id",),
+        newest_only=True,
     ),
     "sales_salesterritory": History(
         keys=("territory_id",),
@@ -283,5 +288,6 @@ def load_silver(
         hot_rows=hot_rows,
         ends=timed,
         feed=feed,
+        newest_only=h.newest_only,
     )
     return state.drop(AT)

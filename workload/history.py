@@ -177,9 +177,13 @@ def run_scd2_close(spark, sf_dir):
     return scd2_close(target, closing, ["user_id"])
 
 
-def _apply_sql(keys: str, watched: list[str], props: str = "b.props") -> str:
+def _apply_sql(keys: str, watched: list[str], props: str = "b.props", newest_only: bool = False) -> str:
     """Next state: closed rows stay; per key the current row and the later
-    batch rows form a line, of which the changing rows remain."""
+    batch rows form a line, of which the changing rows remain. With
+    ``newest_only`` the last batch row of a known key stands for all."""
+    later = "b.ts >= c.ts"
+    if newest_only:
+        later += f" AND b.ts = (SELECT MAX(n.ts) FROM ({_NEW_SQL}) n WHERE n.user_id = b.user_id)"
     on = " AND ".join(f"b.{k} = c.{k}" for k in keys.split(", "))
     differ = " OR ".join(f"{c} IS DISTINCT FROM LAG({c}) OVER w" for c in watched)
     return f"""
@@ -192,7 +196,7 @@ line AS (
     SELECT b.event_id, b.ts, b.user_id, b.event_type, b.value, {props}, TIMESTAMP '{SECOND_LOAD}', 1,
            c.user_id IS NOT NULL
     FROM ({_NEW_SQL}) b LEFT JOIN cur c ON {on}
-    WHERE c.user_id IS NULL OR b.ts >= c.ts
+    WHERE c.user_id IS NULL OR ({later})
 ),
 kept AS (
     SELECT * FROM line
@@ -216,6 +220,14 @@ def run_scd2_apply(spark, sf_dir):
     )
 
 
+@query("scd2_apply_newest", _apply_sql("user_id", WATCHED, newest_only=True), end_date=True)
+def run_scd2_apply_newest(spark, sf_dir):
+    return scd2_apply(
+        _target(spark, sf_dir), _batch(spark, sf_dir), ["user_id"], WATCHED, "ts",
+        ties=["event_id"], as_of=SECOND_LOAD, newest_only=True,
+    )
+
+
 @query("scd2_composite_events", _apply_sql("user_id, event_type", ["value"]), end_date=True)
 def run_scd2_composite(spark, sf_dir):
     keys = ["user_id", "event_type"]
