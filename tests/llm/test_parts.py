@@ -171,6 +171,43 @@ def test_quality(spark):
     assert right >= 78
 
 
+def test_dual_descent_finds_the_plain_optimum():
+    rng = np.random.default_rng(8)
+    for _ in range(4):
+        x = np.where(rng.random((40, 12)) < 0.5, rng.normal(size=(40, 12)), 0)
+        y = np.where(x[:, 0] + rng.normal(size=40) > 0, 1, -1)
+        cost = np.where(y > 0, 0.7, 1.5)
+        at = [np.flatnonzero(r) for r in x]
+        w, b = nbsvm.dual_descent(at, [r[i] for r, i in zip(x, at)], y, cost, 12, epochs=3000)
+        plain, least = brute.hinge(np.hstack([x, np.ones((40, 1))]), y, cost)
+        got = np.append(w, b)
+        loss = got @ got / 2 + (cost * np.maximum(0, 1 - y * (x @ w + b))).sum()
+        assert loss == pytest.approx(least, rel=0.01)
+        assert np.abs(got - plain).max() < 0.05
+
+
+def test_ratios_count_every_labelled_row(spark):
+    """Counts of n-grams as sets of the texts' words and pairs give the same ratios."""
+    rng = random.Random(3)
+    texts = [document(rng, rng.randint(0, 30)) for _ in range(60)] + [None, ""]
+    labelled = spark.createDataFrame([(i, i % 2, t) for i, t in enumerate(texts)], "_key long, _label int, text string")
+    model = nbsvm.fit(labelled.repartition(4), fit_rows=5)
+    assert model.fitted == 10
+    count = np.zeros((2, 1 << nbsvm.BITS))
+    for i, t in enumerate(texts):
+        for bucket in set(nbsvm.features(pa.array([t]))[1].tolist()):
+            count[i % 2, bucket] += 1
+    total = count.sum(1) + (1 << nbsvm.BITS)
+    for bucket in np.flatnonzero(count.sum(0)):
+        want = np.log((count[1, bucket] + 1) / total[1] / ((count[0, bucket] + 1) / total[0]))
+        assert model.ratio[bucket] == pytest.approx(want, abs=1e-5)
+    assert not model.ratio[count.sum(0) == 0].any()
+    some = nbsvm.fit(labelled, fit_values=400)
+    assert 0 < some.fitted < 62 and (some.ratio == model.ratio).all()
+    empty = sum(not (t or "").split() for t in texts)
+    assert nbsvm.fit(labelled, fit_values=0).fitted == empty
+
+
 def test_quality_odd(spark, odd, nothing):
     marks = spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, quality int")
     for labels in (marks, marks.limit(0), marks.filter("quality = 1")):
@@ -178,6 +215,9 @@ def test_quality_odd(spark, odd, nothing):
         got = nbsvm.score_texts(odd.drop("score"), model).collect()
         assert len(got) == len(ODD) and all(0 <= r.score <= 1 for r in got)
         assert nbsvm.score_texts(nothing.drop("score"), model).collect() == []
+        replaced = nbsvm.score_texts(odd, model)
+        assert replaced.columns.count("score") == 1 and set(replaced.columns) == set(odd.columns)
+        assert sorted(r.score for r in replaced.collect()) == sorted(r.score for r in got)
 
 
 @pytest.fixture(scope="module")

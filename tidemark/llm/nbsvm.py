@@ -2,8 +2,8 @@
 
 Features are indicators of word and shape n-grams in hashed buckets. Each is
 scaled by its log-count ratio between the classes, counted over all labelled
-rows; a hinge-loss model is then fitted by dual coordinate descent on at most
-``FIT_ROWS`` labelled rows per class.
+rows; a hinge-loss model is then fitted by dual coordinate descent on a bounded
+number of labelled rows per class (``fit_rows``) and values in all (``fit_values``).
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ BITS = 18
 # Labelled rows of each class that the support vectors are chosen from; they are
 # the ones with the smallest hash of the key. The ratios use all labelled rows.
 FIT_ROWS = 4000
-# Most feature values of those rows, so that one task can hold them.
+# Most feature values of those rows, so that one task can hold them; in the order
+# of the hashes, a row that would exceed it is left out of the support vectors.
 FIT_VALUES = 20_000_000
 EPOCHS = 12
 
@@ -84,6 +85,8 @@ class Model:
     ratio: np.ndarray
     weight: np.ndarray
     bias: float
+    # Labelled rows that the support vectors were chosen from.
+    fitted: int = 0
 
     def scores(self, texts) -> np.ndarray:
         rows, bucket = features(texts)
@@ -117,8 +120,22 @@ def dual_descent(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray
     return w, b
 
 
-def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, cost: float = 4.0) -> Model:
-    """Model of ``labelled`` (``_key``, ``_label`` 0/1, ``text``), which is read twice."""
+def log_count_ratios(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
+    """log((n1 + 1) / sum) - log((n0 + 1) / sum) per bucket; 0 for unseen ones."""
+    ratio = np.log((n1 + 1) / (n1.sum() + len(n1))) - np.log((n0 + 1) / (n0.sum() + len(n0)))
+    ratio[n0 + n1 == 0] = 0
+    return ratio.astype(np.float32)
+
+
+def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, cost: float = 4.0, fit_values: int = FIT_VALUES) -> Model:
+    """Model of ``labelled`` (``_key``, ``_label`` 0/1, ``text``), which is read twice.
+
+    The ratios count every row. Support vectors come from the ``fit_rows`` rows of
+    each class with the least hashes of their keys, as far as these hold
+    ``fit_values`` n-grams; ``Model.fitted`` says how many rows that were. With no
+    row, or rows of one class only, all texts score 0.5. Repeated rows count as
+    often as they occur; NULL and empty texts have no n-grams.
+    """
     size = 1 << BITS
 
     def count(batches):
@@ -147,9 +164,7 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, cost: float = 4.0) -> Mod
     docs = {y: int(np.asarray(counts.column(f"n{y}"))[~inside].sum()) for y in (0, 1)}
     if not docs[0] or not docs[1]:
         return Model(np.zeros(size, np.float32), np.zeros(size, np.float32), 0.0)
-    ratio = np.log((n1 + 1) / (n1.sum() + size)) - np.log((n0 + 1) / (n0.sum() + size))
-    ratio[n0 + n1 == 0] = 0
-    ratio = ratio.astype(np.float32)
+    ratio = log_count_ratios(n0, n1)
 
     def train(batches):
         rows, values, y, total = [], [], [], 0
@@ -159,17 +174,17 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, cost: float = 4.0) -> Mod
                 first = np.searchsorted(r, np.arange(t.num_rows + 1))
                 for i, label in enumerate(t.column("_label").to_pylist()):
                     at = k[first[i] : first[i + 1]]
-                    v = ratio[at].astype(np.float64)
+                    if total + len(at) > fit_values:
+                        continue
                     total += len(at)
-                    if total > FIT_VALUES:
-                        break
+                    v = ratio[at].astype(np.float64)
                     n = math.sqrt(v @ v)
                     rows.append(at.astype(np.int32)), values.append((v / n if n else v).astype(np.float32)), y.append(2 * label - 1)
         y = np.array(y)
-        share = {s: max((y == s).mean(), 1e-9) for s in (-1, 1)}
+        share = {s: max((y == s).sum(), 1) / max(len(y), 1) for s in (-1, 1)}
         each = np.array([cost * 0.5 / share[s] for s in y])
         w, bias = dual_descent(rows, values, y, each, size)
-        yield pa.RecordBatch.from_arrays([pa.array([w.astype(np.float32).tobytes()]), pa.array([bias])], ["w", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array([w.astype(np.float32).tobytes()]), pa.array([bias]), pa.array([len(y)])], ["w", "b", "n"])
 
     some = None
     for y in (0, 1):
@@ -177,8 +192,8 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, cost: float = 4.0) -> Mod
         part = labelled.filter(F.col("_label") == y).orderBy(*order).limit(fit_rows)
         some = part if some is None else some.unionByName(part)
     mixed = some.select("_label", "text", F.xxhash64("_key").alias("_o")).repartition(1).sortWithinPartitions("_o")
-    got = mixed.select("_label", "text").mapInArrow(train, "w binary, b double").first()
-    return Model(ratio, np.frombuffer(got["w"], np.float32), got["b"])
+    got = mixed.select("_label", "text").mapInArrow(train, "w binary, b double, n long").first()
+    return Model(ratio, np.frombuffer(got["w"], np.float32), got["b"], got["n"])
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, label: str = "quality",
@@ -194,7 +209,14 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str = "quality",
 
 def score_texts(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the column ``out``: 0 to 1, higher where label 1 is likelier.
-    NULL and empty texts get the score of a text without features."""
+
+    NULL and empty texts get the score of a text without features, texts alike the
+    same score; a text is scored whole, whatever its length. Every row gets one,
+    repeated rows too, and an empty table an empty result. A column ``out`` that
+    is there already is replaced.
+    """
+    if text != out:
+        docs = docs.drop(out)
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
