@@ -6,7 +6,7 @@ import pytest
 
 from tests.llm import brute
 from tests.llm.conftest import ODD
-from tidemark.llm import chunks, licences
+from tidemark.llm import chunks, licences, near
 from tidemark.llm.decontaminate import contaminated_words, proximity_matches
 from tidemark.llm.exact import cut, exact_duplicates
 from tidemark.llm.language_model import score_language_model
@@ -77,6 +77,23 @@ def test_near_chain_and_crowd(spark):
         assert (got[k].n_shingles, got[k].component_id) == (n, head)
 
 
+def test_near_rarest(spark, monkeypatch):
+    """Of many texts with one passage, only shingles that part them are rows."""
+    passage = " ".join(f"p{i}" for i in range(200))
+    texts = [f"{passage} " + " ".join(f"t{i}x{j}" for j in range(60)) for i in range(40)]
+    texts += [texts[0] + " tail", texts[1] + " end of it", passage]
+    staged, real = [], near.stage
+    monkeypatch.setattr(near, "stage", lambda df, *a, **k: staged.append(real(df, *a, **k)) or staged[-1])
+    members = spark.createDataFrame([(f"{i:02}".encode(), x) for i, x in enumerate(texts)], "node binary, text string")
+    rows = near.by_rarest(members, 4, 80).collect()
+    assert sum(x.count() for x in staged) <= len(texts)
+    holders = {}
+    for r in rows:
+        holders.setdefault(r.path, set()).add(int(r.node))
+    assert {0, 40} in holders.values() and {1, 41} in holders.values()
+    assert {int(r.node) for r in rows} == {0, 1, 40, 41, 42}
+
+
 def test_near_odd(odd, nothing):
     got = near_duplicates(odd, carry=("kept", "text")).collect()
     assert len(got) == len(ODD)

@@ -16,9 +16,10 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.components import components
+from tidemark.llm.parts import PART_BYTES, answer, ask, in_parts, pack, steps, summed, unpack, with_answers
 from tidemark.llm.words import BLANK_SEPARATED, Words, mix, shingles, slices
 from tidemark.session import discard, stage
 
@@ -34,6 +35,8 @@ BLOCK = 512
 # Levels of branching by minwise tokens; what is still large after them is
 # branched once more, by its rarest shingles, and compared whatever its size.
 DEPTH = 2
+# Parts, at least, in which these shingles are counted.
+FEWEST = 16
 _FACTOR = mix(np.arange(5000, 5000 + SLOTS, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -284,24 +287,55 @@ def in_blocks(crowds: DataFrame, texts: DataFrame, width: int, percent: int, blo
 def by_rarest(members: DataFrame, width: int, percent: int) -> DataFrame:
     """Branches of what minwise tokens don't part, many texts somewhat alike:
     each text goes to those of its shingles that are rarest among ``members``,
-    so many that a similar text has one of its own rarest among them for sure."""
-
-    def run(batches):
-        for b in batches:
-            for t in slices(b):
-                sets = sets_of(t.column("text"), width)
-                size = np.array([len(x) for x in sets])
-                yield pa.RecordBatch.from_arrays([
-                    t.column("node").take(pa.array(np.repeat(np.arange(len(sets)), size))),
-                    pa.array(np.repeat(size, size)), pa.array(np.concatenate(sets).view(np.int64)),
-                ], ["node", "n", "path"])
-
-    every = stage(members.mapInArrow(run, "node binary, n long, path long"), "shingles")
-    often = every.groupBy("path").agg(F.count(F.lit(1)).alias("often"))
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("often", "path"))
-    ranked = every.join(often, "path").withColumn("rank", rank)
-    enough = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    return ranked.filter((F.col("rank") <= enough) & (F.col("often") > 1)).select("path", "node")
+    so many that a similar text has one of its own rarest among them for sure.
+
+    Parts of the texts ask how many texts hold each of their distinct shingles;
+    so a shingle leaves a part once, however many of its texts hold it, and only
+    the branches are rows. A text with more unshared shingles than a similar one
+    may have gives none."""
+    members = stage(members, "members", release=True)
+    total = members.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(FEWEST, -(-total // PART_BYTES))
+    dealt = in_parts(members, n, "node")
+    border = np.array([(s << 64) // n for s in range(n)], np.uint64)
+
+    def held(table: pa.Table):
+        """Each text's shingles, and the distinct ones, sorted, with their texts."""
+        sets = [x for t in slices(table) for x in sets_of(t.column("text"), width)]
+        return sets, *np.unique(np.concatenate([np.empty(0, np.uint64), *sets]), return_inverse=True)
+
+    def question(table: pa.Table):
+        _, names, back = held(table)
+        count = np.bincount(back, minlength=len(names)).astype(np.uint32)
+        # Shards are ranges of the hash: their answers in order are those to all names.
+        edge = np.append(np.searchsorted(names, border), len(names))
+        for s in np.flatnonzero(np.diff(edge)).tolist():
+            own = slice(edge[s], edge[s + 1])
+            yield s, pack(steps(names[own]), count[own])
+
+    def reply(shard: int, parts: list, blobs: list):
+        told = [(summed(x), c) for x, c in map(unpack, blobs)]
+        names, back = np.unique(np.concatenate([x for x, _ in told]), return_inverse=True)
+        often = np.bincount(back, np.concatenate([c for _, c in told])).astype(np.uint32)[back]
+        for part, own in zip(parts, np.split(often, np.cumsum([len(x) for x, _ in told])[:-1]), strict=True):
+            yield part, pack(own)
+
+    def work(table: pa.Table, told: dict[int, bytes]) -> pa.Table:
+        sets, names, back = held(table)
+        often = np.concatenate([np.empty(0, np.uint32), *[unpack(told[s])[0] for s in sorted(told)]])[back]
+        path, place, at = [], [], 0
+        for i, x in enumerate(sets):
+            c = often[at : at + len(x)]
+            at += len(x)
+            rare = np.lexsort((x, c))[: len(x) - -(-len(x) * percent // 100) + 1]
+            path.append(x[rare[c[rare] > 1]])
+            place.append(np.full(len(path[-1]), i))
+        return pa.table({
+            "path": pa.array(np.concatenate([np.empty(0, np.uint64), *path]).view(np.int64)),
+            "node": table.column("_key").take(pa.array(np.concatenate([np.empty(0, np.int64), *place]))),
+        })
+
+    return with_answers(dealt, answer(ask(dealt, question), reply), work, "path long, node binary")
 
 
 def grouped(branch: DataFrame) -> DataFrame:
