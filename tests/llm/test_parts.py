@@ -330,3 +330,40 @@ def test_pipeline_on_odd_rows(spark, odd, sf):
             after = step(spark, rows, sf)
             assert set(after.columns) >= set(rows.columns)
             after.collect()
+
+
+def test_release_deletes_shuffle_files(spark):
+    """A staged copy's shuffle files are gone when it is written, not at some later collection."""
+    import os
+
+    from tidemark.session import CLEANUP_KEY, stage
+
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def files():
+        return {f for top in folders for _, _, found in os.walk(top) for f in found if f.startswith("shuffle_")}
+
+    before = files()
+    copy = stage(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count(), "released", release=True)
+    assert files() <= before
+    assert spark.conf.get(CLEANUP_KEY, None) != "true" and copy.count() == 7
+
+
+def test_bigrams_are_looked_up_once(monkeypatch):
+    """Pairs that many parts hold are one question to the trie; answers are each part's own."""
+    from tidemark.llm import language_model as lm
+    from tidemark.llm.parts import pack, steps, unpack
+
+    asked, real = [], Trie.codes_of
+    monkeypatch.setattr(Trie, "codes_of", lambda self, v, w: asked.append(len(v)) or real(self, v, w))
+    u = lambda *x: np.array(x, np.uint64)
+    n = lambda *x: np.array(x, np.uint32)
+    # Contexts 5 and 9 with words 3 and 4; the pair (9, 4) was never in training.
+    one = pack(steps(u(5, 9)), n(2, 1), np.array([6, 2]), steps(u(3, 4)), np.array([7, 1]), n(0, 1, 1), n(3, 1, 0))
+    two = pack(steps(u(5)), n(1), np.array([6]), steps(u(3)), np.array([7]), n(0), n(2))
+    got = {part: unpack(b) for part, b in lm.bigram_answers([0, 1, 2], [one, two, one], 100.0, 50.0)}
+    assert asked == [3]
+    code, table = got[0]
+    want = np.log10([(8 + 100 * 7.1 / 50) / 106, (2 + 100 * 1.1 / 50) / 106])
+    assert np.allclose(table[code[:2]], want) and code[2] == 255
+    assert got[2][0].tolist() == code.tolist() and got[1][0].tolist() == [code[0]]

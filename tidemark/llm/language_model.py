@@ -80,6 +80,29 @@ def _word_counts(tokens: Tokens, shards: int, told: dict[int, bytes]) -> np.ndar
     return out
 
 
+def bigram_answers(parts: list, blobs: list[bytes], mass: float, below: float):
+    """(part, blob) with the code of every pair that a shard was asked about. The
+    trie is asked once for each distinct pair, in its own order."""
+    heads, runs, head_n, names, name_n, backs, counts = zip(*map(unpack, blobs), strict=True)
+    V, context = np.unique(np.concatenate([summed(x) for x in heads]), return_inverse=True)
+    W, word = np.unique(np.concatenate([summed(x) for x in names]), return_inverse=True)
+    c_v, c_w = np.zeros(len(V)), np.zeros(len(W))
+    c_v[context], c_w[word] = np.concatenate(head_n), np.concatenate(name_n)
+    first = np.cumsum([0] + [len(x) for x in names[:-1]])
+    back = np.concatenate([x + at for x, at in zip(backs, first, strict=True)])
+    key, pair = np.unique(np.repeat(context, np.concatenate(runs)) * len(W) + word[back], return_inverse=True)
+    total = np.bincount(pair, np.concatenate(counts), len(key))
+    v, w = key // len(W), key % len(W)
+    seen = total > 0
+    p = (total[seen] + mass * (c_w[w[seen]] + 0.1) / below) / (c_v[v[seen]] + mass)
+    with Trie.build(V[v[seen]], W[w[seen]], np.log10(p)).mapped() as trie:
+        code = trie.codes_of(V[v], W[w])
+        at = 0
+        for part, own in zip(parts, backs, strict=True):
+            yield part, pack(code[pair[at : at + len(own)]], trie.table)
+            at += len(own)
+
+
 def score_language_model(
     docs: DataFrame, train: str, key: str = "doc_id", text: str = "text", mass: float = MASS
 ) -> DataFrame:
@@ -157,31 +180,8 @@ def score_language_model(
         got = list(ask_bigrams(table, dict(zip(told.column("shard").to_pylist(), told.column("blob").to_pylist(), strict=True))))
         return blob_table([part] * len(got), [s for s, _ in got], [b for _, b in got])
 
-    def tell_bigrams(shard, parts, blobs):
-        v, w, c, c_v, c_w = [], [], [], [], []
-        for b in blobs:
-            head, run, hv, name, hw, back, count = unpack(b)
-            head, name = summed(head), summed(name)
-            v.append(np.repeat(head, run)), w.append(name[back]), c.append(count)
-            c_v.append(np.repeat(hv, run)), c_w.append(hw[back])
-        size = [len(x) for x in v]
-        v, w, c, c_v, c_w = (np.concatenate(x) for x in (v, w, c, c_v, c_w))
-        order = np.lexsort((w, v))
-        new = np.ones(len(order), bool)
-        new[1:] = (v[order][1:] != v[order][:-1]) | (w[order][1:] != w[order][:-1])
-        first = order[new]
-        total = np.add.reduceat(c[order].astype(np.int64), np.flatnonzero(new)) if len(order) else c
-        seen = total > 0
-        first, total = first[seen], total[seen]
-        p = (total + mass * (c_w[first] + 0.1) / below) / (c_v[first] + mass)
-        with Trie.build(v[first], w[first], np.log10(p)).mapped() as trie:
-            at = 0
-            for part, n in zip(parts, size, strict=True):
-                yield part, pack(trie.codes_of(v[at : at + n], w[at : at + n]), trie.table)
-                at += n
-
     asked = rows.groupBy("part").cogroup(words.groupBy("part")).applyInArrow(sent, BLOB)
-    told = answer(asked, tell_bigrams).withColumn("shard", F.col("shard") + shards)
+    told = answer(asked, lambda _, parts, blobs: bigram_answers(parts, blobs, mass, below)).withColumn("shard", F.col("shard") + shards)
 
     def work(table: pa.Table, told: pa.Table) -> pa.Table:
         m = table.num_rows

@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -82,14 +83,23 @@ def stage(df: DataFrame, name: str = "stage", release: bool = False) -> DataFram
     """Write ``df`` to the shared folder and read it back.
 
     The copy survives the loss of any executor, and every later use of the
-    returned frame sees exactly the same rows. ``release`` collects the driver's
-    garbage afterwards, as Spark itself does from time to time: its cleaner then
-    deletes the shuffle files that led to the copy.
+    returned frame sees exactly the same rows. With ``release`` Spark deletes the
+    shuffle files that led to the copy once it is written, and then collects the
+    driver's garbage, as it does from time to time, so that its cleaner deletes
+    those of earlier jobs.
     """
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
     if release:
+        conf = df.sparkSession.conf
+        before = conf.get(CLEANUP_KEY, None)
+        conf.set(CLEANUP_KEY, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            conf.unset(CLEANUP_KEY) if before is None else conf.set(CLEANUP_KEY, before)
         df.sparkSession.sparkContext._jvm.System.gc()
+    else:
+        df.write.parquet(path)
     copy = df.sparkSession.read.schema(df.schema).parquet(path)
     copy._staged_at = path
     if _SCOPES:
