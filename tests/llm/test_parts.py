@@ -367,3 +367,29 @@ def test_bigrams_are_looked_up_once(monkeypatch):
     want = np.log10([(8 + 100 * 7.1 / 50) / 106, (2 + 100 * 1.1 / 50) / 106])
     assert np.allclose(table[code[:2]], want) and code[2] == 255
     assert got[2][0].tolist() == code.tolist() and got[1][0].tolist() == [code[0]]
+
+
+def test_suffix_pieces(monkeypatch):
+    """Few suffixes are compared in pairs, many by their windows; the order is that of bytes."""
+    from tidemark.llm import suffixes as sx
+
+    rng = random.Random(3)
+    text = bytes(rng.choice(b"ab") for _ in range(40)) * 3
+    group = {}
+    for _ in range(60):
+        x = bytearray(text)
+        x[rng.randrange(len(x))] = 99
+        left, right = rng.randint(0, sx.SPOTS - 1), rng.randint(sx.GRAM, sx.LENGTH)
+        head, tail = bytes(x[60 - left : 60][::-1]), bytes(x[60 : 60 + right])
+        row = b"\0" + tail.ljust(sx.LENGTH, b"\0") + bytes([right]) + head.ljust(sx.SPOTS - 1, b"\0") + bytes([left])
+        group[row] = rng.randrange(50)
+    group = sorted(group.items())
+    monkeypatch.setattr(sx, "FEW", 0)
+    want = sx.least_documents(group)
+    monkeypatch.setattr(sx, "FEW", len(group))
+    assert (sx.least_documents(group) == want).all() and len(np.unique(want)) > 3
+    rows = np.frombuffer(b"".join(r for r, _ in group * 2), np.uint8).reshape(-1, sx.WIDTH)
+    to = np.arange(len(rows)) % 3
+    order, new = sx.bytes_order(rows, to)
+    keys = [(to[i], rows[i].tobytes()) for i in order]
+    assert keys == sorted(keys) and new.tolist() == [i == 0 or keys[i] != keys[i - 1] for i in range(len(keys))]

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
 from tidemark.llm.chunks import keys_of
-from tidemark.llm.loser_tree import decode, front_code, merge
+from tidemark.llm.loser_tree import _differ, decode, front_code, merge
 from tidemark.llm.parts import BLOB, answer, ask, blob_table, in_parts, pack, part_count, unpack, with_answers
 from tidemark.llm.words import _STEP, buffers, mix, slices
 from tidemark.session import stage
@@ -39,52 +39,59 @@ GRAM = 24
 SPOTS = LENGTH - GRAM + 1
 # Contexts of one anchor in a shard; beyond, its windows are dealt one by one.
 CROWD = 500
+# Up to so many suffixes with one anchor are compared in pairs.
+FEW = 6
 _MAX = np.iinfo(np.uint64).max
-_BYTE = mix(np.arange(9000, 9256, dtype=np.uint64))
+_HALF = np.uint32(np.iinfo(np.uint32).max)
+_FIRST = mix(np.array([9000], np.uint64))[0] | np.uint64(1)
 # Kind, suffix, end, bytes before the anchor, end.
 WIDTH = 1 + LENGTH + 1 + SPOTS - 1 + 1
 
 
-def _pairwise(x: np.ndarray, step: int, join) -> np.ndarray:
-    out = x.copy()
-    if step < len(x):
-        out[:-step] = join(x[:-step], x[step:])
-    return out
-
-
 def gram_hashes(raw: np.ndarray) -> np.ndarray:
-    """Hash of the ``GRAM`` = 16 + 8 bytes from every position on."""
-    h, kept = _BYTE[raw], None
-    for step in (1, 2, 4, 8):
-        if step == 8:
-            kept = h
-        p = np.uint64(pow(int(_STEP), step, 1 << 64))
-        h = _pairwise(h, step, lambda a, b, p=p: a * p + b)
-    p8 = np.uint64(pow(int(_STEP), 8, 1 << 64))
-    return mix(_pairwise(np.append(h, kept), len(raw) + 16, lambda a, b: a * p8 + b)[: len(raw)]) if len(raw) else h
+    """Hash of the ``GRAM`` = 3 * 8 bytes from every position on; past the end are zeros."""
+    n = len(raw)
+    word = np.ndarray(n + 16, "<u8", np.append(raw, np.zeros(GRAM, np.uint8)), strides=(1,))
+    word = word * _FIRST
+    word ^= word >> np.uint64(32)
+    out = word[:n] * _STEP
+    out += word[8 : n + 8]
+    out *= _STEP
+    out += word[16:]
+    return mix(out)
+
+
+def _running(x: np.ndarray, join) -> np.ndarray:
+    """``join`` over ``SPOTS`` values from every position on; past the end there are none."""
+    for step in (1, 2, 4, 8, SPOTS - 16):
+        if step < len(x):
+            out = np.empty_like(x)
+            join(x[:-step], x[step:], out=out[:-step])
+            out[-step:] = x[-step:]
+            x = out
+    return x
 
 
 def anchors(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Positions of the anchors of all windows, their hashes, and hashes that
     tell most of their contexts apart."""
     n = len(raw)
-    size = np.diff(offs)
-    left = np.repeat(offs[1:], size) - np.arange(n)
     h = gram_hashes(raw)
-    h[left < GRAM] = _MAX
-    low = h
-    for step in (1, 2, 4, 8):
-        low = _pairwise(low, step, np.minimum)
-    low = _pairwise(low, SPOTS - 16, np.minimum)
-    low[left < LENGTH] = 0
-    high = low[::-1]
-    for step in (1, 2, 4, 8):
-        high = _pairwise(high, step, np.maximum)
-    high = _pairwise(high, SPOTS - 16, np.maximum)[::-1]
-    at = np.flatnonzero((h == high) & (h != _MAX))
+    # Grams are compared by half of their hash; of equal halves all are anchors.
+    half = (h >> np.uint64(32)).astype(np.uint32)
+    np.minimum(half, _HALF - 1, out=half)
+    for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True):
+        half[max(a, b - GRAM + 1) : b] = _HALF
+    low = _running(half, np.minimum)
+    for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True):
+        low[max(a, b - LENGTH + 1) : b] = 0
+    high = _running(low[::-1], np.maximum)[::-1]
+    at = np.flatnonzero((half == high) & (half != _HALF))
+    row = np.searchsorted(offs, at, "right") - 1
     before, after = at - (SPOTS - 1), at + SPOTS - 1
-    before = np.where(before >= np.repeat(offs[:-1], size)[at], h[np.maximum(before, 0)], np.uint64(0))
-    after = np.where(after < at + left[at], h[np.minimum(after, n - 1)], np.uint64(0)) if n else before
+    h[half == _HALF] = _MAX
+    before = np.where(before >= offs[row], h[np.maximum(before, 0)], np.uint64(0))
+    after = np.where(after < offs[row + 1], h[np.minimum(after, n - 1)], np.uint64(0)) if n else before
     return at, h[at], mix(before * _STEP + after)
 
 
@@ -126,13 +133,19 @@ class Part:
         chosen anchors and of the single windows at the crowded ones."""
         at, row = self.at[chosen], self.row[chosen]
         begin, end = self.offs[row], self.offs[row + 1]
-        fwd, back = np.arange(LENGTH), np.arange(1, SPOTS)
+        fwd = np.arange(LENGTH)
         out = np.zeros((len(at), WIDTH), np.uint8)
         right, left = np.minimum(end - at, LENGTH), np.minimum(at - begin, SPOTS - 1)
-        spot = at[:, None] + fwd
-        out[:, 1 : LENGTH + 1] = np.where(spot < end[:, None], self.raw[np.minimum(spot, len(self.raw) - 1)], 0)
-        spot = at[:, None] - back
-        out[:, LENGTH + 2 : -1] = np.where(spot >= begin[:, None], self.raw[np.maximum(spot, 0)], 0)
+        if len(at):
+            around = np.concatenate([np.zeros(SPOTS - 1, np.uint8), self.raw, np.zeros(LENGTH, np.uint8)])
+            around = np.lib.stride_tricks.sliding_window_view(around, SPOTS - 1 + LENGTH)[at]
+            out[:, 1 : LENGTH + 1] = around[:, SPOTS - 1 :]
+            out[:, LENGTH + 2 : -1] = around[:, SPOTS - 2 :: -1]
+            # No byte of another text.
+            few = np.flatnonzero(right < LENGTH)
+            out[few, 1 : LENGTH + 1] *= fwd < right[few, None]
+            few = np.flatnonzero(left < SPOTS - 1)
+            out[few, LENGTH + 2 : -1] *= np.arange(SPOTS - 1) < left[few, None]
         # The two lengths, past the text: no byte of a text can stand for them.
         out[:, LENGTH + 1], out[:, -1] = right, left
         shard = self.shard[chosen]
@@ -165,10 +178,8 @@ class Part:
         every = np.flatnonzero(shared[back])
         crowded = every[crowd[back[every]]]
         rows, to, anchor, spot = self.entries(every[~crowd[back[every]]], crowded)
-        order = np.lexsort((bytes_order(rows), to))
+        order, new = bytes_order(rows, to)
         rows, to, anchor, spot = rows[order], to[order], anchor[order], spot[order]
-        new = np.ones(len(rows), bool)
-        new[1:] = (to[1:] != to[:-1]) | (rows[1:] != rows[:-1]).any(1)
         group = np.cumsum(new) - 1
         doc = self.doc[self.row[anchor]]
         low = np.full(int(new.sum()), np.iinfo(np.int64).max)
@@ -176,20 +187,47 @@ class Part:
         return rows[new], to[new], low, anchor, spot, group
 
 
-def bytes_order(rows: np.ndarray) -> np.ndarray:
-    """Rank of each row in byte order."""
-    pad = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), np.uint8)
-    pad[:, : rows.shape[1]] = rows
-    words = pad.view(">u8").astype(np.uint64)
-    order = np.lexsort(words.T[::-1])
-    rank = np.empty(len(rows), np.int64)
-    rank[order] = np.arange(len(rows))
-    return rank
+def bytes_order(rows: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order by ``to`` and then by bytes, and which in it differ from the one
+    before. Eight bytes at a time are compared, of rows alike so far only."""
+    order, new = np.argsort(to, kind="stable"), np.ones(len(rows), bool)
+    new[1:] = np.diff(to[order]) != 0
+    for k in range(0, rows.shape[1], 8):
+        tied = ~new
+        tied[:-1] |= ~new[1:]
+        place = np.flatnonzero(tied)
+        if not len(place):
+            break
+        own, group = order[place], np.cumsum(new)[place]
+        word = np.zeros((len(own), 8), np.uint8)
+        part = rows[own, k : k + 8]
+        word[:, : part.shape[1]] = part
+        word = word.view(">u8")[:, 0].astype(np.uint64)
+        sort = np.lexsort((word, group))
+        order[place], word, group = own[sort], word[sort], group[sort]
+        new[place[1:]] |= (word[1:] != word[:-1]) & (group[1:] == group[:-1])
+    return order, new
 
 
 def least_documents(group: list[tuple[bytes, int]]) -> np.ndarray:
     """For suffixes with one anchor: the least document of each window."""
     out = np.full((len(group), SPOTS), np.iinfo(np.int64).max)
+    if len(group) <= FEW:
+        # Two rows share the windows between their first difference on either side.
+        first, last = [LENGTH - row[LENGTH + 1] for row, _ in group], [row[-1] for row, _ in group]
+        before = [int.from_bytes(row[LENGTH + 2 : -1], "little") for row, _ in group]
+        for i, (row, doc) in enumerate(group):
+            out[i, first[i] : last[i] + 1] = doc
+            for j in range(i):
+                other, low = group[j]
+                x = before[i] ^ before[j]
+                left = SPOTS - 1 if not x else ((x & -x).bit_length() - 1) >> 3
+                right = _differ(row, other, 1, LENGTH + 1) - 1
+                a, b = max(first[i], first[j], LENGTH - right), min(last[i], last[j], left) + 1
+                if a < b:
+                    np.minimum(out[i, a:b], low, out=out[i, a:b])
+                    np.minimum(out[j, a:b], doc, out=out[j, a:b])
+        return out
     for o in range(SPOTS):
         best: dict[bytes, int] = {}
         keys = []
@@ -220,7 +258,9 @@ def merged_answers(parts: list[int], blobs: list[bytes]):
     def settle(group):
         """group: (row, least document, [(run, place)], prefix shared with the
         row before) with one anchor."""
-        if len(group) > 1:
+        if 1 < len(group) <= FEW:
+            near, alone = group, []
+        elif len(group) > 1:
             # A window that another context has too lies within the bytes both
             # share after the anchor, at most up to the next row's prefix, and
             # those before it. If these must be 8 or more, others must share 8.
@@ -332,12 +372,16 @@ def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", cro
                 best[first + i2] = d2.reshape(-1, SPOTS)
         mask = np.zeros(len(p.raw) + 1, np.int32)
         row = p.row[anchor]
-        for o in range(SPOTS):
-            start = p.at[anchor] - o
-            ok = ((spot < 0) | (spot == o)) & (best[group, o] < p.doc[row])
-            ok &= (start >= p.offs[row]) & (start + LENGTH <= p.offs[row + 1])
-            np.add.at(mask, start[ok], 1)
-            np.add.at(mask, start[ok] + LENGTH, -1)
+        doc, at, begin, end = p.doc[row], p.at[anchor], p.offs[row], p.offs[row + 1]
+        # Blocks of entries stay small in memory.
+        for a in range(0, len(anchor), 1 << 15):
+            own = slice(a, a + (1 << 15))
+            start = at[own, None] - np.arange(SPOTS)
+            ok = (best[group[own]] < doc[own, None]) & (start >= begin[own, None]) & (start + LENGTH <= end[own, None])
+            ok &= (spot[own, None] < 0) | (spot[own, None] == np.arange(SPOTS))
+            start = start[ok]
+            np.add.at(mask, start, 1)
+            np.add.at(mask, start + LENGTH, -1)
         gone = np.cumsum(mask[:-1]) > 0
         edge = np.zeros(len(gone) + 1, bool)
         edge[p.offs] = True
