@@ -76,16 +76,33 @@ def merge(runs: list[tuple[list[bytes], list[int]]], width: int) -> Iterator[tup
             loser[first + k], known[first + k] = winners[2 * k + 1], 0
             out.append(play(winners[2 * k], 0, first + k)[0])
         winners, first = out, first // 2
+    # A run that is through shares less than nothing.
+    known = [-1 if head[x] is None else g for x, g in zip(loser, known, strict=True)]
     w, h = winners[0], 0
-    while head[w] is not None:
-        yield head[w], h, w, place[w]
+    a = head[w]
+    while a is not None:
+        yield a, h, w, place[w]
         place[w] += 1
         strings, shared = runs[w]
         if place[w] < len(strings):
-            head[w], h = strings[place[w]], shared[place[w]]
+            a, h = strings[place[w]], shared[place[w]]
         else:
-            head[w], h = None, 0
-        node = (w + leaves) // 2
+            a, h = None, -1
+        head[w] = a
+        node = (w + leaves) >> 1
         while node:
-            w, h = play(w, h, node)
-            node //= 2
+            g = known[node]
+            if h < g:
+                other = loser[node]
+                loser[node], known[node] = w, h
+                w, a, h = other, head[other], g
+            elif h == g >= 0:
+                other = loser[node]
+                b = head[other]
+                d = _differ(a, b, h, width)
+                if d == width or a[d] < b[d]:
+                    known[node] = d
+                else:
+                    loser[node], known[node] = w, d
+                    w, a = other, b
+            node >>= 1

@@ -370,19 +370,22 @@ def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", cro
                 i1, d1, i2, d2 = unpack(blob)
                 best[first + i1] = d1[:, None]
                 best[first + i2] = d2.reshape(-1, SPOTS)
-        mask = np.zeros(len(p.raw) + 1, np.int32)
+        begins = np.zeros(len(p.raw) + LENGTH, bool)
         row = p.row[anchor]
         doc, at, begin, end = p.doc[row], p.at[anchor], p.offs[row], p.offs[row + 1]
+        # The windows' places that lie inside of the text.
+        first, last = np.maximum(at + LENGTH - end, 0), np.minimum(at - begin, SPOTS - 1)
+        first, last = np.where(spot < 0, first, spot), np.where(spot < 0, last, spot)
+        spots = np.arange(SPOTS)
         # Blocks of entries stay small in memory.
         for a in range(0, len(anchor), 1 << 15):
             own = slice(a, a + (1 << 15))
-            start = at[own, None] - np.arange(SPOTS)
-            ok = (best[group[own]] < doc[own, None]) & (start >= begin[own, None]) & (start + LENGTH <= end[own, None])
-            ok &= (spot[own, None] < 0) | (spot[own, None] == np.arange(SPOTS))
-            start = start[ok]
-            np.add.at(mask, start, 1)
-            np.add.at(mask, start + LENGTH, -1)
-        gone = np.cumsum(mask[:-1]) > 0
+            ok = (best[group[own]] < doc[own, None]) & (spots >= first[own, None]) & (spots <= last[own, None])
+            i, o = np.nonzero(ok)
+            # A window's bytes are gone, so count from its end on how many began in the last ``LENGTH``.
+            begins[at[own][i] - o + LENGTH] = True
+        count = np.cumsum(np.append(begins, np.zeros(LENGTH, bool)), dtype=np.int32)
+        gone = count[LENGTH : LENGTH + len(p.raw)] > count[: len(p.raw)]
         edge = np.zeros(len(gone) + 1, bool)
         edge[p.offs] = True
         head = np.flatnonzero(gone & (edge[:-1] | ~np.append(False, gone[:-1])[: len(gone)]))
