@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import pathlib
 import sys
 import tempfile
@@ -40,3 +41,9 @@ def sf():
 def rows(df, *order):
     """Rows as plain tuples, sorted."""
     return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def shuffle_files(spark):
+    """Names of the shuffle files that are there now."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for top in folders for _, _, found in os.walk(top) for f in found if f.startswith("shuffle_")}

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from tests.conftest import rows
+from tests.conftest import rows, shuffle_files
 from tidemark.functions.calendar import fiscal_parts
 from tidemark.functions.money import pct
 from tidemark.functions.survey import survey_fields
@@ -25,7 +26,7 @@ from tidemark.plans.lakehouse import Lakehouse
 from tidemark.plans.monthly import SERVING_SCHEMA, agg_monthly_sales
 from tidemark.plans.raw import RAW_COLUMNS, read_raw
 from tidemark.plans.silver import HISTORIES, INSERT_ONLY, empty_silver, load_silver, silver_schema
-from tidemark.session import shared_dir, work_path
+from tidemark.session import scratch, shared_dir, stage, work_path
 from tidemark.sources.delimited import CONTROL_A, read_delimited, write_delimited
 from tidemark.sources.export import as_serving, export_parquet, publish, read_export, read_published
 from tidemark.sources.jdbc import read_jdbc_table
@@ -304,6 +305,24 @@ def test_fact_and_month(spark):
     assert rows(read_export(spark, path, SERVING_SCHEMA)) == rows(served)
 
 
+def test_fact_in_steps(spark):
+    """The same lines, also of orders and details that come twice; no shuffle file
+    stays, and no copy but the one that is kept."""
+    header, detail, dims = _gold(spark)
+    header, detail = header.union(header.filter("sales_order_id = 5")), detail.union(detail.limit(1))
+    want = rows(fact_sales(header, detail, None, **dims))
+    assert len(want) == 5
+    work, left = f"{shared_dir(spark)}/work", shuffle_files(spark)
+    before = set(os.listdir(work)) if os.path.exists(work) else set()
+    with scratch() as keep:
+        kept = keep(stage(fact_sales(header, detail, None, **dims, steps=True), "kept", release=True))
+    assert {d.split("-")[0] for d in set(os.listdir(work)) - before} == {"kept"}
+    assert shuffle_files(spark) <= left
+    assert rows(kept) == want
+    changes = header.filter("sales_order_id = 1")
+    assert rows(fact_sales(header, detail, changes, **dims, steps=True)) == rows(fact_sales(header, detail, changes, **dims))
+
+
 def test_fact_load_is_repeatable(spark):
     header, detail, dims = _gold(spark)
     changes = header.filter("sales_order_id = 5")

@@ -17,7 +17,8 @@ from tidemark.operators.changes import (
     set_watermark,
     table_changes,
 )
-from tidemark.operators.upsert import insert_if_absent, merge_upsert, new_keys, restrict_to_keys
+from tidemark.operators.tagged import state_of
+from tidemark.operators.upsert import insert_if_absent, merge_source, merge_upsert, new_keys, restrict_to_keys
 from tidemark.session import work_path
 from tidemark.sources.snapshots import append, latest_version, read_snapshot, read_versions, replace, snapshot_log
 from tidemark.streaming.incremental import follow_files, pull_changes
@@ -210,3 +211,26 @@ def test_the_second_of_two_writers_is_refused(spark, monkeypatch):
     assert read_snapshot(spark, path).count() == 6
     with pytest.raises(ValueError):
         replace(df, path, cluster_by=["id"], files=2, partition_by=["id"])
+
+
+def test_a_whole_row_merge_exchanges_only_the_keys_of_its_source(spark):
+    """Rows that a match takes whole from the source stay where they are; keys that
+    the target holds twice, or not at all, come as from a join."""
+    old = frame(spark, (1, "a", "x"), (2, "b", "y"), (2, "c", None), (None, "d", "z"), (4, "e", "w"))
+    new = frame(spark, (2, "B", None), (3, "C", "n"), (None, "D", "m"), (4, None, "o"))
+    for stamp in ({}, {"alt": F.lit("now")}):
+        want = rows(state_of(merge_upsert(old, new, ["k"], stamp=stamp, feed=True)))
+        assert rows(merge_upsert(old, new, ["k"], stamp=stamp)) == want and len(want) == 7
+    # A stamp that reads a column reads the target's.
+    stamp = {"alt": F.concat("v", F.lit("!"))}
+    want = rows(state_of(merge_upsert(old, new, ["k"], stamp=stamp, feed=True)))
+    assert rows(merge_upsert(old, new, ["k"], stamp=stamp)) == want and (2, "B", "b!") in want
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        once = old.filter("v <> 'c'")
+        plan = merge_upsert(once, merge_source(new, ["k"]), ["k"], checked=True)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange") == 2 and "_src" not in plan

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.operators.tagged import told
 from tidemark.session import stage
@@ -45,18 +46,6 @@ def insert_if_absent(
     return target.unionByName(new_keys(source, target, keys).select(*target.columns))
 
 
-def one_row_per_key(df: DataFrame, keys: Sequence[str], what: str = "source") -> DataFrame:
-    """``df`` itself; the job fails if a key occurs twice.
-
-    The window needs the same partitioning and sort as a join on ``keys``, so
-    the check adds no shuffle to a sort-merge join.
-    """
-    seen = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
-    message = F.lit(f"{what} has more than one row for a key ({', '.join(keys)})")
-    checked = F.when(F.col("_nth") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
-    return df.withColumn("_nth", seen).filter(checked).drop("_nth")
-
-
 def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "source") -> None:
     """An error if stored rows hold a key twice. The keys are counted where they
     lie before they are exchanged."""
@@ -66,9 +55,52 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "source") -> N
 
 
 def merge_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``source`` checked and computed once: every later use, also with an empty
-    target, reads the stored rows."""
-    return stage(one_row_per_key(source, keys), "merge-source")
+    """``source`` computed once and checked: every later use, also with an empty
+    target, reads the stored rows. Only the keys are exchanged for the check."""
+    stored = stage(source, "merge-source", release=True)
+    assert_unique(stored, keys)
+    return stored
+
+
+# Of such keys equal ones are the same value.
+_PLAIN = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType, T.BinaryType)
+
+
+def _replaces(target: DataFrame, source: DataFrame, keys: list[str], update_cols: Sequence[str], stamp: dict[str, Column]) -> bool:
+    """Whether a match leaves nothing of the target's row that the source's row
+    does not have too."""
+    if not set(target.columns) <= {*keys, *update_cols, *stamp} or not {*keys} <= {*target.columns} & {*source.columns}:
+        return False
+    for k in keys:
+        kind = target.schema[k].dataType
+        if kind != source.schema[k].dataType or not (isinstance(kind, _PLAIN) or kind == T.StringType()):
+            return False
+    nothing = target.sparkSession.range(0).select(F.lit(1).alias("_none"))
+    try:
+        # A stamp that reads a column reads it in the target's row.
+        nothing.select(*stamp.values())
+    except AnalysisException:
+        return False
+    return True
+
+
+def _replaced(target: DataFrame, source: DataFrame, keys: list[str], stamp: dict[str, Column]) -> DataFrame:
+    """Rows of the target whose key is not in ``source``, and those of ``source``,
+    which are not exchanged. One that matches several rows comes as often."""
+    wanted = source.select(*keys)
+    held = target.select(*keys).join(wanted, keys, "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    twice = stage(held.filter("_n > 1"), "held-twice", release=True)
+    if not twice.isEmpty():
+        times = F.sequence(F.lit(1).cast("long"), F.coalesce("_n", F.lit(1)))
+        source = source.join(twice, keys, "left").withColumn("_n", F.explode(times)).drop("_n")
+    rest = target.join(wanted, keys, "left_anti").select(*target.columns)
+    return rest.unionByName(_as_target(source.withColumns(stamp), target))
+
+
+def _as_target(rows: DataFrame, target: DataFrame) -> DataFrame:
+    """The target's columns with its types; what ``rows`` lacks is NULL."""
+    rows = rows.withColumns({c: F.lit(None) for c in target.columns if c not in rows.columns})
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema])
 
 
 def merge_upsert(
@@ -89,14 +121,17 @@ def merge_upsert(
     :func:`merge_source`. With ``feed`` the rows are tagged
     (:mod:`tidemark.operators.tagged`); a match that changes no value is no event.
 
-    A left join plus an anti join instead of a full outer join: a small source
-    is broadcast and the target keeps its place, and a hot target key can be
-    split.
+    Where a match takes the whole row from the source, only the keys of the source
+    meet the target. Otherwise a left join plus an anti join instead of a full
+    outer join. In both a small source is broadcast and the target keeps its
+    place, and a hot target key can be split.
     """
     keys, stamp = list(keys), stamp or {}
     unique = source if checked else merge_source(source, keys)
     if update_cols is None:
         update_cols = [c for c in target.columns if c not in keys and c in source.columns]
+    if insert and not feed and _replaces(target, unique, keys, update_cols, stamp):
+        return _replaced(target, unique, keys, stamp)
     payload = F.struct(F.lit(True).alias("_hit"), *[c for c in update_cols if c not in stamp])
     joined = target.join(unique.select(*keys, payload.alias("_src")), keys, "left")
     hit = F.col("_src._hit").isNotNull()
@@ -118,11 +153,7 @@ def merge_upsert(
         merged = joined.select(*out)
     if not insert:
         return merged
-    fresh = new_keys(unique, target, keys).withColumns(stamp)
-    missing = [c for c in target.columns if c not in fresh.columns]
-    fresh = fresh.withColumns({c: F.lit(None) for c in missing}).select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema]
-    )
+    fresh = _as_target(new_keys(unique, target, keys).withColumns(stamp), target)
     if feed:
         fresh = told(fresh, target.columns, F.struct(*target.columns), None, F.lit("insert"))
     return merged.unionByName(fresh)

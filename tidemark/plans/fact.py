@@ -11,6 +11,7 @@ from tidemark.functions.money import share
 from tidemark.operators.joins import DimSpec, LookUps, star_join
 from tidemark.operators.scd2 import load_stamp
 from tidemark.operators.upsert import merge_upsert, restrict_to_keys
+from tidemark.session import stage
 
 FACT_KEYS = ["SalesOrderNumber", "SalesOrderLineNumber"]
 
@@ -27,6 +28,12 @@ FACT_SCHEMA = (
 )
 FACT_COLUMNS = dict(column.split(" ") for column in FACT_SCHEMA.split(", "))
 
+# What the fact takes from an order's lines.
+_DETAIL = (
+    "sales_order_id", "sales_order_detail_id", "product_id", "special_offer_id", "order_qty", "unit_price",
+    "unit_price_discount", "line_total", "carrier_tracking_number",
+)
+
 
 def changed_orders(changes: DataFrame) -> DataFrame:
     """Distinct online orders in a change feed of the order header."""
@@ -44,6 +51,7 @@ def fact_sales(
     currency: DataFrame,
     territory: DataFrame,
     report: LookUps | None = None,
+    steps: bool = False,
 ) -> DataFrame:
     """Lines of the changed online orders (all of them when ``changes`` is
     None) with their keys and measures.
@@ -51,6 +59,11 @@ def fact_sales(
     Look-ups by order run before the lines are joined, on far fewer rows.
     Header tax and freight are allocated by line total / sub-total. ``report``
     counts what the look-ups drop or multiply.
+
+    With ``steps`` the orders, and then the lines of these with their look-ups, are
+    staged: the disk holds the shuffle files of one step at a time, and what is
+    exchanged for the look-ups are lines without their order's columns. The result
+    reads the copies (see :func:`tidemark.session.scratch`).
     """
     orders = header.filter(
         F.col("online_order_flag") & F.col("is_current") & (F.col("sub_total") > 0)
@@ -71,14 +84,17 @@ def fact_sales(
         "revision_number", "purchase_order_number", "order_date", "due_date", "ship_date",
         "sub_total", "tax_amt", "freight",
     )
-    lines = star_join(
-        orders.join(detail, "sales_order_id"),
-        [
-            DimSpec(product, {"product_id": "ProductKey"}, {"ProductKey": "ProductKey", "StandardCost": "StandardCost"}),
-            DimSpec(promotion, {"special_offer_id": "PromotionKey"}, {"PromotionKey": "PromotionKey"}),
-        ],
-        report,
-    )
+    of_line = [
+        DimSpec(product, {"product_id": "ProductKey"}, {"ProductKey": "ProductKey", "StandardCost": "StandardCost"}),
+        DimSpec(promotion, {"special_offer_id": "PromotionKey"}, {"PromotionKey": "PromotionKey"}),
+    ]
+    if steps:
+        orders = stage(orders, "orders", release=True)
+        detail = restrict_to_keys(detail.select(*_DETAIL), orders, ["sales_order_id"])
+        found = star_join(detail, of_line, report).drop("product_id", "special_offer_id")
+        lines = orders.join(stage(found, "order-lines", release=True), "sales_order_id")
+    else:
+        lines = star_join(orders.join(detail, "sales_order_id"), of_line, report)
     price, off, qty = F.col("unit_price"), F.col("unit_price_discount"), F.col("order_qty")
     values = {
         "OrderDateKey": date_key(F.col("order_date")),

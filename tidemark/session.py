@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,6 +79,20 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/work/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes the shuffle files of what is written inside once it is there,
+    and then collects the driver's garbage. A frame collected inside can not be
+    collected again; use it for writes only."""
+    before = spark.conf.get(CLEANUP_KEY, None)
+    spark.conf.set(CLEANUP_KEY, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP_KEY) if before is None else spark.conf.set(CLEANUP_KEY, before)
+    spark.sparkContext._jvm.System.gc()
+
+
 def stage(df: DataFrame, name: str = "stage", release: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -89,16 +103,7 @@ def stage(df: DataFrame, name: str = "stage", release: bool = False) -> DataFram
     those of earlier jobs.
     """
     path = work_path(df.sparkSession, name)
-    if release:
-        conf = df.sparkSession.conf
-        before = conf.get(CLEANUP_KEY, None)
-        conf.set(CLEANUP_KEY, "true")
-        try:
-            df.write.parquet(path)
-        finally:
-            conf.unset(CLEANUP_KEY) if before is None else conf.set(CLEANUP_KEY, before)
-        df.sparkSession.sparkContext._jvm.System.gc()
-    else:
+    with released(df.sparkSession) if release else nullcontext():
         df.write.parquet(path)
     copy = df.sparkSession.read.schema(df.schema).parquet(path)
     copy._staged_at = path
@@ -111,18 +116,26 @@ _SCOPES: list[list[DataFrame]] = []
 
 
 @contextmanager
-def scratch() -> Iterator[None]:
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
     """Copies staged inside are deleted at the end, also of a run that fails.
 
     Put a whole load inside, up to its commit: what it returns must not read them.
+    A copy given to the function that this yields stays, for the scope outside.
     """
     _SCOPES.append([])
     try:
-        yield
+        yield _keep
     finally:
         discard(*_SCOPES.pop())
 
 
+def _keep(copy: DataFrame) -> DataFrame:
+    _SCOPES[-1][:] = [c for c in _SCOPES[-1] if c is not copy]
+    if len(_SCOPES) > 1:
+        _SCOPES[-2].append(copy)
+    return copy
+
+
 def discard(*copies: DataFrame) -> None:
     """Delete copies that :func:`stage` made and that nothing will read again."""
     for copy in copies:

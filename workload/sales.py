@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.joins import DimSpec, LookUps, star_join
 from tidemark.operators.changes import post_images, table_changes
-from tidemark.operators.upsert import restrict_to_keys
-from tidemark.plans.fact import FACT_COLUMNS, changed_orders, fact_load, fact_sales
+from tidemark.operators.upsert import merge_source, restrict_to_keys
+from tidemark.plans.fact import FACT_COLUMNS, FACT_KEYS, changed_orders, fact_load, fact_sales
 from tidemark.plans.monthly import SERVING_SCHEMA, agg_monthly_sales
-from tidemark.session import stage, work_path
+from tidemark.session import discard, scratch, stage, work_path
 from tidemark.sources.export import publish, read_export, serving_location
 from workload.base import (
     FIRST_LOAD,
@@ -192,7 +192,7 @@ WHERE NOT EXISTS (SELECT 1 FROM second_load s WHERE s.SalesOrderNumber = f.Sales
 )
 def run_fact_sales_merge(spark, sf_dir):
     """First load of version 1, then a merge of the orders that version 2 changed."""
-    lines = stage(unique_lines(read(spark, sf_dir, "lineitem")), "lines")
+    lines = stage(unique_lines(read(spark, sf_dir, "lineitem")), "lines", release=True)
     customer, dims = read(spark, sf_dir, "customer"), gold_dims(spark, sf_dir)
     versions = order_versions(spark, sf_dir)
     headers = {v: header_of(orders, lines, customer) for v, orders in versions.items()}
@@ -201,11 +201,15 @@ def run_fact_sales_merge(spark, sf_dir):
         F.col("o_orderkey").alias("sales_order_id"),
         (F.col("o_orderstatus") != "P").alias("online_order_flag"),
     )
-    target = fact_sales(headers[1], detail_of(lines), None, **dims).withColumn(
-        "ingestion_timestamp", F.lit(FIRST_LOAD).cast("timestamp")
-    )
-    fresh = fact_sales(headers[2], detail_of(lines), changes, **dims)
-    return fact_load(stage(target, "target"), fresh, as_of=SECOND_LOAD)
+    with scratch() as keep:
+        fresh = keep(merge_source(fact_sales(headers[2], detail_of(lines), changes, **dims, steps=True), FACT_KEYS))
+    with scratch() as keep:
+        target = fact_sales(headers[1], detail_of(lines), None, **dims, steps=True).withColumn(
+            "ingestion_timestamp", F.lit(FIRST_LOAD).cast("timestamp")
+        )
+        target = keep(stage(target, "target", release=True))
+    discard(lines)
+    return fact_load(target, fresh, as_of=SECOND_LOAD, checked=True)
 
 
 @query(
