@@ -11,7 +11,7 @@ from tidemark.operators.upsert import merge_source, merge_upsert
 from tidemark.plans.fact import FACT_KEYS, fact_load, fact_sales
 from tidemark.plans.gold import empty_gold
 from tidemark.plans.lakehouse import FACT, FACT_SLOTS, Lakehouse
-from tidemark.session import stage, work_path
+from tidemark.session import discard, scratch, stage, work_path
 from tidemark.sources.bucketed import read_bucketed, write_bucketed
 from tidemark.sources.snapshots import Slots, changed_slots, last_version, read_snapshot, replace, replace_slots
 from tidemark.streaming.incremental import pull_changes
@@ -101,7 +101,7 @@ def _loaded_fact(spark: SparkSession, sf_dir: str, between=lambda lake: None) ->
     """A lake whose fact was loaded twice, the second time with the changed orders."""
     root = work_path(spark, "lake")
     first, second = (Lakehouse(spark, root, files=4, as_of=at) for at in (FIRST_LOAD, SECOND_LOAD))
-    lines = stage(unique_lines(read(spark, sf_dir, "lineitem")), "lines")
+    lines = stage(unique_lines(read(spark, sf_dir, "lineitem")), "lines", release=True)
     customer, dims = read(spark, sf_dir, "customer"), gold_dims(spark, sf_dir)
     replace(dims["product"], first.path("gold/dim_product"))
     replace(dims["territory"], first.path("gold/dim_sales_territory"))
@@ -109,13 +109,16 @@ def _loaded_fact(spark: SparkSession, sf_dir: str, between=lambda lake: None) ->
     path, empty = first.path(FACT), empty_gold(spark, "fact_internet_sales")
     for lake, orders in ((first, before), (second, changed)):
         header = header_of(orders, lines, customer)
-        fresh = merge_source(fact_sales(header, detail_of(lines), None, **dims), FACT_KEYS)
-        touched = FACT_SLOTS.touched(fresh, empty.schema)
-        known = last_version(spark, path) is not None
-        target = read_snapshot(spark, path, slots=touched) if known else empty
-        fact = fact_load(target, fresh, lake.as_of, checked=True)
-        replace_slots(fact, path, FACT_SLOTS, touched, sort_by=["CustomerKey", "ProductKey"], cells=4)
+        with scratch():
+            with scratch() as keep:
+                fresh = keep(merge_source(fact_sales(header, detail_of(lines), None, **dims, steps=True), FACT_KEYS))
+            touched = FACT_SLOTS.touched(fresh, empty.schema)
+            known = last_version(spark, path) is not None
+            target = read_snapshot(spark, path, slots=touched) if known else empty
+            fact = fact_load(target, fresh, lake.as_of, checked=True)
+            replace_slots(fact, path, FACT_SLOTS, touched, sort_by=["CustomerKey", "ProductKey"], cells=4)
         between(lake)
+    discard(lines)
     return second
 
 
