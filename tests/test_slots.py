@@ -8,7 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import rows
+from tests.conftest import rows, shuffle_files
 from tests.test_lakehouse import FIRST, SECOND, write_raw
 from tidemark.operators.changes import empty_control, table_changes
 from tidemark.operators.layout import Borders, find_borders
@@ -142,6 +142,13 @@ def test_months_and_cells(spark):
     assert Borders.load(first).cols == ("customer", "product")
 
 
+def test_a_stored_load_leaves_no_shuffle_files(spark):
+    before, path = shuffle_files(spark), work_path(spark, "table")
+    data = [(i, f"2024-{i % 12 + 1:02d}-01", "v") for i in range(100)]
+    replace_slots(batch(spark, *data).repartition(3, "v"), path, BY_KEY, sort_by=["k", "at"])
+    assert shuffle_files(spark) <= before and read_snapshot(spark, path).count() == 100
+
+
 def test_appended_rows_are_laid_out_and_compacted_by_slot(spark):
     path, slots, layout = work_path(spark, "table"), Slots.by_month("day"), {"sort_by": ["a", "b"], "cells": 4}
     rows_of = lambda lo, hi, month: spark.range(lo, hi).select(

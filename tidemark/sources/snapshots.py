@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from tidemark.functions.calendar import month_key
 from tidemark.operators.layout import Borders, cluster, find_borders
 from tidemark.operators.tagged import CHANGE, FEED, OUT, STATE
+from tidemark.session import released
 
 LOG_SCHEMA = (
     "version int, committed_at timestamp, rows long, note string, folders array<string>, "
@@ -270,7 +271,8 @@ def replace_slots(
         rows = rows.hint("rebalance", OUT, _SLOT).sortWithinPartitions(OUT, _SLOT, *sort_by)
     seen, folder = Observation(), f"data/{version}-{uuid.uuid4().hex}"
     told = [F.count(F.when(F.col(OUT) == o, 1)).alias(o) for o in (STATE, FEED)]
-    rows.observe(seen, *told).write.partitionBy(OUT, _SLOT).parquet(f"{path}/{folder}")
+    with released(spark):
+        rows.observe(seen, *told).write.partitionBy(OUT, _SLOT).parquet(f"{path}/{folder}")
     files, to_path = _hadoop(spark, path)
     if last is not None and (tagged and not seen.get[FEED] or keep and not seen.get[STATE]):
         files.delete(to_path(f"{path}/{folder}"), True)
