@@ -393,3 +393,72 @@ def test_suffix_pieces(monkeypatch):
     order, new = sx.bytes_order(rows, to)
     keys = [(to[i], rows[i].tobytes()) for i in order]
     assert keys == sorted(keys) and new.tolist() == [i == 0 or keys[i] != keys[i - 1] for i in range(len(keys))]
+
+
+def test_windows_of_many_anchors_at_once():
+    """The least documents of all anchors' windows are those of each anchor by itself,
+    and the runs' order is that of the loser tree."""
+    from tidemark.llm import suffixes as sx
+    from tidemark.llm.loser_tree import front_code, merge_order, shared_prefixes
+    from tidemark.llm.parts import pack, unpack
+
+    rng, runs = random.Random(5), [{} for _ in range(4)]
+    for anchor in range(12):
+        gram = bytes(rng.choice(b"abcd") for _ in range(sx.GRAM))
+        for _ in range(rng.choice([1, 2, 5, 40])):
+            left, right = rng.randint(0, sx.SPOTS - 1), rng.randint(sx.GRAM, sx.LENGTH)
+            tail = (gram + bytes(rng.choice(b"\0a") if rng.random() < 0.02 else 98 for _ in range(26)))[:right]
+            head = bytes(rng.choice(b"\0a") if rng.random() < 0.02 else 99 for _ in range(left))
+            row = b"\0" + tail.ljust(sx.LENGTH, b"\0") + bytes([right]) + head.ljust(sx.SPOTS - 1, b"\0") + bytes([left])
+            for run in rng.sample(runs, rng.randint(1, 3)):
+                run[row] = rng.randrange(30)
+    # A single window, which is compared with nothing but itself.
+    alone = b"\1" + b"w" * sx.LENGTH + bytes(sx.WIDTH - 1 - sx.LENGTH)
+    runs[0][alone], runs[1][alone] = 7, 3
+    runs.append({})
+    runs = [sorted(run.items()) for run in runs]
+    strings = [[x for x, _ in run] for run in runs]
+
+    flat = [x for run in strings for x in run]
+    starts = np.cumsum([0, *map(len, strings)])
+    prefixes = [shared_prefixes(np.frombuffer(b"".join(run), np.uint8).reshape(-1, sx.WIDTH)) for run in strings]
+    merged = list(merge([(s, np.maximum(p, 0).tolist()) for s, p in zip(strings, prefixes)], sx.WIDTH))
+    order = merge_order(strings)
+    assert [flat[i] for i in order] == [x for x, *_ in merged] and sorted(order) == sorted(starts[r] + i for _, _, r, i in merged)
+
+    best, groups = {}, {}
+    for run in runs:
+        for row, doc in run:
+            best[row] = min(doc, best.get(row, doc))
+    for row, doc in sorted(best.items()):
+        groups.setdefault(row if row[0] else row[: sx.GRAM + 1], []).append((row, doc))
+    want = {}
+    for group in groups.values():
+        for (row, doc), line in zip(group, [[group[0][1]] * sx.SPOTS] if group[0][0][0] else sx.least_documents(group)):
+            want[row] = line
+    matrices = [np.frombuffer(b"".join(run), np.uint8).reshape(-1, sx.WIDTH) for run in strings]
+    blobs = [pack(*front_code(m), np.array([d for _, d in run], np.int64)) for m, run in zip(matrices, runs)]
+    several = 0
+    for part, blob in sx.merged_answers([5, 6, 7, 8, 9], blobs):
+        i1, d1, i2, d2 = unpack(blob)
+        run = strings[part - 5]
+        assert sorted([*i1, *i2]) == list(range(len(run)))
+        several += len(i2)
+        for i, line in [*zip(i1, [[d] * sx.SPOTS for d in d1]), *zip(i2, d2.reshape(-1, sx.SPOTS))]:
+            row = run[i]
+            inside = [o for o in range(sx.SPOTS) if row[0] or row[sx.LENGTH + 1] >= sx.LENGTH - o and row[-1] >= o]
+            assert [line[o] for o in inside] == [want[row][o] for o in inside]
+    assert several > 20
+
+
+def test_small_blobs_are_small():
+    """There is one for each part and shard: what a blob holds beside its arrays counts."""
+    from tidemark.llm.parts import pack, unpack
+
+    for n in (0, 1, 50, 5000):
+        arrays = [np.arange(n, dtype=k) for k in ("u1", "i4", "u8", "f8")] + [np.arange(n) % 3 == 0, np.arange(3)]
+        blob = pack(*arrays)
+        got = unpack(blob)
+        assert all(a.dtype == b.dtype and (a == b).all() and len(a) == len(b) for a, b in zip(arrays, got, strict=True))
+        assert len(blob) <= 100 + sum(a.nbytes for a in arrays)
+    assert unpack(pack()) == []

@@ -28,6 +28,25 @@ def decode(shared: np.ndarray, rest: np.ndarray, width: int) -> list[bytes]:
     return out
 
 
+def merge_order(runs: list[list[bytes]]) -> np.ndarray:
+    """The order of all strings of sorted runs, as places in the runs one after the
+    other; equal ones as in these. Python's sort finds the runs and merges them
+    without a step of Python per string. :func:`merge` gives the same order one by
+    one."""
+    strings = [x for run in runs for x in run]
+    return np.array(sorted(range(len(strings)), key=strings.__getitem__), np.int64)
+
+
+def shared_prefixes(rows: np.ndarray) -> np.ndarray:
+    """Common prefix of each row of a matrix with the row before; -1 for the first."""
+    out = np.full(len(rows), -1, np.int64)
+    # Blocks of rows stay small in memory.
+    for a in range(1, len(rows), 1 << 16):
+        other = rows[a : a + (1 << 16)] != rows[a - 1 : min(a + (1 << 16), len(rows)) - 1]
+        out[a : a + (1 << 16)] = np.where(other.any(1), other.argmax(1), rows.shape[1])
+    return out
+
+
 def _differ(a: bytes, b: bytes, at: int, width: int) -> int:
     """First difference at or after ``at``, before which both are alike."""
     while at + 8 <= width and a[at : at + 8] == b[at : at + 8]:

@@ -9,9 +9,8 @@ at anchors (with the bytes before them, backwards, to tell left contexts apart).
    collision only sorts a suffix in vain.
 2. Suffixes at shared anchors are sorted in each part, front-coded, and sent to
    the shard of their anchor. Equal ones are sent once, with the least document.
-   A shard merges the runs with a loser tree that uses the known common
-   prefixes, and finds the least document of every window in each group of
-   suffixes with one anchor.
+   A shard merges the runs and finds the least document of every window in each
+   group of suffixes with one anchor, of all groups at once.
 3. Each part marks the bytes of windows that a smaller document holds.
 
 An anchor with very many different contexts, as at the edge of a common passage,
@@ -21,14 +20,13 @@ is not sent to one shard but window by window, dealt by the window.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
 from tidemark.llm.chunks import keys_of
-from tidemark.llm.loser_tree import _differ, decode, front_code, merge
+from tidemark.llm.loser_tree import _differ, decode, front_code, merge_order, shared_prefixes
 from tidemark.llm.parts import BLOB, answer, ask, blob_table, in_parts, pack, part_count, unpack, with_answers
 from tidemark.llm.words import _STEP, buffers, mix, slices
 from tidemark.session import stage
@@ -210,7 +208,8 @@ def bytes_order(rows: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def least_documents(group: list[tuple[bytes, int]]) -> np.ndarray:
-    """For suffixes with one anchor: the least document of each window."""
+    """For suffixes with one anchor: the least document of each window. The plain
+    form of :func:`least_windows`."""
     out = np.full((len(group), SPOTS), np.iinfo(np.int64).max)
     if len(group) <= FEW:
         # Two rows share the windows between their first difference on either side.
@@ -245,62 +244,66 @@ def least_documents(group: list[tuple[bytes, int]]) -> np.ndarray:
     return out
 
 
+def least_windows(rows: np.ndarray, shared: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """What :func:`least_documents` says, for sorted distinct suffixes of any number
+    of anchors; ``shared`` is the prefix that each has in common with the row before.
+
+    Rows with the same bytes from a window's anchor on are neighbours. Rows with
+    the same bytes before it are so in the order of these.
+    """
+    n = len(rows)
+    out = np.full((n, SPOTS), np.iinfo(np.int64).max)
+    before = np.ascontiguousarray(rows[:, LENGTH + 2 : -1])
+    order, _ = bytes_order(before, np.zeros(n, np.int64))
+    common, left = shared_prefixes(before[order]), np.empty(n, np.int64)
+    for o in range(SPOTS):
+        own = np.flatnonzero((rows[:, LENGTH + 1] >= LENGTH - o) & (rows[:, -1] >= o))
+        if not len(own):
+            continue
+        left[order] = np.cumsum(common < o)
+        key = (np.cumsum(shared < 1 + LENGTH - o) * (n + 1) + left)[own]
+        sort = np.argsort(key, kind="stable")
+        own, key = own[sort], key[sort]
+        head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        out[own, o] = np.repeat(np.minimum.reduceat(low[own], head), np.diff(head, append=len(own)))
+    return out
+
+
 def merged_answers(parts: list[int], blobs: list[bytes]):
-    """(part, blob) with the least documents of the entries that a shard got."""
-    runs, docs = [], []
+    """(part, blob) with the least documents of the entries that a shard got: one
+    for all windows of an entry, or else one for each."""
+    runs, docs = [], [np.empty(0, np.int64)]
     for b in blobs:
         shared, rest, low = unpack(b)
-        runs.append((decode(shared, rest, WIDTH), shared.tolist()))
-        docs.append(low.tolist())
-    one: list[list] = [[] for _ in parts]
-    many: list[list] = [[] for _ in parts]
-
-    def settle(group):
-        """group: (row, least document, [(run, place)], prefix shared with the
-        row before) with one anchor."""
-        if 1 < len(group) <= FEW:
-            near, alone = group, []
-        elif len(group) > 1:
-            # A window that another context has too lies within the bytes both
-            # share after the anchor, at most up to the next row's prefix, and
-            # those before it. If these must be 8 or more, others must share 8.
-            heads = Counter(row[LENGTH + 2 : LENGTH + 10] for row, *_ in group)
-            ahead = [g[3] - 1 for g in group[1:]] + [0]
-            near, alone = [], []
-            for g, after in zip(group, ahead, strict=True):
-                far = max(g[3] - 1 if g is not group[0] else 0, after) <= LENGTH - 8
-                (alone if far and heads[g[0][LENGTH + 2 : LENGTH + 10]] == 1 else near).append(g)
-        else:
-            near, alone = [], group
-        for _, low, members, _ in alone:
-            for r, i in members:
-                one[r].append((i, low))
-        if not near:
-            return
-        table = least_documents([(row, low) for row, low, *_ in near])
-        for (_, _, members, _), line in zip(near, table, strict=True):
-            for r, i in members:
-                many[r].append((i, line))
-
-    group: list = []
-    for row, shared, run, i in merge(runs, WIDTH):
-        doc = docs[run][i]
-        if group and shared == WIDTH:
-            last = group[-1]
-            last[2].append((run, i))
-            group[-1] = (row, min(doc, last[1]), last[2], last[3])
-            continue
-        if group and (shared <= GRAM or row[0]):
-            settle(group)
-            group = []
-        group.append((row, doc, [(run, i)], shared))
-    if group:
-        settle(group)
-    for r, part in enumerate(parts):
-        i1, d1 = np.array([i for i, _ in one[r]], np.int32), np.array([d for _, d in one[r]], np.int64)
-        i2 = np.array([i for i, _ in many[r]], np.int32)
-        d2 = np.array([d for _, d in many[r]], np.int64).reshape(-1)
-        yield part, pack(i1, d1, i2, d2)
+        runs.append(decode(shared, rest, WIDTH))
+        docs.append(low)
+    order, docs = merge_order(runs), np.concatenate(docs)
+    rows = np.frombuffer(b"".join([x for run in runs for x in run]), np.uint8).reshape(-1, WIDTH)[order]
+    edge = np.cumsum([0, *map(len, runs)])
+    del runs
+    shared = shared_prefixes(rows)
+    first = np.flatnonzero(shared < WIDTH)
+    # The distinct suffix of each entry, in the order of the runs.
+    entry = np.empty(len(order), np.int64)
+    entry[order] = np.cumsum(shared < WIDTH) - 1
+    rows, shared = rows[first], shared[first]
+    low = np.minimum.reduceat(docs[order], first) if len(first) else docs
+    # Suffixes with one anchor; a single window is by itself.
+    begins = (shared <= GRAM) | (rows[:, 0] > 0)
+    alone = begins & np.append(begins[1:], True)
+    near = np.flatnonzero(~alone)
+    table = least_windows(rows[near], shared[near], low[near])
+    # A window outside of the text is not asked about.
+    less = (table < low[near, None]).any(1)
+    line = np.full(len(rows), -1)
+    line[near[less]] = np.flatnonzero(less)
+    for part, a, b in zip(parts, edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+        own = entry[a:b]
+        many = line[own] >= 0
+        yield part, pack(
+            np.flatnonzero(~many).astype(np.int32), low[own[~many]],
+            np.flatnonzero(many).astype(np.int32), table[line[own[many]]].reshape(-1),
+        )
 
 
 def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
