@@ -168,8 +168,9 @@ class Part:
         the anchor, spot, shard and place of every entry."""
         shard, _, back, many = self.names()
         shared, crowd = many.copy(), np.zeros(len(many), bool)
+        edge = np.searchsorted(shard, np.arange(self.shards + 1))
         for s, blob in told.items():
-            lo, hi = np.searchsorted(shard, [s, s + 1])
+            lo, hi = edge[s], edge[s + 1]
             flags = unpack(blob)[0]
             shared[lo:hi] |= flags > 0
             crowd[lo:hi] |= flags > 1
@@ -367,9 +368,10 @@ def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", cro
         p, m = Part(table, shards), table.num_rows
         line, to, _, anchor, spot, group = p.runs({s: b for s, b in told.items() if s < shards})
         best = np.full((len(line), SPOTS), np.iinfo(np.int64).max)
+        edge = np.searchsorted(to, np.arange(shards + 1))
         for s, blob in told.items():
             if s >= shards:
-                first = int(np.searchsorted(to, s - shards))
+                first = edge[s - shards]
                 i1, d1, i2, d2 = unpack(blob)
                 best[first + i1] = d1[:, None]
                 best[first + i2] = d2.reshape(-1, SPOTS)
