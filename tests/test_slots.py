@@ -315,3 +315,14 @@ def test_a_bucketed_target_is_not_shuffled(spark):
     again = read_bucketed(spark, after, schema, ["k"], 4)
     assert rows(again) == rows(scd2_apply(first, new, ["k"], ["v"], "at", as_of="2024-03-02"))
     assert len(again.inputFiles()) == 4
+
+
+def test_two_fact_loads_leave_nothing_but_the_lake(spark, sf):
+    """Copies and shuffle files of a load are gone before the next one."""
+    from workload.slots import _loaded_fact
+
+    work = f"{shared_dir(spark)}/work"
+    before, found = set(os.listdir(work)) if os.path.exists(work) else set(), []
+    _loaded_fact(spark, sf, between=lambda lake: found.append({d.split("-")[0] for d in set(os.listdir(work)) - before}))
+    assert found == [{"lake", "lines"}] * 2
+    assert {d.split("-")[0] for d in set(os.listdir(work)) - before} == {"lake"}
